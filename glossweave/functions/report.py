@@ -15,21 +15,21 @@ MANY_CALLS = 200
 MANY_TOKENS = 500_000
 SEPARATOR = " | "
 WORDING = {
-    "left": "{left} Deutsch-Reste nach {retries} Retry(s) verblieben",
-    "retries": "Hohe Retry-Anzahl ({retries}) — Prompt oder Modell pruefen",
-    "ratio_high": "Output/Input-Verhaeltnis hoch ({ratio}x) — ungewoehnlich viele Tokens in Antwort",
-    "ratio_low": "Output/Input-Verhaeltnis niedrig ({ratio}x) — moeglicherweise gekuerzte Antworten",
+    "left": "%s Deutsch-Reste nach %s Retry(s) verblieben",
+    "retries": "Hohe Retry-Anzahl (%s) — Prompt oder Modell pruefen",
+    "ratio_high": "Output/Input-Verhaeltnis hoch (%sx) — ungewoehnlich viele Tokens in Antwort",
+    "ratio_low": "Output/Input-Verhaeltnis niedrig (%sx) — moeglicherweise gekuerzte Antworten",
     "technical_none": "Keine Auffaelligkeiten",
     "many_left": "Viele Reste — Prompt-Anweisung fuer Vollstaendigkeit verstaerken",
     "no_progress": "Retries haben keine Verbesserung gebracht — Prompt oder Modell wechseln",
     "prompt_none": "Keine Anpassungen noetig",
-    "calls": "{calls} API-Calls — Batchgroesse erhoehen fuer weniger Aufrufe",
-    "effective": "Retries wirksam ({first} -> {left} Reste) — max_retry beibehalten",
+    "calls": "%s API-Calls — Batchgroesse erhoehen fuer weniger Aufrufe",
+    "effective": "Retries wirksam (%s -> %s Reste) — max_retry beibehalten",
     "pipeline_none": "Pipeline laeuft stabil",
-    "rerun": "Sprache {lang} erneut ausfuehren oder {left} Reste manuell pruefen",
+    "rerun": "Sprache %s erneut ausfuehren oder %s Reste manuell pruefen",
     "perfect": "Perfektes Ergebnis — keine Nacharbeit noetig",
-    "fine": "Ergebnis OK nach {retries} Retry(s) — stichprobenartig pruefen",
-    "tokens": "Hoher Tokenverbrauch ({tokens}) — ggf. guenstigeres Modell testen",
+    "fine": "Ergebnis OK nach %s Retry(s) — stichprobenartig pruefen",
+    "tokens": "Hoher Tokenverbrauch (%s) — ggf. guenstigeres Modell testen",
     "next_none": "Standardlauf empfohlen",
 }
 RECOMMENDATION_COLUMNS = (
@@ -57,16 +57,6 @@ def one_decimal(x: Column) -> Column:
     return F.concat(F.floor(rounded / 10).cast("string"), F.lit("."), (rounded % 10).cast("string"))
 
 
-def _wording(name: str, **values: Column) -> Column:
-    """Fill one wording with columns."""
-    parts, rest = [], WORDING[name]
-    while "{" in rest:
-        before, _, tail = rest.partition("{")
-        field, _, rest = tail.partition("}")
-        parts += [F.lit(before), values[field].cast("string")]
-    return F.concat(*parts, F.lit(rest)) if parts else F.lit(rest)
-
-
 def _joined(default: str, *hints: Column) -> Column:
     text = F.concat_ws(SEPARATOR, *hints)
     return F.when(text == "", WORDING[default]).otherwise(text)
@@ -82,27 +72,27 @@ def recommendations(
     tokens = tokens_in + tokens_out
     technical = _joined(
         "technical_none",
-        F.when(left > 0, _wording("left", left=left, retries=retries)),
-        F.when(retries >= MANY_RETRIES, _wording("retries", retries=retries)),
-        F.when(ratio > RATIO_HIGH, _wording("ratio_high", ratio=shown)),
-        F.when(ratio < RATIO_LOW, _wording("ratio_low", ratio=shown)),
+        F.when(left > 0, F.format_string(WORDING["left"], left, retries)),
+        F.when(retries >= MANY_RETRIES, F.format_string(WORDING["retries"], retries)),
+        F.when(ratio > RATIO_HIGH, F.format_string(WORDING["ratio_high"], shown)),
+        F.when(ratio < RATIO_LOW, F.format_string(WORDING["ratio_low"], shown)),
     )
     prompt = _joined(
         "prompt_none",
-        F.when(left > MANY_RESIDUES, _wording("many_left")),
-        F.when((first > 0) & (retries > 0) & (left == first), _wording("no_progress")),
+        F.when(left > MANY_RESIDUES, F.lit(WORDING["many_left"])),
+        F.when((first > 0) & (retries > 0) & (left == first), F.lit(WORDING["no_progress"])),
     )
     run = _joined(
         "pipeline_none",
-        F.when(calls > MANY_CALLS, _wording("calls", calls=calls)),
-        F.when((retries >= EFFECTIVE_RETRIES) & (left < first), _wording("effective", first=first, left=left)),
+        F.when(calls > MANY_CALLS, F.format_string(WORDING["calls"], calls)),
+        F.when((retries >= EFFECTIVE_RETRIES) & (left < first), F.format_string(WORDING["effective"], first, left)),
     )
     following = _joined(
         "next_none",
-        F.when(left > 0, _wording("rerun", lang=lang, left=left)),
-        F.when((left == 0) & (retries == 0), _wording("perfect")).when(
-            (left == 0) & (retries > 0), _wording("fine", retries=retries)
+        F.when(left > 0, F.format_string(WORDING["rerun"], lang, left)),
+        F.when((left == 0) & (retries == 0), F.lit(WORDING["perfect"])).when(
+            (left == 0) & (retries > 0), F.format_string(WORDING["fine"], retries)
         ),
-        F.when(tokens > MANY_TOKENS, _wording("tokens", tokens=F.format_number(tokens, 0))),
+        F.when(tokens > MANY_TOKENS, F.format_string(WORDING["tokens"], F.format_number(tokens, 0))),
     )
     return dict(zip(RECOMMENDATION_COLUMNS, (technical, prompt, run, following)))
