@@ -1,0 +1,195 @@
+"""The whole run: a wide text table in, one table per language and a protocol out."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from glossweave.functions.answers import fill_answer_text, repair_answer_letter
+from glossweave.functions.text import (
+    ABBREVIATION_MAX_POOL, ABBREVIATION_MAX_ROW, GERMAN, ResidueMarkers, non_blank, normalise, repair, residue_score,
+    rule_of_stripped, strip,
+)
+from glossweave.functions.payload import validate_responses
+from glossweave.operators.cells import column_ordinal, pivot_cells, unpivot_cells
+from glossweave.operators.chunks import (
+    MAX_CHARS, MAX_ITEMS, RETRY_BATCH, RETRY_CHARS, RETRY_ITEMS, ROW_BATCH, VALUE_BATCH, fixed_batches, greedy_chunks,
+    row_requests, split_failed_chunks,
+)
+from glossweave.operators.inference import Translate, run_requests, translate_items, usage_totals
+from glossweave.operators.lookup import apply_memory, hot_keys, key_cells, salted_left_join
+from glossweave.operators.pool import build_pool, column_strategy, distinct_values, language_fanout
+from glossweave.operators.quality import (
+    MAX_ROUNDS, RESEND_OUTPUT_SCORE, checked_cells, looks_untranslated, suspect_equal,
+)
+from glossweave.operators.schema import (
+    FORCED_DEDUP, LANGUAGE_COLUMN, PROTECTED, guarded_rename, normalise_header, ordered_projection, tag_language, text_columns,
+)
+from glossweave.session import materialise
+from glossweave.sources.memory import TranslationMemory, memory_misses, with_memory_key
+
+
+@dataclass
+class Settings:
+    """Options of a run; the defaults follow the documented ones."""
+
+    langs: Sequence[str]
+    model: str = "default"
+    rules_id: str = ""
+    row_id: str = "row_id"
+    protected: Iterable[str] = PROTECTED
+    never: Iterable[str] = ()
+    column_order: Sequence[str] | None = None
+    rename_exam_columns: bool = False
+    max_items: int = MAX_ITEMS
+    max_chars: int = MAX_CHARS
+    abbr_max: int = ABBREVIATION_MAX_POOL
+    markers: ResidueMarkers = GERMAN
+    max_rounds: int = MAX_ROUNDS
+    forced_dedup: Iterable[str] = FORCED_DEDUP
+    row_batch: int = ROW_BATCH
+    parallelism: int | None = None
+
+
+@dataclass
+class Run:
+    """Results of a run. ``output`` has one row per source row and language."""
+
+    output: DataFrame
+    cells: DataFrame
+    suspects: DataFrame
+    usage: DataFrame
+    rounds: list[dict[str, int]] = field(default_factory=list)
+    resent: list[dict[str, int]] = field(default_factory=list)
+
+
+def prepare_source(df: DataFrame, settings: Settings) -> tuple[DataFrame, list[str]]:
+    """Clean header, exam names, repaired answer letters, and the columns to translate."""
+    source = normalise_header(df)
+    if settings.rename_exam_columns:
+        source = guarded_rename(source)
+    source = repair_answer_letter(source)
+    columns = text_columns(source, settings.protected, settings.never, settings.column_order)
+    columns = [c for c in columns if c != settings.row_id]
+    if not columns:
+        raise ValueError("no translatable text columns")
+    return source, columns
+
+
+def chunk_misses(misses: DataFrame, max_items: int = MAX_ITEMS, max_chars: int = MAX_CHARS) -> DataFrame:
+    """Missing texts per language in first-appearance order, packed; the position is the item id."""
+    sized = misses.select("lang", "text_norm", "first_col", "first_row", F.length("text_norm").alias("n_chars"))
+    packed = greedy_chunks(sized, ["lang"], ["first_col", "first_row", "text_norm"], "n_chars", max_items, max_chars)
+    items = packed.select("lang", F.col("chunk_no").cast("string").alias("chunk_no"), "item_no", F.col("pos").alias("id"), "text_norm")
+    return materialise(items, "chunk-items")
+
+
+def memory_rows(resolved: DataFrame, model: str, rules_id: str, attempt: int) -> DataFrame:
+    """Resolved items as rows of the memory log."""
+    return resolved.select(
+        "lang",
+        F.lit(model).alias("model"),
+        F.lit(rules_id).alias("rules_id"),
+        "text_norm",
+        "translation",
+        "is_fallback",
+        F.lit(attempt).alias("attempt"),
+        F.localtimestamp().alias("updated_at"),
+    )
+
+
+def assemble(source: DataFrame, translated: DataFrame, columns: Sequence[str], settings: Settings) -> DataFrame:
+    """Final tables: source columns, translated cells, then language tag and answer texts.
+
+    Tag and answer texts belong to the last projection, so no retry can overwrite them.
+    """
+    wide = pivot_cells(translated, columns, ("row_id", "lang"), "output").withColumnRenamed("row_id", settings.row_id)
+    protected = source.drop(*columns)
+    joined = protected.join(wide, settings.row_id)
+    full = fill_answer_text(tag_language(joined)).select(*[F.col(f"`{c}`") for c in source.columns], "lang")
+    if settings.column_order is None:
+        return full
+    return ordered_projection(full, [*settings.column_order, "lang"])
+
+
+def localize_pool(df: DataFrame, memory: TranslationMemory, translate: Translate, settings: Settings, run_id: str = "run") -> Run:
+    """Pool strategy: distinct texts of all columns, memory first, the rest to ``translate``.
+
+    Cells are unpivoted and keyed once; every pass joins them with the current memory.
+    """
+    source, columns = prepare_source(df, settings)
+    cells = unpivot_cells(source, settings.row_id, columns).withColumn("col_ord", column_ordinal(columns))
+    pool = materialise(build_pool(cells, settings.abbr_max), "pool")
+    hot = hot_keys(pool, "text_key", "n_cells")
+    langs, model, rules = list(settings.langs), settings.model, settings.rules_id
+
+    keyed = with_memory_key(pool, langs, model, rules)
+    misses = memory_misses(keyed, memory.current(langs, model, rules))
+    items = chunk_misses(misses, settings.max_items, settings.max_chars)
+    responses = []
+    if not items.isEmpty():
+        resolved, answered = translate_items(items, translate, settings.max_items, parallelism=settings.parallelism)
+        memory.append(memory_rows(resolved, model, rules, attempt=0), f"{run_id}-0")
+        responses.append(answered)
+
+    rounds, resent = [], []
+    for attempt in range(settings.max_rounds + 1):
+        hits = memory.current(langs, model, rules)
+        output = materialise(apply_memory(cells, hits, langs, settings.abbr_max, hot), "output-cells")
+        suspects = _residue_suspects(output, settings)
+        found = {r["lang"]: r["n"] for r in suspects.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+        rounds.append({lang: found.get(lang, 0) for lang in langs})
+        if not found or attempt == settings.max_rounds:
+            break
+        again = _resend(suspects, settings)
+        if again.isEmpty():
+            break
+        retried, answered = translate_items(
+            again, translate, RETRY_ITEMS, attempt=attempt + 1, text="sent_text", parallelism=settings.parallelism
+        )
+        # Stored under the source text, so the next pass again starts from the source.
+        renewed = retried.select("lang", "text_norm", "translation", "is_fallback")
+        memory.append(memory_rows(renewed, model, rules, attempt + 1), f"{run_id}-{attempt + 1}")
+        responses.append(answered)
+        resent.append(rounds[-1])
+
+    usage = _usage(responses, cells, langs)
+    return Run(assemble(source, output, columns, settings), output, suspects, usage, rounds, resent)
+
+
+def _residue_suspects(output: DataFrame, settings: Settings) -> DataFrame:
+    compared = output.select("row_id", "col", "col_ord", "lang", "value", strip(F.col("value")).alias("v_in"), strip(F.col("output")).alias("v_out"))
+    flagged = compared.where(looks_untranslated(F.col("v_out"), settings.markers))
+    return checked_cells(flagged, settings.abbr_max).where(~F.col("ignored")).drop("ignored")
+
+
+def _resend(suspects: DataFrame, settings: Settings) -> DataFrame:
+    """Distinct suspect source texts with the text to send: the output while it still shows residue."""
+    shown = F.when(residue_score(F.col("v_out"), settings.markers) >= RESEND_OUTPUT_SCORE, F.col("v_out")).otherwise(F.col("v_in"))
+    texts = suspects.select("lang", normalise(F.col("value")).alias("text_norm"), shown.alias("_sent"), "col_ord", "row_id")
+    texts = texts.where(rule_of_stripped(strip(F.col("_sent")), settings.abbr_max).isNull())
+    distinct = (
+        texts.groupBy("lang", "text_norm", "col_ord")
+        .agg(F.min("row_id").alias("row_id"), F.min(normalise(F.col("_sent"))).alias("sent_text"))
+        .groupBy("lang", "text_norm")
+        .agg(F.min(F.struct("col_ord", "row_id")).alias("_first"), F.min("sent_text").alias("sent_text"))
+    )
+    sized = distinct.select("lang", "text_norm", "sent_text", "_first.*", F.length("sent_text").alias("n_chars"))
+    packed = greedy_chunks(
+        sized, ["lang"], ["col_ord", "row_id", "text_norm"], "n_chars", min(settings.max_items, RETRY_ITEMS), RETRY_CHARS
+    )
+    items = packed.select(
+        "lang", F.col("chunk_no").cast("string").alias("chunk_no"), "item_no", F.col("pos").alias("id"), "text_norm", "sent_text"
+    )
+    return materialise(items, "retry-items")
+
+
+def _usage(responses: list[DataFrame], like: DataFrame, langs: Sequence[str]) -> DataFrame:
+    """Usage per language, with zeros for languages that needed no call."""
+    base = like.sparkSession.createDataFrame([(x, 0, 0, 0) for x in langs], "lang string, prompt_tokens bigint, completion_tokens bigint, api_calls bigint")
+    parts = [base, *[r.select(*base.columns) for r in responses]]
+    return usage_totals(reduce(DataFrame.unionByName, parts))
