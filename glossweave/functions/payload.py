@@ -52,7 +52,8 @@ def row_items(payload: Column) -> Column:
 def response_status(payload: Column, items: Column, ids: Column) -> Column:
     """``ok`` or why a response is rejected; the ids must be those of the request, each once."""
     elements = parse_array(payload, "STRING")
-    an_object = payload.startswith("{") & F.from_json(payload, "MAP<STRING, STRING>", _STRICT).isNotNull()
+    objects = F.from_json(F.concat(F.lit("["), payload, F.lit("]")), "ARRAY<MAP<STRING, STRING>>", _STRICT)
+    an_object = payload.startswith("{") & (F.size(objects) == 1)
     sent = F.array_sort(ids)
     got = F.array_sort(F.transform(items, lambda x: x["id"]))
     return (

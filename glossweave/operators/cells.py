@@ -11,15 +11,16 @@ from glossweave.functions.text import strip
 
 
 def unpivot_cells(df: DataFrame, row_id: str, text_columns: Sequence[str]) -> DataFrame:
-    """``cells(row_id, col, value)``; NULL counts as the empty text."""
-    filled = df.select(F.col(row_id).alias("row_id"), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in text_columns])
-    return filled.unpivot(["row_id"], list(text_columns), "col", "value")
+    """``cells(row_id, col, col_ord, value)``; NULL counts as the empty text.
 
-
-def column_ordinal(text_columns: Sequence[str], col: str = "col"):
-    """Rank of a column name in the table, as a column expression."""
-    names = F.array(*[F.lit(c) for c in text_columns])
-    return F.array_position(names, F.col(col)).cast("int") - 1
+    An inlined array rather than ``unpivot``: behind the latter's Expand node, generated code for
+    shared subexpressions does not compile in Spark 4.1, and the text rules would run interpreted.
+    """
+    cells = [
+        F.struct(F.lit(c).alias("col"), F.lit(i).alias("col_ord"), F.coalesce(F.col(f"`{c}`"), F.lit("")).alias("value"))
+        for i, c in enumerate(text_columns)
+    ]
+    return df.select(F.col(row_id).alias("row_id"), F.inline(F.array(*cells)))
 
 
 def pivot_cells(cells: DataFrame, text_columns: Sequence[str], keys: Sequence[str] = ("row_id", "lang"), value: str = "value") -> DataFrame:

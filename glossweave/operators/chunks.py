@@ -54,7 +54,7 @@ def greedy_chunks(
     if block_rows < max_items:
         raise ValueError("block_rows must be at least max_items")
     group = list(group)
-    placed = materialise(ordered_positions(df, group, order), "chunk-rows")
+    placed = ordered_positions(df, group, order)
     sizes = placed.select(*group, "pos", F.col(size).cast("bigint").alias("size"))
 
     blocks = _with_halo(sizes, block_rows, max_items)

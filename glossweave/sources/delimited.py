@@ -76,6 +76,19 @@ def scan_delimited(
     return named.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in named.columns])
 
 
+def csv_options(sep: str) -> dict[str, str]:
+    """Writer options under which ``scan_delimited`` gives back the same texts."""
+    return {
+        "header": "true",
+        "sep": sep,
+        "quote": '"',
+        "escape": '"',
+        "emptyValue": "",
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+
+
 def write_by_language(
     df: DataFrame, path: str, lang: str = "lang", order: Sequence[str] | None = None, fmt: str = "csv", sep: str = ";"
 ) -> None:
@@ -83,5 +96,6 @@ def write_by_language(
     chosen = df if order is None else ordered_projection(df, [*[c for c in order if c != lang], lang])
     writer = chosen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(lang)
     if fmt == "csv":
-        writer = writer.option("header", "true").option("sep", sep).option("emptyValue", "").option("escape", '"')
+        for name, value in csv_options(sep).items():
+            writer = writer.option(name, value)
     writer.format(fmt).save(path)

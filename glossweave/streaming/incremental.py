@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from glossweave.functions.text import ABBREVIATION_MAX_POOL, normalise, text_key
 from glossweave.operators.inference import Translate, translate_items
 from glossweave.operators.pool import build_pool, translatable_cells
-from glossweave.plans.localize import chunk_misses, memory_rows
+from glossweave.plans.by_pool import chunk_misses, memory_rows
 from glossweave.session import materialise
 from glossweave.sources.memory import TranslationMemory, memory_misses, with_memory_key
 
