@@ -125,13 +125,13 @@ def pivot_cells_query(spark, sf_dir):
 
 @query("compare_cells", f"""
 WITH {sql.CELLS} SELECT row_id, {sql.strip('value')} AS v_in,
-  CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN {sql.strip("upper(value) || '  '")} ELSE '' END AS v_out,
-  doc_id NOT IN (SELECT doc_id FROM labels) AS dropped FROM (SELECT * FROM cells WHERE NOT contains(value, 'ß'))""")
+  CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN {sql.strip("lower(value) || '  '")} ELSE '' END AS v_out,
+  doc_id NOT IN (SELECT doc_id FROM labels) AS dropped FROM cells""")
 def compare_cells_query(spark, sf_dir):
     """Output exists for labelled documents only; the other cells count as dropped."""
-    source = line_cells(spark, sf_dir).where(~F.col("value").contains("ß"))
-    output = labelled_cells(spark, sf_dir).withColumn("value", F.concat(F.upper("value"), F.lit("  ")))
-    return compare_cells(source, output).drop("col")
+    source = line_cells(spark, sf_dir)
+    output = labelled_cells(spark, sf_dir).withColumn("value", F.concat(F.lower("value"), F.lit("  ")))
+    return compare_cells(source.select("row_id", "col", "value"), output).drop("col")
 
 
 @query("scatter_response", """

@@ -44,16 +44,16 @@ def document_cells(documents: DataFrame) -> DataFrame:
     )
 
 
-def compare_cells(source: DataFrame, output: DataFrame, keep_dropped: bool = True) -> DataFrame:
-    """Stripped input beside stripped output by (row_id, col).
+def compare_cells(source: DataFrame, output: DataFrame, keys: Sequence[str] = ("row_id", "col"), keep_dropped: bool = True) -> DataFrame:
+    """Stripped input beside stripped output by cell.
 
     A cell without output is kept and marked ``dropped``, never counted as translated.
     """
-    out = output.select("row_id", "col", F.col("value").alias("_out"), F.lit(True).alias("_there"))
-    joined = source.select("row_id", "col", "value").join(out, ["row_id", "col"], "left" if keep_dropped else "inner")
+    out = output.select(*keys, F.col("value").alias("_out"), F.lit(True).alias("_there"))
+    joined = source.join(out, list(keys), "left" if keep_dropped else "inner")
     return joined.select(
-        "row_id",
-        "col",
+        *keys,
+        *[c for c in source.columns if c not in keys and c != "value"],
         strip(F.col("value")).alias("v_in"),
         strip(F.coalesce(F.col("_out"), F.lit(""))).alias("v_out"),
         F.col("_there").isNull().alias("dropped"),
