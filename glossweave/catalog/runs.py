@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from glossweave.catalog import sql
 from glossweave.catalog.inputs import FIXED_SQL, MODEL, RULES, answer_table, labelled_cells, line_cells, line_pool
 from glossweave.catalog.registry import query, table
-from glossweave.functions.payload import resolve_response as resolve, validate_responses
+from glossweave.functions.payload import resolve_response as resolve
 from glossweave.operators import quality
 from glossweave.operators.cells import compare_cells, document_cells, unpivot_cells
 from glossweave.operators.chunks import text_requests
@@ -145,7 +145,7 @@ def resolve_response(spark, sf_dir):
     chunk = ["lang", "chunk_no"]
     sent = chunk_misses(language_fanout(line_pool(spark, sf_dir), ["EN"]))
     responses = run_requests(text_requests(sent, chunk), answer_some)
-    return resolve(validate_responses(responses), sent, chunk).select("text_norm", "translation", "is_fallback")
+    return resolve(responses, sent, chunk).select("text_norm", "translation", "is_fallback")
 
 
 def improve_by_attempt(lang: str, request: str, attempt: int) -> dict:

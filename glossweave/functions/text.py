@@ -106,23 +106,20 @@ def undo_mojibake(text: Column) -> Column:
     """Undo UTF-8 that was read as Latin-1 or Windows-1252, when the whole text allows it."""
     as_bytes = F.encode(F.translate(text, _CP1252_CHARS, _C1_CHARS), "ISO-8859-1")
     decoded = F.try_validate_utf8(as_bytes.cast("string"))
-    return F.when(
-        text.rlike(LEAD_AND_TAIL),
-        F.when(text.rlike(SINGLE_BYTE), F.coalesce(decoded, text)).otherwise(text),
-    ).otherwise(text)
+    return F.coalesce(F.when(text.rlike(LEAD_AND_TAIL) & text.rlike(SINGLE_BYTE), decoded), text)
 
 
-def unescape_entities(text: Column) -> Column:
-    """Decode the five XML entities once, in texts without markup."""
-    decoded = text
+def repair(text: Column) -> Column:
+    """Bounded text repair: mojibake, the five XML entities, curly quotes, control characters.
+
+    Entities are decoded once, and only in texts without markup. ``text`` should be a plain column:
+    it is read several times.
+    """
+    readable = undo_mojibake(text)
+    decoded = readable
     for entity, char in _ENTITIES:
         decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    return F.when(text.contains("&") & ~text.contains("<"), decoded).otherwise(text)
-
-
-def repair(text: Column) -> Column:
-    """Bounded text repair: entities, mojibake, curly quotes, control characters."""
-    fixed = undo_mojibake(unescape_entities(text))
+    fixed = F.when(text.contains("&") & ~text.contains("<"), decoded).otherwise(readable)
     return F.regexp_replace(F.translate(fixed, _CURLY, _STRAIGHT), _CONTROL, "")
 
 

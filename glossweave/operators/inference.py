@@ -32,12 +32,18 @@ def pseudo_translate(lang: str, request: str, attempt: int) -> dict:
 
 
 def run_requests(
-    requests: DataFrame, translate: Translate, attempt: int = 0, spread: Sequence[str] = ("lang", "chunk_no"), parallelism: int | None = None
+    requests: DataFrame,
+    translate: Translate,
+    attempt: int = 0,
+    shape: str = "text",
+    spread: Sequence[str] = ("lang", "chunk_no"),
+    parallelism: int | None = None,
 ) -> DataFrame:
-    """Send each request once and keep the raw answers in a written table.
+    """Send each request once and keep raw and validated answers in a written table.
 
-    The calls may be paid for, so the result is materialised before anything reads it. An exception
-    of the function becomes a failed response, not a failed task that would repeat its neighbours.
+    The calls may be paid for and the parsing is repeated work, so the result is materialised before
+    anything reads it. An exception of the function becomes a failed response, not a failed task
+    that would repeat its neighbours.
     """
     schema = T.StructType(
         [
@@ -62,7 +68,7 @@ def run_requests(
             yield pdf.drop(columns="request").assign(attempt=attempt)[schema.fieldNames()]
 
     placed = requests.repartition(parallelism, *spread) if parallelism else requests.repartition(*spread)
-    return materialise(placed.mapInPandas(send, schema), "responses")
+    return materialise(validate_responses(placed.mapInPandas(send, schema), shape), "responses")
 
 
 def translate_items(
@@ -84,7 +90,7 @@ def translate_items(
     pending, rounds = items.withColumn("chunk_no", F.col("chunk_no").cast("string")), max(1, max_items).bit_length()
     for step in range(rounds + 1):
         requests = text_requests(pending, chunk, text=text)
-        checked = validate_responses(run_requests(requests, translate, attempt, parallelism=parallelism)).withColumn("split_round", F.lit(step))
+        checked = run_requests(requests, translate, attempt, parallelism=parallelism).withColumn("split_round", F.lit(step))
         good = resolve_response(checked, pending, chunk, text)
         resolved = good if resolved is None else resolved.unionByName(good)
         responses = checked if responses is None else responses.unionByName(checked)

@@ -97,19 +97,26 @@ def localize_pool(df: DataFrame, memory: TranslationMemory, translate: Translate
 
 
 def _flag_suspects(output: DataFrame, settings: Settings) -> DataFrame:
-    """``text_key`` is NULL for untranslatable cells, which are never suspect."""
-    flag = F.col("text_key").isNotNull() & looks_untranslated(strip(F.col("output")), settings.markers)
-    return output.withColumn("suspect", F.coalesce(flag, F.lit(False)))
+    """``text_key`` is NULL for untranslatable cells, which are never suspect.
+
+    The stripped output is a column of its own: the score reads it many times.
+    """
+    shown = output.withColumn("_shown", strip(F.col("output")))
+    flag = F.col("text_key").isNotNull() & looks_untranslated(F.col("_shown"), settings.markers)
+    return shown.withColumn("suspect", F.coalesce(flag, F.lit(False))).drop("_shown")
 
 
 def _retry_items(suspects: DataFrame, settings: Settings) -> DataFrame:
     """Distinct suspect texts with what to send: the output while it shows residue, else the source."""
-    shown = strip(F.col("output"))
-    sent = F.when(residue_score(shown, settings.markers) >= RESEND_OUTPUT_SCORE, shown).otherwise(strip(F.col("value")))
-    texts = suspects.select("lang", normalise(F.col("value")).alias("text_norm"), sent.alias("sent"), "col_ord", "row_id")
-    texts = texts.where(rule_of_stripped(F.col("sent"), settings.abbr_max).isNull())
+    texts = (
+        suspects.select("lang", "value", "col_ord", "row_id", strip(F.col("output")).alias("shown"), strip(F.col("value")).alias("plain"))
+        .withColumn("score", residue_score(F.col("shown"), settings.markers))
+        .withColumn("sent", F.when(F.col("score") >= RESEND_OUTPUT_SCORE, F.col("shown")).otherwise(F.col("plain")))
+        .where(rule_of_stripped(F.col("sent"), settings.abbr_max).isNull())
+        .select("lang", normalise(F.col("value")).alias("text_norm"), normalise(F.col("sent")).alias("sent_text"), "col_ord", "row_id")
+    )
     distinct = texts.groupBy("lang", "text_norm").agg(
-        F.min(F.struct("col_ord", "row_id")).alias("first"), F.min(normalise(F.col("sent"))).alias("sent_text")
+        F.min(F.struct("col_ord", "row_id")).alias("first"), F.min("sent_text").alias("sent_text")
     )
     sized = distinct.select(
         "lang", "text_norm", "sent_text", F.col("first.col_ord"), F.col("first.row_id"), F.length("sent_text").alias("n_chars")

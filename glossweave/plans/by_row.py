@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossweave.functions.payload import validate_responses
 from glossweave.functions.text import non_blank, repair, rule_of_stripped, strip
 from glossweave.operators.cells import unpivot_cells
 from glossweave.operators.chunks import RETRY_BATCH, VALUE_BATCH, fixed_batches, row_requests, split_failed_chunks
@@ -28,8 +27,8 @@ def translate_fields(cells: DataFrame, translate: Translate, batch: int, attempt
     """
     pending, answers, responses = cells, [], []
     for step in range(batch.bit_length() + 1):
-        sent = run_requests(row_requests(pending, CHUNK), translate, attempt, parallelism=settings.parallelism)
-        checked = validate_responses(sent, "row").withColumn("split_round", F.lit(step))
+        sent = run_requests(row_requests(pending, CHUNK), translate, attempt, "row", parallelism=settings.parallelism)
+        checked = sent.withColumn("split_round", F.lit(step))
         got = checked.where(F.col("status") == "ok").select(*CHUNK, F.explode("items").alias("_item"))
         fields = got.select(*CHUNK, F.col("_item")["id"].alias("row_id"), F.explode(F.col("_item")["fields"]).alias("col", "_new"))
         asked = pending.select(*CHUNK, "row_id", "col")
