@@ -208,7 +208,7 @@ def localize_by_row(spark, sf_dir):
 
 
 def _document_stream(spark, sf_dir):
-    schema = table(spark, sf_dir, "documents").schema
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
     return spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
 
 

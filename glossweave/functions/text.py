@@ -94,12 +94,18 @@ def rule_of_stripped(v: Column, abbr_max: int = ABBREVIATION_MAX_POOL) -> Column
     )
 
 
-def untranslatable_rule(text: Column, abbr_max: int = ABBREVIATION_MAX_POOL) -> Column:
-    return rule_of_stripped(strip(text), abbr_max)
+def translatable_stripped(v: Column, abbr_max: int = ABBREVIATION_MAX_POOL) -> Column:
+    """Whether no rule matches the stripped text ``v``: the same rules as one pattern, read once."""
+    def body(pattern: str) -> str:
+        return pattern.removeprefix("(?U)").removeprefix(r"\A")
+
+    short_caps = body(ABBREVIATION).replace("]+", f"]{{1,{abbr_max}}}")
+    patterns = [*map(body, (NUMERIC, UNIT, CODE, LINK, PUNCTUATION)), short_caps]
+    return (F.length(v) > 5) & ~v.rlike(rf"(?U)\A(?:{'|'.join(patterns)})")
 
 
 def is_translatable(text: Column, abbr_max: int = ABBREVIATION_MAX_POOL) -> Column:
-    return untranslatable_rule(text, abbr_max).isNull()
+    return translatable_stripped(strip(text), abbr_max)
 
 
 def undo_mojibake(text: Column) -> Column:
@@ -125,7 +131,7 @@ def repair(text: Column) -> Column:
 
 def _needs_work(text: Column) -> Column:
     """Cheap test for everything that ``repair`` and the white-space rules could change."""
-    single = rf"[\x00-\x09\x0b-\x1f\x7f&{_CURLY}]"
+    single = "[\\x00-\\x09\\x0b-\\x1f\\x7f&ʼ‘-‟]"
     return text.rlike(single) | text.rlike(LEAD_AND_TAIL) | text.contains("  ") | text.contains("\n\n\n")
 
 

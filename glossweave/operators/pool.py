@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossweave.functions.text import ABBREVIATION_MAX_POOL, non_blank, normalise, rule_of_stripped, strip, text_key
+from glossweave.functions.text import ABBREVIATION_MAX_POOL, non_blank, normalise, strip, text_key, translatable_stripped
 from glossweave.operators.ordering import ordered_positions
 
 # Fixed value: a column with at most this many distinct texts is translated once per value.
@@ -34,7 +34,7 @@ def distinct_values(cells: DataFrame) -> DataFrame:
 def translatable_cells(cells: DataFrame, abbr_max: int = ABBREVIATION_MAX_POOL) -> DataFrame:
     """Cells worth sending. The strip is computed once, then every rule reads it."""
     stripped = cells.withColumn("_v", strip(F.col("value")))
-    return stripped.where(rule_of_stripped(F.col("_v"), abbr_max).isNull()).drop("_v")
+    return stripped.where(translatable_stripped(F.col("_v"), abbr_max)).drop("_v")
 
 
 # First appearance is column-major: one exact number keeps it a plain hash aggregate (a struct would

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossweave.functions.text import (
-    ABBREVIATION_MAX_POOL, ABBREVIATION_MAX_ROW, GERMAN, ResidueMarkers, expected_script, residue_score, rule_of_stripped,
+    ABBREVIATION_MAX_POOL, ABBREVIATION_MAX_ROW, GERMAN, ResidueMarkers, expected_script, residue_score, translatable_stripped,
 )
 
 # When an output still looks like the source language, and the retry limit.
@@ -22,7 +22,7 @@ SAMPLE_ROWS = 20
 def checked_cells(compared: DataFrame, abbr_max: int) -> DataFrame:
     """Compared cells ``(v_in, v_out)`` with non-blank input, marked ``ignored`` when untranslatable."""
     return compared.where(F.col("v_in") != "").withColumn(
-        "ignored", rule_of_stripped(F.col("v_in"), abbr_max).isNotNull()
+        "ignored", ~translatable_stripped(F.col("v_in"), abbr_max)
     )
 
 
@@ -49,7 +49,7 @@ def suspect_script(compared: DataFrame, abbr_max: int = ABBREVIATION_MAX_POOL) -
 def completeness_report(compared: DataFrame, keys: Sequence[str] = ("lang",), abbr_max: int = ABBREVIATION_MAX_ROW, row_key: str = "row_id") -> DataFrame:
     """Rows, cells, translated, ignored, suspect, dropped and percent per key."""
     filled = F.col("v_in") != ""
-    ignored = rule_of_stripped(F.col("v_in"), abbr_max).isNotNull()
+    ignored = ~translatable_stripped(F.col("v_in"), abbr_max)
     marked = compared.withColumn(
         "_kind",
         F.when(~filled, "blank")

@@ -7,13 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossweave.functions.text import normalise, residue_score, rule_of_stripped, strip
+from glossweave.functions.text import normalise, residue_score, strip, translatable_stripped
 from glossweave.operators.cells import unpivot_cells
 from glossweave.operators.chunks import MAX_CHARS, MAX_ITEMS, RETRY_CHARS, RETRY_ITEMS, greedy_chunks
 from glossweave.operators.inference import Translate, translate_items
 from glossweave.operators.lookup import apply_memory, hot_keys, salted_left_join, translations_by_text
 from glossweave.operators.pool import build_pool
-from glossweave.operators.quality import RESEND_OUTPUT_SCORE, looks_untranslated
+from glossweave.operators.quality import RESEND_OUTPUT_SCORE, SUSPECT_LENGTH, SUSPECT_SCORE
 from glossweave.plans.common import Run, Settings, assemble, count_by_language, prepare_source, usage_by_language
 from glossweave.session import materialise
 from glossweave.sources.memory import TranslationMemory, memory_misses, with_memory_key
@@ -81,7 +81,7 @@ def localize_pool(df: DataFrame, memory: TranslationMemory, translate: Translate
         memory.append(memory_rows(retried, model, rules, attempt), f"{run_id}-{attempt}")
         responses.append(answered)
         renewed = salted_left_join(
-            pending.drop("suspect"), translations_by_text(retried), "text_key", ["row_id", "col", "lang"], hot
+            pending.drop("suspect", "score"), translations_by_text(retried), "text_key", ["row_id", "col", "lang"], hot
         )
         better = F.nullif(F.col("translations")[F.col("lang")], F.lit(""))
         renewed = renewed.withColumn("output", F.coalesce(better, F.col("output"))).drop("translations")
@@ -91,35 +91,37 @@ def localize_pool(df: DataFrame, memory: TranslationMemory, translate: Translate
         resent.append(checks[-1])
         checks.append(count_by_language(pending, langs))
 
-    output = reduce(DataFrame.unionByName, [*settled, pending]).drop("suspect")
+    output = reduce(DataFrame.unionByName, [*settled, pending]).drop("suspect", "score")
     usage = usage_by_language(responses, cells, langs)
     return Run(assemble(source, output, columns, settings), output, pending.drop("suspect"), usage, checks, resent)
 
 
 def _flag_suspects(output: DataFrame, settings: Settings) -> DataFrame:
-    """``text_key`` is NULL for untranslatable cells, which are never suspect.
+    """Add ``score`` and ``suspect``. ``text_key`` is NULL for untranslatable cells, never suspect.
 
     The stripped output is a column of its own: the score reads it many times.
     """
     shown = output.withColumn("_shown", strip(F.col("output")))
-    flag = F.col("text_key").isNotNull() & looks_untranslated(F.col("_shown"), settings.markers)
-    return shown.withColumn("suspect", F.coalesce(flag, F.lit(False))).drop("_shown")
+    scored = shown.withColumn("score", residue_score(F.col("_shown"), settings.markers))
+    flag = F.col("text_key").isNotNull() & (F.length("_shown") >= SUSPECT_LENGTH) & (F.col("score") >= SUSPECT_SCORE)
+    return scored.withColumn("suspect", F.coalesce(flag, F.lit(False))).drop("_shown")
 
 
 def _retry_items(suspects: DataFrame, settings: Settings) -> DataFrame:
     """Distinct suspect texts with what to send: the output while it shows residue, else the source."""
+    sent = F.when(F.col("score") >= RESEND_OUTPUT_SCORE, F.col("output")).otherwise(F.col("value"))
     texts = (
-        suspects.select("lang", "value", "col_ord", "row_id", strip(F.col("output")).alias("shown"), strip(F.col("value")).alias("plain"))
-        .withColumn("score", residue_score(F.col("shown"), settings.markers))
-        .withColumn("sent", F.when(F.col("score") >= RESEND_OUTPUT_SCORE, F.col("shown")).otherwise(F.col("plain")))
-        .where(rule_of_stripped(F.col("sent"), settings.abbr_max).isNull())
+        suspects.withColumn("sent", strip(sent))
+        .where(translatable_stripped(F.col("sent"), settings.abbr_max))
         .select("lang", normalise(F.col("value")).alias("text_norm"), normalise(F.col("sent")).alias("sent_text"), "col_ord", "row_id")
     )
-    distinct = texts.groupBy("lang", "text_norm").agg(
-        F.min(F.struct("col_ord", "row_id")).alias("first"), F.min("sent_text").alias("sent_text")
-    )
-    sized = distinct.select(
-        "lang", "text_norm", "sent_text", F.col("first.col_ord"), F.col("first.row_id"), F.length("sent_text").alias("n_chars")
+    # Cells of one text share key and place, and copies collapse in a plain hash aggregate.
+    distinct = texts.groupBy("lang", "text_norm", "sent_text", "col_ord").agg(F.min("row_id").alias("row_id"))
+    sized = (
+        distinct.groupBy("lang", "text_norm")
+        .agg(F.min(F.struct("col_ord", "row_id", "sent_text")).alias("first"))
+        .select("lang", "text_norm", "first.*")
+        .withColumn("n_chars", F.length("sent_text"))
     )
     packed = greedy_chunks(
         sized, ["lang"], ["col_ord", "row_id", "text_norm"], "n_chars", min(settings.max_items, RETRY_ITEMS), RETRY_CHARS

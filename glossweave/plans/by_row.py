@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossweave.functions.text import non_blank, repair, rule_of_stripped, strip
+from glossweave.functions.text import non_blank, repair, strip, translatable_stripped
 from glossweave.operators.cells import unpivot_cells
 from glossweave.operators.chunks import RETRY_BATCH, VALUE_BATCH, fixed_batches, row_requests, split_failed_chunks
 from glossweave.operators.inference import Translate, run_requests
@@ -101,7 +101,7 @@ def _replace(output: DataFrame, answers: DataFrame, keys: Iterable[str]) -> Data
 def _unchanged(output: DataFrame, settings: Settings) -> DataFrame:
     stripped = output.withColumns({"v_in": strip(F.col("value")), "v_out": strip(F.col("output"))})
     same = stripped.where((F.col("v_in") == F.col("v_out")) & (F.col("v_in") != ""))
-    return same.where(rule_of_stripped(F.col("v_in"), settings.row_abbr_max).isNull())
+    return same.where(translatable_stripped(F.col("v_in"), settings.row_abbr_max))
 
 
 def _retry_cells(suspects: DataFrame, output: DataFrame, batch: int) -> DataFrame:

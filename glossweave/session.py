@@ -55,5 +55,15 @@ def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(target)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a scan that arrives in fewer splits than there are cores; leave any larger one alone.
+
+    Text rules are worth a small shuffle when one file would keep them in one task. A table of
+    ordinary size has far more splits than cores and is not touched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
