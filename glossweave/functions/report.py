@@ -49,9 +49,11 @@ def duration_text(seconds: Column) -> Column:
 def one_decimal(x: Column) -> Column:
     """A non-negative double with one decimal, rounded on its exact binary value, ties to even."""
     tenths = F.floor(x * 10).cast("bigint")
-    # x*20 - (2*tenths + 1), split into exact parts: its sign says on which side of the tie x lies.
-    sixteen = F.floor(x * 16)
-    side = (x * 16 - sixteen) + (x * 4 - (2 * tenths + 1 - sixteen))
+    # Sign of 20x - (2*tenths + 1), that is on which side of the tie x lies; 20x is kept exact as
+    # a rounded sum and its rounding error.
+    total = x * 16 + x * 4
+    error = x * 4 - (total - x * 16)
+    side = (total - (2 * tenths + 1)) + error
     up = (side > 0) | ((side == 0) & (tenths % 2 == 1))
     rounded = tenths + up.cast("bigint")
     return F.concat(F.floor(rounded / 10).cast("string"), F.lit("."), (rounded % 10).cast("string"))
