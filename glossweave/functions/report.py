@@ -41,9 +41,9 @@ RECOMMENDATION_COLUMNS = (
 
 
 def duration_text(seconds: Column) -> Column:
-    """``XmYYs`` with unlimited minutes."""
+    """``XmYYs`` with unlimited minutes; NULL stays NULL."""
     whole = F.floor(seconds).cast("bigint")
-    return F.format_string("%dm%02ds", F.floor(whole / 60).cast("bigint"), whole % 60)
+    return F.when(seconds.isNotNull(), F.format_string("%dm%02ds", F.floor(whole / 60).cast("bigint"), whole % 60))
 
 
 def one_decimal(x: Column) -> Column:
