@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from glossweave.catalog.registry import table
 from glossweave.functions.text import memory_key
 from glossweave.operators.cells import document_cells
-from glossweave.operators.pool import build_pool
+from glossweave.operators.pool import build_pool, language_fanout
 
 MODEL, RULES = "m1", "r1"
 
@@ -26,14 +26,14 @@ def line_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_pool(line_cells(spark, sf_dir))
 
 
-def earlier_memory(spark: SparkSession, sf_dir: str, lang: str) -> DataFrame:
-    """Memory rows of the earlier run in one language, as a deterministic pseudo translation."""
-    pool = build_pool(labelled_cells(spark, sf_dir))
+def earlier_memory(spark: SparkSession, sf_dir: str, *langs: str) -> DataFrame:
+    """Memory rows of the earlier run in the given languages, as a deterministic pseudo translation."""
+    pool = language_fanout(build_pool(labelled_cells(spark, sf_dir)), langs)
     return pool.select(
-        memory_key(F.lit(lang), F.lit(MODEL), F.lit(RULES), F.col("text_norm")).alias("key"),
-        F.lit(lang).alias("lang"),
+        memory_key(F.col("lang"), F.lit(MODEL), F.lit(RULES), F.col("text_norm")).alias("key"),
+        "lang",
         "text_norm",
-        F.concat(F.lit(f"[{lang}] "), F.col("text_norm")).alias("translation"),
+        F.concat(F.lit("["), "lang", F.lit("] "), "text_norm").alias("translation"),
         F.lit(False).alias("is_fallback"),
     )
 

@@ -108,7 +108,7 @@ WITH {sql.POOL}, {sql.EARLIER}
 SELECT c.row_id, l.lang, CASE WHEN e.text_norm IS NOT NULL THEN {sql.repair("'[' || l.lang || '] ' || e.text_norm")} ELSE c.value END AS output, e.text_norm IS NOT NULL AS is_hit
 FROM cells c CROSS JOIN {sql.languages(*LANGS)} LEFT JOIN normed n ON n.row_id = c.row_id LEFT JOIN earlier e ON e.text_norm = n.text_norm""")
 def apply_memory(spark, sf_dir):
-    hits = earlier_memory(spark, sf_dir, "EN").unionByName(earlier_memory(spark, sf_dir, "AR"))
+    hits = earlier_memory(spark, sf_dir, *LANGS)
     hot = hot_keys(materialise(line_pool(spark, sf_dir), "pool"), "text_key", "n_cells")
     return apply(line_cells(spark, sf_dir), hits, LANGS, hot=hot).select("row_id", "lang", "output", "is_hit")
 

@@ -152,25 +152,49 @@ def normalise(text: Column) -> Column:
     return strip(F.when(_needs_work(source), t).otherwise(source))
 
 
+def _damping(low: Column) -> Column:
+    return F.greatest(F.lit(1.0), F.least(F.lit(20.0), F.length(low) / F.lit(20.0)))
+
+
+def _weighted(found: list[Column], weight: float) -> Column:
+    return sum((f.cast("int") for f in found[1:]), found[0].cast("int")) * F.lit(weight)
+
+
+def _letters_and_fragments(raw: Column, low: Column, markers: ResidueMarkers) -> Column:
+    letters = _weighted([raw.rlike(f"[{markers.letters}]")], markers.letter_weight)
+    return letters + _weighted([low.contains(part) for part in markers.fragments], markers.fragment_weight)
+
+
+def _word_candidates(low: Column, markers: ResidueMarkers) -> Column:
+    """Marker words that occur at all, also inside other words: never fewer than the whole words."""
+    return _weighted([low.contains(word) for word in markers.words], markers.word_weight)
+
+
 def residue_score(text: Column, markers: ResidueMarkers = GERMAN) -> Column:
     """How much of the source language is left: marker presence, damped by length.
 
-    Words are found by padding every word with one blank, so that a single regular expression
-    serves all of them and the rest are plain substring searches.
+    Whole words are told apart by one pattern for all of them, and only in texts that hold one of
+    the words as a substring. ``text`` should be a plain column: it is read several times.
     """
     raw = F.coalesce(text, F.lit(""))
     low = F.lower(raw)
-    padded = F.concat(F.lit(" "), F.regexp_replace(low, r"[^\p{L}\p{N}_]+", " "), F.lit(" "))
+    longest_first = "|".join(sorted(markers.words, key=len, reverse=True))
+    whole_words = F.lit(rf"(?<![\p{{L}}\p{{N}}_])({longest_first})(?![\p{{L}}\p{{N}}_])")
+    distinct = F.size(F.array_distinct(F.regexp_extract_all(low, whole_words, F.lit(1)))) * F.lit(markers.word_weight)
+    words = F.when(_word_candidates(low, markers) > 0, distinct).otherwise(F.lit(0.0))
+    return (_letters_and_fragments(raw, low, markers) + words) / _damping(low)
+
 
-    def present(found: Column, weight: float) -> Column:
-        return found.cast("double") * F.lit(weight)
+def residue_at_least(text: Column, threshold: float, markers: ResidueMarkers = GERMAN) -> Column:
+    """The residue score where it reaches ``threshold``, else 0.0.
 
-    score = present(raw.rlike(f"[{markers.letters}]"), markers.letter_weight)
-    for word in markers.words:
-        score = score + present(padded.contains(f" {word} "), markers.word_weight)
-    for part in markers.fragments:
-        score = score + present(low.contains(part), markers.fragment_weight)
-    return score / F.greatest(F.lit(1.0), F.least(F.lit(20.0), F.length(low) / F.lit(20.0)))
+    Substring searches bound the score from above; nearly all translated texts stop there.
+    """
+    raw = F.coalesce(text, F.lit(""))
+    low = F.lower(raw)
+    bound = (_letters_and_fragments(raw, low, markers) + _word_candidates(low, markers)) / _damping(low)
+    score = residue_score(text, markers)
+    return F.when(bound >= threshold, F.when(score >= threshold, score).otherwise(F.lit(0.0))).otherwise(F.lit(0.0))
 
 
 def expected_script(lang: Column, text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossweave.functions.text import (
-    ABBREVIATION_MAX_POOL, ABBREVIATION_MAX_ROW, GERMAN, ResidueMarkers, expected_script, residue_score, translatable_stripped,
+    ABBREVIATION_MAX_POOL, ABBREVIATION_MAX_ROW, GERMAN, ResidueMarkers, expected_script, residue_at_least, translatable_stripped,
 )
 
 # When an output still looks like the source language, and the retry limit.
@@ -32,7 +32,7 @@ def suspect_equal(compared: DataFrame, abbr_max: int = ABBREVIATION_MAX_ROW) ->
 
 
 def looks_untranslated(v_out: Column, markers: ResidueMarkers = GERMAN) -> Column:
-    return (F.length(v_out) >= SUSPECT_LENGTH) & (residue_score(v_out, markers) >= SUSPECT_SCORE)
+    return (F.length(v_out) >= SUSPECT_LENGTH) & (residue_at_least(v_out, SUSPECT_SCORE, markers) > 0)
 
 
 def suspect_residue(compared: DataFrame, abbr_max: int = ABBREVIATION_MAX_POOL, markers: ResidueMarkers = GERMAN) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossweave.functions.text import normalise, residue_score, strip, translatable_stripped
+from glossweave.functions.text import normalise, residue_at_least, strip, translatable_stripped
 from glossweave.operators.cells import unpivot_cells
 from glossweave.operators.chunks import MAX_CHARS, MAX_ITEMS, RETRY_CHARS, RETRY_ITEMS, greedy_chunks
 from glossweave.operators.inference import Translate, translate_items
@@ -97,13 +97,13 @@ def localize_pool(df: DataFrame, memory: TranslationMemory, translate: Translate
 
 
 def _flag_suspects(output: DataFrame, settings: Settings) -> DataFrame:
-    """Add ``score`` and ``suspect``. ``text_key`` is NULL for untranslatable cells, never suspect.
+    """Add ``score`` (0.0 below the suspect mark) and ``suspect``. ``text_key`` is NULL for untranslatable cells, never suspect.
 
     The stripped output is a column of its own: the score reads it many times.
     """
     shown = output.withColumn("_shown", strip(F.col("output")))
-    scored = shown.withColumn("score", residue_score(F.col("_shown"), settings.markers))
-    flag = F.col("text_key").isNotNull() & (F.length("_shown") >= SUSPECT_LENGTH) & (F.col("score") >= SUSPECT_SCORE)
+    scored = shown.withColumn("score", residue_at_least(F.col("_shown"), SUSPECT_SCORE, settings.markers))
+    flag = F.col("text_key").isNotNull() & (F.length("_shown") >= SUSPECT_LENGTH) & (F.col("score") > 0)
     return scored.withColumn("suspect", F.coalesce(flag, F.lit(False))).drop("_shown")
 
 
