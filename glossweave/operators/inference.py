@@ -12,7 +12,10 @@ from pyspark.sql import types as T
 
 from glossweave.functions.payload import resolve_response, validate_responses
 from glossweave.operators.chunks import split_failed_chunks, text_requests
-from glossweave.session import materialise
+from glossweave.session import materialise, shuffle_partitions
+
+# A lost task repeats the calls of its partition, so partitions stay small.
+CALLS_PER_TASK = 50
 
 # (language, request JSON, attempt) -> {"raw", "prompt_tokens", "completion_tokens", "api_calls"}
 Translate = Callable[[str, str, int], dict]
@@ -67,7 +70,9 @@ def run_requests(
                 pdf[column] = [a[column] for a in answers]
             yield pdf.drop(columns="request").assign(attempt=attempt)[schema.fieldNames()]
 
-    placed = requests.repartition(parallelism, *spread) if parallelism else requests.repartition(*spread)
+    number = requests.select(*spread).count()
+    wide = parallelism or max(min(number, shuffle_partitions(requests.sparkSession)), -(-number // CALLS_PER_TASK), 1)
+    placed = requests.repartition(wide, *spread)
     return materialise(validate_responses(placed.mapInPandas(send, schema), shape), "responses")
 
 

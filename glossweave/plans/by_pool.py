@@ -44,7 +44,7 @@ def translate_missing(cells: DataFrame, memory: TranslationMemory, translate: Tr
     """Pool the cells, send what the memory lacks, append the answers. Returns pool and responses."""
     langs, model, rules = list(settings.langs), settings.model, settings.rules_id
     pool = materialise(build_pool(cells, settings.abbr_max), "pool")
-    known = memory.current(langs, model, rules)
+    known = memory.rows(langs, model, rules)
     items = chunk_misses(memory_misses(with_memory_key(pool, langs, model, rules), known), settings.max_items, settings.max_chars)
     if items.isEmpty():
         return pool, []

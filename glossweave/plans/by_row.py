@@ -12,6 +12,7 @@ from glossweave.functions.text import non_blank, repair, strip, translatable_str
 from glossweave.operators.cells import unpivot_cells
 from glossweave.operators.chunks import RETRY_BATCH, VALUE_BATCH, fixed_batches, row_requests, split_failed_chunks
 from glossweave.operators.inference import Translate, run_requests
+from glossweave.operators.lookup import hot_keys, salted_left_join
 from glossweave.operators.pool import column_strategy, distinct_values, language_fanout
 from glossweave.plans.common import Run, Settings, assemble, count_by_language, prepare_source, usage_by_language
 from glossweave.session import materialise
@@ -52,19 +53,25 @@ def localize_rows(df: DataFrame, translate: Translate, settings: Settings) -> Ru
     strategy = {r["col"]: r["strategy"] for r in column_strategy(cells, settings.forced_dedup).collect()}
     by_value = [c for c in columns if strategy.get(c) == "dedup"]
     by_row = [c for c in columns if strategy.get(c) != "dedup"]
-    output = language_fanout(cells, langs).withColumn("output", F.col("value"))
-    responses = []
+    keyed, responses = cells.withColumn("translations", F.lit(None).cast("map<string,string>")), []
 
     if by_value:
-        values = distinct_values(cells.where(F.col("col").isin(*by_value)))
+        values = materialise(distinct_values(cells.where(F.col("col").isin(*by_value))), "values")
         batched = fixed_batches(values, ["col"], ["first_row", "value"], VALUE_BATCH)
         named = batched.withColumns({"chunk_no": F.concat_ws("#", "col", "batch_no"), "row_id": F.col("item_no")})
         asked = materialise(language_fanout(named, langs).select(*CHUNK, "row_id", "col", "value"), "value-batches")
         answers, got = translate_fields(asked, translate, VALUE_BATCH, 0, settings)
-        mapping = asked.join(answers, [*CHUNK, "row_id", "col"]).select("lang", "col", "value", "new")
-        output = _replace(output, mapping, ["lang", "col", "value"])
+        found = asked.join(answers, [*CHUNK, "row_id", "col"]).groupBy(_value_key().alias("text_key"))
+        mapping = found.agg(F.map_from_entries(F.collect_list(F.struct("lang", "new"))).alias("translations"))
+        hot = hot_keys(values.withColumn("text_key", _value_key()), "text_key", "n_cells")
+        named = cells.withColumn("text_key", F.when(F.col("col").isin(*by_value), _value_key()))
+        keyed = salted_left_join(named, mapping, "text_key", ["row_id", "col"], hot).drop("text_key")
         responses.append(got)
 
+    # One entry per language in the map, so cells are multiplied by languages after the join.
+    replaced = F.coalesce(F.col("translations")[F.col("lang")], F.col("value"))
+    output = language_fanout(keyed, langs).withColumn("output", replaced).drop("translations")
+
     if by_row:
         rows = fixed_batches(source.select(F.col(settings.row_id).alias("row_id")), [], ["row_id"], settings.row_batch)
         wanted = cells.where(F.col("col").isin(*by_row) & non_blank(F.col("value")))
@@ -92,6 +99,10 @@ def localize_rows(df: DataFrame, translate: Translate, settings: Settings) -> Ru
     return Run(assemble(source, output, columns, settings), output, pending, usage, checks, resent)
 
 
+def _value_key():
+    return F.sha2(F.concat_ws("|", "col", "value"), 256)
+
+
 def _replace(output: DataFrame, answers: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Put ``new`` over ``output`` where an answer exists."""
     joined = output.join(answers.select(*keys, "new"), list(keys), "left")

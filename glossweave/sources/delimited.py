@@ -94,7 +94,7 @@ def write_by_language(
 ) -> None:
     """One directory per target language; a run replaces only the languages it holds."""
     chosen = df if order is None else ordered_projection(df, [*[c for c in order if c != lang], lang])
-    writer = chosen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(lang)
+    writer = chosen.hint("rebalance", lang).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(lang)
     if fmt == "csv":
         for name, value in csv_options(sep).items():
             writer = writer.option(name, value)

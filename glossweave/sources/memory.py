@@ -71,7 +71,8 @@ class TranslationMemory:
         reader = self.spark.read.schema(SCHEMA)
         return reader.parquet(self.path) if self._exists() else self.spark.createDataFrame([], SCHEMA)
 
-    def current(self, langs: Iterable[str] | None = None, model: str | None = None, rules_id: str | None = None) -> DataFrame:
+    def rows(self, langs: Iterable[str] | None = None, model: str | None = None, rules_id: str | None = None) -> DataFrame:
+        """Log rows of some languages and one generation; enough to tell hits from misses."""
         rows = self.log()
         if langs is not None:
             rows = rows.where(F.col("lang").isin(*langs))
@@ -79,14 +80,20 @@ class TranslationMemory:
             rows = rows.where(F.col("model") == model)
         if rules_id is not None:
             rows = rows.where(F.col("rules_id") == rules_id)
-        return latest_translation(rows)
+        return rows
+
+    def current(self, langs: Iterable[str] | None = None, model: str | None = None, rules_id: str | None = None) -> DataFrame:
+        """Latest row per key."""
+        return latest_translation(self.rows(langs, model, rules_id))
 
     def append(self, rows: DataFrame, batch_id: str) -> None:
         """Write one batch: ``lang, model, rules_id, text_norm, translation, is_fallback, attempt, updated_at``."""
         key = memory_key(F.col("lang"), F.col("model"), F.col("rules_id"), F.col("text_norm"))
         full = rows.withColumns({"key": key, "batch_id": F.lit(batch_id)})
+        # Rebalancing gives each language files of the advisory size and splits a dominant language.
         (
             full.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMA.fields])
+            .hint("rebalance", "lang")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("lang", "batch_id")

@@ -41,10 +41,9 @@ def incremental_localize(
 
     def handle(batch: DataFrame, batch_no: int) -> None:
         batch_id = f"stream-{batch_no}"
-        known = memory.log().where(F.col("batch_id") != batch_id)
-        known = known.where(F.col("lang").isin(*langs) & (F.col("model") == model) & (F.col("rules_id") == rules_id))
+        known = memory.rows(langs, model, rules_id).where(F.col("batch_id") != batch_id)
         pool = materialise(build_pool(to_cells(batch)), "batch-pool")
-        misses = memory_misses(with_memory_key(pool, langs, model, rules_id), known.dropDuplicates(["key"]))
+        misses = memory_misses(with_memory_key(pool, langs, model, rules_id), known)
         items = chunk_misses(misses)
         if items.isEmpty():
             return
