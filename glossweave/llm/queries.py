@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from glossweave.llm.common import read_table
+from glossweave.llm.near_dedup import fingerprint_hex, near_duplicates
 from glossweave.llm.quality import quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +20,14 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_duplicates(read_table(spark, sf_dir, "documents"), F.col("doc_id"))
+    return groups.select(
+        F.col("id").alias("doc_id"), fingerprint_hex(F.col("print")).alias("fingerprint"), F.col("component").alias("component_id")
+    )
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = quality_rules(read_table(spark, sf_dir, "documents"), columns=["doc_id"])
