@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from glossweave.llm.common import read_table
 from glossweave.llm.near_dedup import fingerprint_hex, near_duplicates
+from glossweave.llm.packing import pack_documents
 from glossweave.llm.quality import quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +34,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = quality_rules(read_table(spark, sf_dir, "documents"), columns=["doc_id"])
     figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return rules.select("doc_id", *figures, "n_tokens", "chars_per_token", "byte_share", "token_entropy")
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), F.col("doc_id")).withColumnRenamed("id", "doc_id")
