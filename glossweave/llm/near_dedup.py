@@ -200,7 +200,7 @@ def one_of_each_group(docs: DataFrame, ident: str = "doc_id", text: str = "text"
     """
     key = F.struct(F.col(ident).isNull().alias("none"), F.col(ident).alias("id"), F.xxhash64(filled(F.col(text))).alias("h"))
     groups = near_duplicates(docs, key, text, **rule).groupBy("id", "component").count()
-    kept = groups.filter(F.col("id") == F.col("component")).select(F.col("id").alias("_key"), (F.col("count") > 1).alias("_many"))
-    rows = docs.withColumn("_own", key).join(kept, F.col("_own") == F.col("_key"))
-    kept_rows = rows.filter(~F.col("_many")).unionByName(rows.filter("_many").dropDuplicates(["_own"]))
-    return kept_rows.drop("_own", "_key", "_many")
+    kept = groups.filter(F.col("id") == F.col("component")).select(F.col("id").alias("__key"), (F.col("count") > 1).alias("__many"))
+    rows = docs.withColumn("__own", key).join(kept, F.col("__own") == F.col("__key"))
+    kept_rows = rows.filter(~F.col("__many")).unionByName(rows.filter("__many").dropDuplicates(["__own"]))
+    return kept_rows.drop("__own", "__key", "__many")

@@ -149,7 +149,7 @@ def language_bands(figures: DataFrame, width: float) -> DataFrame:
         return [(low - reach).alias(f"{name}_low"), (high + reach).alias(f"{name}_high")]
 
     return bands.select(
-        F.col("language").alias("_language"), F.col("length_class").alias("_length_class"), *limits("chars_per_token", 0.02),
+        F.col("language").alias("__language"), F.col("length_class").alias("__length_class"), *limits("chars_per_token", 0.02),
         *limits("byte_share", 0.005), *limits("token_entropy", 0.01),
     )
 
@@ -169,27 +169,27 @@ def quality_rules(
     texts have no words and fail the base rules; repeated rows are judged alike; an empty table stays empty. ``prefix``
     goes before each new column name, for tables that already have such a column.
     """
-    language = F.coalesce(F.lower(F.col(lang).cast("string")), F.col("_f.script")) if lang else F.col("_f.script")
-    measured = docs.withColumn("_f", text_figures(filled(F.col(text)), model))
-    share = F.when(F.col("_f.n_tokens") > 1, F.col("_f.token_entropy") / F.log2(F.col("_f.n_tokens"))).otherwise(0.0)
-    length_class = F.floor(F.log2(F.greatest(F.col("_f.n_tokens"), F.lit(1)))).cast("int")
-    failed = (F.col("_f.n_words") < MIN_WORDS) | (100 * F.col("_f.n_repeat_words") > MAX_REPEAT_SHARE * F.col("_f.n_words"))
+    language = F.coalesce(F.lower(F.col(lang).cast("string")), F.col("__f.script")) if lang else F.col("__f.script")
+    measured = docs.withColumn("__f", text_figures(filled(F.col(text)), model))
+    share = F.when(F.col("__f.n_tokens") > 1, F.col("__f.token_entropy") / F.log2(F.col("__f.n_tokens"))).otherwise(0.0)
+    length_class = F.floor(F.log2(F.greatest(F.col("__f.n_tokens"), F.lit(1)))).cast("int")
+    failed = (F.col("__f.n_words") < MIN_WORDS) | (100 * F.col("__f.n_repeat_words") > MAX_REPEAT_SHARE * F.col("__f.n_words"))
     measured = measured.withColumn(
-        "_f", F.col("_f").withField("language", language).withField("length_class", length_class).withField("token_entropy", share).withField("base_failed", failed)
+        "__f", F.col("__f").withField("language", language).withField("length_class", length_class).withField("token_entropy", share).withField("base_failed", failed)
     )
     columns = docs.columns if columns is None else columns
-    measured = materialise(measured.select(*[F.col(f"`{c}`") for c in columns], "_f"), "quality")
-    bands = language_bands(measured.select("_f.*"), width)
+    measured = materialise(measured.select(*[F.col(f"`{c}`") for c in columns], "__f"), "quality")
+    bands = language_bands(measured.select("__f.*"), width)
     inside = F.lit(True)
     for name in BANDED:
-        inside &= F.coalesce(F.col(f"_f.{name}").between(F.col(f"_b.{name}_low"), F.col(f"_b.{name}_high")), F.lit(True))
-    bands = bands.select("_language", "_length_class", F.struct(*bands.columns[2:]).alias("_b"))
-    same = (F.col("_f.language") == F.col("_language")) & (F.col("_f.length_class") == F.col("_length_class"))
+        inside &= F.coalesce(F.col(f"__f.{name}").between(F.col(f"__b.{name}_low"), F.col(f"__b.{name}_high")), F.lit(True))
+    bands = bands.select("__language", "__length_class", F.struct(*bands.columns[2:]).alias("__b"))
+    same = (F.col("__f.language") == F.col("__language")) & (F.col("__f.length_class") == F.col("__length_class"))
     judged = measured.join(bands, same, "left")
     names = [n for n, _ in FIELDS if n != "script"]
     return judged.select(
         *[F.col(f"`{c}`") for c in columns],
-        *[F.col(f"_f.{n}").alias(prefix + n) for n in names],
-        F.col("_f.base_failed").alias(prefix + "base_failed"),
-        (~F.col("_f.base_failed") & inside).alias(prefix + "kept"),
+        *[F.col(f"__f.{n}").alias(prefix + n) for n in names],
+        F.col("__f.base_failed").alias(prefix + "base_failed"),
+        (~F.col("__f.base_failed") & inside).alias(prefix + "kept"),
     )

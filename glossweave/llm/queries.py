@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossweave.llm.common import read_table
+from glossweave.llm.decontaminate import contaminated
+from glossweave.llm.line_dedup import REMOVED_LINES_SQL, remove_repeated_lines
 from glossweave.llm.near_dedup import fingerprint_hex, near_duplicates
 from glossweave.llm.packing import pack_documents
 from glossweave.llm.quality import quality_rules
@@ -21,6 +23,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_duplicates(read_table(spark, sf_dir, "documents"), F.col("doc_id"))
@@ -29,6 +36,14 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
+
+
+ORACLES["op6_line_dedup"] = REMOVED_LINES_SQL + "SELECT doc_id, text, n_lines, n_removed FROM kept"
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = quality_rules(read_table(spark, sf_dir, "documents"), columns=["doc_id"])
