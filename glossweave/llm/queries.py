@@ -13,6 +13,7 @@ from glossweave.llm.line_dedup import REMOVED_LINES_SQL, remove_repeated_lines
 from glossweave.llm.near_dedup import fingerprint_hex, near_duplicates
 from glossweave.llm.packing import pack_documents
 from glossweave.llm.quality import quality_rules
+from glossweave.llm.warc import ROUND_TRIP_SQL, archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +55,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), F.col("doc_id")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
+ORACLES["op10_warc"] = ROUND_TRIP_SQL
