@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from glossweave.llm.common import read_table
 from glossweave.llm.decontaminate import contaminated
+from glossweave.llm.licences import SCAN_SQL, licence_scan
 from glossweave.llm.line_dedup import REMOVED_LINES_SQL, remove_repeated_lines
 from glossweave.llm.near_dedup import fingerprint_hex, near_duplicates
 from glossweave.llm.packing import pack_documents
@@ -52,6 +53,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.select("doc_id", *figures, "n_tokens", "chars_per_token", "byte_share", "token_entropy")
 
 
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_license_scan"] = SCAN_SQL
+
+
 @query
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), F.col("doc_id")).withColumnRenamed("id", "doc_id")
