@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from glossweave.llm.common import read_table
 from glossweave.llm.decontaminate import contaminated
+from glossweave.llm.html_main import main_texts
 from glossweave.llm.licences import SCAN_SQL, licence_scan
 from glossweave.llm.line_dedup import REMOVED_LINES_SQL, remove_repeated_lines
 from glossweave.llm.near_dedup import fingerprint_hex, near_duplicates
@@ -30,6 +31,12 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = main_texts(read_table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_duplicates(read_table(spark, sf_dir, "documents"), F.col("doc_id"))
