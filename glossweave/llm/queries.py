@@ -14,6 +14,7 @@ from glossweave.llm.licences import SCAN_SQL, licence_scan
 from glossweave.llm.line_dedup import REMOVED_LINES_SQL, remove_repeated_lines
 from glossweave.llm.near_dedup import fingerprint_hex, near_duplicates
 from glossweave.llm.packing import pack_documents
+from glossweave.llm.pii import personal_data
 from glossweave.llm.quality import quality_rules
 from glossweave.llm.warc import ROUND_TRIP_SQL, archive_round_trip
 
@@ -37,6 +38,11 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_duplicates(read_table(spark, sf_dir, "documents"), F.col("doc_id"))
