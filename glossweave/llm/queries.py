@@ -16,6 +16,7 @@ from glossweave.llm.near_dedup import fingerprint_hex, near_duplicates
 from glossweave.llm.packing import pack_documents
 from glossweave.llm.pii import personal_data
 from glossweave.llm.quality import quality_rules
+from glossweave.llm.toxicity import toxicity
 from glossweave.llm.warc import ROUND_TRIP_SQL, archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +44,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_duplicates(read_table(spark, sf_dir, "documents"), F.col("doc_id"))
