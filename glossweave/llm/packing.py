@@ -10,7 +10,9 @@ the table. Ranks of equally long pieces are counted in salted groups, so no leng
 from __future__ import annotations
 
 import bisect
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,39 +26,81 @@ from glossweave.session import materialise
 
 CAPACITY = 4096
 END_ID = 1
-#: Words kept by each Python worker; the table is emptied when it is full, results do not depend on it.
+#: Words in each of a Python worker's two tables, of which the older goes when the newer is full.
 WORDS_KEPT = 300_000
 #: Groups that the pieces of one length are numbered in.
 SALTS = 64
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str) -> tuple:
-    import os
+class WordIds:
+    """Ids of single words, remembered by a worker.
 
-    from tokenizers import Tokenizer
+    The vocabulary drops white space, ignores case and never merges across blanks or between letters and punctuation, so a
+    text's ids are those of its words in a row. Words of Latin letters, also before one full stop or comma, go straight to
+    the merges of the model; any other word takes the tokenizer's full way.
+    """
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer, {}
+    def __init__(self, path: str):
+        import os
 
+        from tokenizers import Tokenizer
 
-def token_ids(data: bytes, path: str) -> bytes:
-    """Little-endian 32-bit ids of a text, joined from those of its words.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        #: The characters that stand for bytes in a byte-level vocabulary.
+        self.letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    The vocabulary drops white space and never merges across it, so words between ASCII blanks can be encoded alone;
-    each new word is encoded once by a worker.
-    """
-    tokenizer, known = _tokenizer(path)
-    if len(known) > WORDS_KEPT:
-        known.clear()
-    words = data.split()
-    if new := [w for w in dict.fromkeys(words) if w not in known]:
-        encoded = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        for word, item in zip(new, encoded, strict=True):
-            known[word] = np.asarray(item.ids, dtype="<u4").tobytes()
-    return b"".join(map(known.__getitem__, words))
+    def whole(self, word: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
+
+    def letters_only(self, word: str) -> bytes | None:
+        """Ids of a word of Latin letters; None for any other."""
+        if not word.isalpha():
+            return None
+        low = word.lower()
+        if not word.isascii():
+            if max(word) >= "\u0250" or "\u0130" in word or not unicodedata.is_normalized("NFC", word):
+                return None
+            low = low.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(low)]).tobytes()
+
+    def learn(self, word: bytes) -> bytes:
+        """Ids of a word whose ASCII letters are in lower case; also remembers what stands before a full stop or comma."""
+        ids = self.older.get(word)
+        if ids is None and len(word) > 1 and word[-1] in b".,":
+            stem, last = word[:-1], word[:-1].decode("utf-8", "replace")[-1]
+            if last.isalpha() and last < "\u0250" and last != "\u0130":
+                ids = (self.known.get(stem) or self.learn(stem)) + (self.known.get(word[-1:]) or self.learn(word[-1:]))
+        if ids is None:
+            ids = self.letters_only(word.decode("utf-8", "replace"))
+        self.known[word] = ids = self.whole(word) if ids is None else ids
+        return ids
+
+    def text(self, data: bytes) -> bytes:
+        """Little-endian 32-bit ids of a text."""
+        if len(self.known) > WORDS_KEPT:
+            self.older, self.known = self.known, {}
+        known = self.known
+        words = data.lower().split()
+        for word in set(words).difference(known):
+            self.learn(word)
+        return b"".join(map(known.__getitem__, words))
+
+
+@lru_cache(maxsize=2)
+def _word_ids(path: str) -> WordIds:
+    return WordIds(path)
+
+
+def token_ids(data: bytes, path: str) -> bytes:
+    """Little-endian 32-bit ids of a text."""
+    return _word_ids(path).text(data)
 
 
 def token_pieces(docs: DataFrame, ident: Column, text: str, path: str, capacity: int, end_id: int) -> DataFrame:
