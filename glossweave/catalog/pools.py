@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from glossweave.catalog import sql
-from glossweave.catalog.inputs import MODEL, RULES, earlier_memory, labelled_cells, line_cells, line_pool
+from glossweave.catalog.inputs import MODEL, RULES, earlier_memory, line_cells, line_pool
 from glossweave.catalog.registry import query, table
 from glossweave.operators import chunks
 from glossweave.operators.lookup import apply_memory as apply, hot_keys, map_with_fallback as map_values
@@ -63,16 +63,16 @@ def resume_remaining(spark, sf_dir):
 
 
 @query("memory_upsert", f"""
-WITH {sql.POOL}, {sql.EARLIER},
-second AS (SELECT DISTINCT text_norm FROM normed WHERE text_norm <> '' AND doc_lang IN ('de', 'fr')),
-log AS (SELECT text_norm, 'first ' || text_norm AS translation, 0 AS attempt FROM earlier
+WITH {sql.POOL},
+first AS (SELECT DISTINCT text_norm FROM normed WHERE text_norm <> '' AND doc_id % 2 = 0),
+second AS (SELECT DISTINCT text_norm FROM normed WHERE text_norm <> '' AND doc_id % 2 <> 0),
+log AS (SELECT text_norm, 'first ' || text_norm AS translation, 0 AS attempt FROM first
   UNION ALL SELECT text_norm, 'second ' || text_norm, 1 FROM second)
 SELECT {sql.key("'EN'", 'text_norm')} AS key, text_norm, arg_max(translation, attempt) AS translation, max(attempt) AS attempt FROM log GROUP BY text_norm""")
 def memory_upsert(spark, sf_dir):
-    """First the labelled documents, then the German and French ones; the second batch is written twice."""
+    """First the documents with even numbers, then the odd ones; the second batch is written twice."""
     memory = mem.TranslationMemory(spark, stage_path(spark, "memory"))
-    documents = table(spark, sf_dir, "documents").where(F.col("lang").isin("de", "fr")).select("doc_id")
-    second = line_cells(spark, sf_dir).join(documents, "doc_id", "left_semi")
+    even, odd = (line_cells(spark, sf_dir).where(F.col("doc_id") % 2 == 0), line_cells(spark, sf_dir).where(F.col("doc_id") % 2 != 0))
 
     def rows(cells, word, attempt):
         return pool_of(cells).select(
@@ -81,9 +81,9 @@ def memory_upsert(spark, sf_dir):
             F.lit(attempt).alias("attempt"), F.localtimestamp().alias("updated_at"),
         )
 
-    memory.append(rows(labelled_cells(spark, sf_dir), "first ", 0), "b1")
+    memory.append(rows(even, "first ", 0), "b1")
     for _ in range(2):
-        memory.append(rows(second, "second ", 1), "b2")
+        memory.append(rows(odd, "second ", 1), "b2")
     return memory.current(["EN"], MODEL, RULES).select("key", "text_norm", "translation", "attempt")
 
 

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from glossweave.catalog import sql
 from glossweave.catalog.inputs import FIXED_SQL, MODEL, RULES, answer_table, labelled_cells, line_cells, line_pool
-from glossweave.catalog.registry import query, table
+from glossweave.catalog.registry import ORACLES, query, table
 from glossweave.functions.payload import resolve_response as resolve
 from glossweave.operators import quality
 from glossweave.operators.cells import compare_cells, document_cells, unpivot_cells
 from glossweave.operators.chunks import text_requests
+from glossweave.operators.ordering import with_row_id
 from glossweave.operators.inference import pseudo_translate, run_requests, translate_items, usage_totals as totals
-from glossweave.operators.pool import language_fanout
-from glossweave.plans.by_pool import chunk_misses, localize_pool
+from glossweave.operators.pool import build_pool, language_fanout
+from glossweave.plans.by_pool import chunk_misses, localize_pool, memory_rows
 from glossweave.plans.by_row import localize_rows
 from glossweave.plans.common import Settings
 from glossweave.session import stage_path
@@ -25,16 +26,22 @@ from glossweave.streaming.incremental import incremental_localize as start_incre
 
 LANGS = ["EN", "AR"]
 
-# Every third length comes back unchanged, documents without a label are missing from the output.
-_COMPARED = f"""{sql.CELLS}, fanned AS (SELECT row_id, lang, value, CASE WHEN length(value) % 3 = 0 THEN value ELSE '[' || lang || '] ' || value END AS o,
-    doc_id NOT IN (SELECT doc_id FROM labels) AS dropped FROM cells, {sql.languages(*LANGS)}),
+def _compared_sql(dropped: str) -> str:
+    """Every third length comes back unchanged; what is ``dropped`` has no output."""
+    return f"""{sql.CELLS}, fanned AS (SELECT row_id, lang, value, CASE WHEN length(value) % 3 = 0 THEN value ELSE '[' || lang || '] ' || value END AS o,
+    {dropped} AS dropped FROM cells, {sql.languages(*LANGS)}),
 compared AS MATERIALIZED (SELECT row_id, lang, {sql.strip('value')} AS v_in, CASE WHEN dropped THEN '' ELSE {sql.strip('o')} END AS v_out, dropped FROM fanned),
 ruled AS MATERIALIZED (SELECT *, {sql.rule('v_in', 10)} AS rule_row, {sql.rule('v_in', 12)} AS rule_pool FROM compared)"""
 
 
-def _compared(spark, sf_dir):
+_COMPARED = _compared_sql("false")
+_WITH_GAPS = _compared_sql("doc_id NOT IN (SELECT doc_id FROM labels)")
+
+
+def _compared(spark, sf_dir, gaps=False):
+    """All lines beside their output; with ``gaps`` documents without a label have none."""
     source = language_fanout(line_cells(spark, sf_dir), LANGS)
-    answered = language_fanout(labelled_cells(spark, sf_dir), LANGS)
+    answered = language_fanout(labelled_cells(spark, sf_dir), LANGS) if gaps else source
     changed = F.concat(F.lit("["), "lang", F.lit("] "), "value")
     output = answered.withColumn("value", F.when(F.length("value") % 3 == 0, F.col("value")).otherwise(changed))
     return compare_cells(source.drop("doc_id", "pos"), output, ["row_id", "col", "lang"])
@@ -59,14 +66,14 @@ def suspect_script(spark, sf_dir):
 
 
 @query("completeness_report", f"""
-WITH {_COMPARED}, kinds AS (SELECT lang, CASE WHEN v_in = '' THEN 'blank' WHEN dropped THEN 'dropped' WHEN v_in <> v_out THEN 'translated'
+WITH {_WITH_GAPS}, kinds AS (SELECT lang, CASE WHEN v_in = '' THEN 'blank' WHEN dropped THEN 'dropped' WHEN v_in <> v_out THEN 'translated'
     WHEN rule_row IS NOT NULL THEN 'ignored' ELSE 'suspect' END AS kind FROM ruled),
 counted AS (SELECT lang, count_if(kind <> 'blank') AS cells, count_if(kind = 'translated') AS translated, count_if(kind = 'ignored') AS ignored,
     count_if(kind = 'suspect') AS suspect, count_if(kind = 'dropped') AS dropped FROM kinds GROUP BY lang)
 SELECT lang, cells::BIGINT AS cells, translated::BIGINT AS translated, ignored::BIGINT AS ignored, suspect::BIGINT AS suspect, dropped::BIGINT AS dropped,
   CASE WHEN cells > 0 THEN (translated + ignored)::DOUBLE / cells::DOUBLE * 100 ELSE 100 END AS percent FROM counted""")
 def completeness_report(spark, sf_dir):
-    return quality.completeness_report(_compared(spark, sf_dir))
+    return quality.completeness_report(_compared(spark, sf_dir, gaps=True))
 
 
 @query("suspect_sample", f"""
@@ -124,8 +131,7 @@ def qa_counters(spark, sf_dir):
 WITH {sql.POOL} SELECT lang, text_norm, {sql.strip(sql.repair("'[' || lang || '] ' || text_norm"))} AS translation, false AS is_fallback FROM pool, {sql.languages(*LANGS)}""")
 def translate_pseudo(spark, sf_dir):
     items = chunk_misses(language_fanout(line_pool(spark, sf_dir), LANGS))
-    resolved, _ = translate_items(items, pseudo_translate, max_items=200)
-    return resolved.select("lang", "text_norm", "translation", "is_fallback")
+    return translate_items(items, pseudo_translate, max_items=200).resolved.select("lang", "text_norm", "translation", "is_fallback")
 
 
 def answer_some(lang: str, request: str, attempt: int) -> dict:
@@ -198,12 +204,70 @@ def localize_rerun(spark, sf_dir):
     return second.usage.join(rows, "lang")
 
 
+@query("localize_growing", ORACLES["localize_table"])
+def localize_growing(spark, sf_dir):
+    """First the parts with even keys, then all, with default ids: nothing of the first run is lost or sent again."""
+    memory, settings = TranslationMemory(spark, stage_path(spark, "memory")), Settings(LANGS, MODEL, RULES)
+    parts = answer_table(spark, sf_dir)
+    localize_pool(parts.where(F.col("row_id") % 2 == 0), memory, pseudo_translate, settings)
+    return localize_pool(parts, memory, pseudo_translate, settings).output
+
+
+@query("memory_replay", f"""
+WITH {sql.POOL} SELECT {sql.key("'EN'", 'text_norm')} AS key, text_norm, '[EN] ' || text_norm AS translation FROM pool""")
+def memory_replay(spark, sf_dir):
+    """A batch id that comes again after a partial write adds to what is there."""
+    memory = TranslationMemory(spark, stage_path(spark, "memory"))
+    for rest in (0, 1):
+        pool = build_pool(line_cells(spark, sf_dir).where(F.pmod("doc_id", F.lit(2)) == rest))
+        answers = pool.select(
+            F.lit("EN").alias("lang"), "text_norm", F.concat(F.lit("[EN] "), "text_norm").alias("translation"), F.lit(False).alias("is_fallback")
+        )
+        memory.append(memory_rows(answers, MODEL, RULES, 0), "same")
+    return memory.current(["EN"], MODEL, RULES).select("key", "text_norm", "translation")
+
+
+@query("failed_items", f"""
+WITH {sql.POOL} SELECT 'EN' AS lang, text_norm AS text, 'unparsable' AS reason, 0 AS attempt FROM pool WHERE length(text_norm) % 7 = 0""")
+def failed_items(spark, sf_dir):
+    """Texts of every seventh length spoil the answer of their chunk; halving finds them and saves the others."""
+    items = chunk_misses(language_fanout(line_pool(spark, sf_dir), ["EN"]))
+    return translate_items(items, spoil_by_length, max_items=200).failed
+
+
+def spoil_by_length(lang: str, request: str, attempt: int) -> dict:
+    if any(len(x["text"]) % 7 == 0 for x in json.loads(request)):
+        return {"raw": "no answer", "api_calls": 1}
+    return pseudo_translate(lang, request, attempt)
+
+
+def few_rows_only(lang: str, request: str, attempt: int) -> dict:
+    """Rejects a request of more than five rows, so that batches have to be halved."""
+    if len(json.loads(request)) > 5:
+        return {"raw": "too long", "api_calls": 1}
+    return pseudo_translate(lang, request, attempt)
+
+
+@query("localize_by_row_split", f"""
+SELECT p_partkey AS row_id, lang, {sql.repair("'[' || lang || '] ' || p_type")} AS p_type, {sql.repair("'[' || lang || '] ' || p_name")} AS p_name
+FROM part, {sql.languages(*LANGS)}""")
+def localize_by_row_split(spark, sf_dir):
+    """Value batches and row batches whose halves are answered."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), "p_type", "p_name")
+    return localize_rows(parts, few_rows_only, Settings(LANGS, row_batch=40)).output
+
+
+@query("assign_row_ids", "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_id, doc_id, lang, source, n_chars, text FROM documents")
+def assign_row_ids(spark, sf_dir):
+    return with_row_id(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 @query("localize_by_row", f"""
 SELECT conv_id, turn, lang, {sql.repair("'[' || lang || '] ' || role")} AS role, CASE WHEN {sql.strip('text')} = '' THEN text ELSE {sql.repair("'[' || lang || '] ' || text")} END AS text
 FROM conversations, {sql.languages(*LANGS)}""")
 def localize_by_row(spark, sf_dir):
     """The row strategy: roles go by value, conversation texts row by row."""
-    turns = table(spark, sf_dir, "conversations").withColumn("row_id", F.col("conv_id") * 1_000_000 + F.col("turn"))
+    turns = with_row_id(table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
     return localize_rows(turns, pseudo_translate, Settings(LANGS)).output.drop("row_id")
 
 
@@ -229,6 +293,20 @@ def incremental_localize(spark, sf_dir):
     return memory.log().select("lang", "text_norm", "translation")
 
 
+@query("incremental_two_streams", ORACLES["incremental_localize"])
+def incremental_two_streams(spark, sf_dir):
+    """Two streams with checkpoints of their own share a memory; neither loses what the other has stored."""
+    memory = TranslationMemory(spark, stage_path(spark, "memory"))
+    for rest in (0, 1):
+        def to_cells(documents, rest=rest):
+            return document_cells(documents).where(F.pmod("doc_id", F.lit(2)) == rest).withColumn("col_ord", F.lit(0))
+
+        start_incremental(
+            _document_stream(spark, sf_dir), to_cells, memory, stage_path(spark, "stream"), LANGS, MODEL, RULES, pseudo_translate
+        ).awaitTermination()
+    return memory.current(LANGS, MODEL, RULES).select("lang", "text_norm", "translation")
+
+
 @query("stream_prepare", f"WITH {sql.POOL} SELECT row_id, text_norm, sha256(text_norm) AS text_key FROM normed WHERE text_norm <> ''")
 def stream_prepare(spark, sf_dir):
     target = stage_path(spark, "prepared")

@@ -82,11 +82,9 @@ def normalise_header(spark, sf_dir):
 
 
 @query("guarded_rename", """
-SELECT l_orderkey, l_linenumber, l_partkey AS part, l_suppkey, l_quantity, l_returnflag, l_linestatus AS status FROM lineitem""")
+SELECT * RENAME (l_partkey AS part, l_linestatus AS status) FROM lineitem""")
 def guarded_rename(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus"
-    )
+    lines = table(spark, sf_dir, "lineitem")
     pairs = [("l_partkey", "part"), ("l_comment", "comment"), ("l_suppkey", "l_orderkey"), ("l_linestatus", "status")]
     return rename(lines, pairs)
 
@@ -102,9 +100,9 @@ def ordered_projection(spark, sf_dir):
     return project(table(spark, sf_dir, "orders"), parse_column_order("o_orderpriority, o_comment ,o_orderkey,o_totalprice"))
 
 
-@query("restore_protected", "SELECT o_orderkey, o_custkey, lower(o_orderstatus) AS o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@query("restore_protected", "SELECT o_orderkey, o_custkey, lower(o_orderstatus) AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
 def restore_protected(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = table(spark, sf_dir, "orders")
     damaged = orders.withColumns(
         {"o_orderstatus": F.lower("o_orderstatus"), "o_totalprice": -F.col("o_totalprice"), "o_orderpriority": F.lit("?")}
     )

@@ -10,7 +10,7 @@ from glossweave.catalog.registry import query, table
 from glossweave.functions.answers import fill_answer_text, repair_answer_letter
 from glossweave.functions.payload import extract_payload, validate_responses
 from glossweave.functions.report import duration_text, recommendations
-from glossweave.functions.rules import CONSTRAINTS, compact_rules as compact, rules_id
+from glossweave.functions.rules import CONSTRAINTS, RULES_LIMIT, compact_rules as compact, rules_id
 from glossweave.functions.text import (
     ABBREVIATION_MAX_POOL, ABBREVIATION_MAX_ROW, expected_script, memory_key as key_of, non_blank, normalise, repair,
     residue_score as score, rule_of_stripped, strip,
@@ -97,18 +97,23 @@ WITH titles AS (SELECT page_id, regexp_extract(html, '{_TITLE}', 1) AS t FROM pa
 variants AS (
   SELECT page_id, 'title' AS kind, t FROM titles
   UNION ALL SELECT page_id, 'misread', t FROM titles
-  UNION ALL SELECT page_id, 'quoted', '„' || t || '“' || chr(7) FROM titles)
+  UNION ALL SELECT page_id, 'quoted', '„' || t || '“' || chr(7) FROM titles
+  UNION ALL SELECT page_id, 'page', html FROM pages
+  UNION ALL SELECT doc_id, 'document', '“' || replace(text, ' ', ' &amp; ') FROM documents)
 SELECT page_id, kind, {sql.repair('t')} AS repaired FROM variants""")
 def repair_text(spark, sf_dir):
-    """The ``misread`` variant is a title whose UTF-8 bytes were read as Latin-1; repair must restore it."""
+    """Titles, whole pages and whole documents. The ``misread`` variant is a title whose UTF-8 bytes were read as Latin-1; repair must restore it."""
     title = F.regexp_extract("html", _TITLE, 1)
     kinds = F.create_map(
         F.lit("title"), F.col("t"),
         F.lit("misread"), F.decode(F.encode("t", "UTF-8"), "ISO-8859-1"),
         F.lit("quoted"), F.concat(F.lit("„"), F.col("t"), F.lit("“\x07")),
+        F.lit("page"), F.col("html"),
     )
-    variants = table(spark, sf_dir, "pages").select("page_id", title.alias("t")).select("page_id", F.explode(kinds).alias("kind", "t"))
-    return variants.select("page_id", "kind", repair(F.col("t")).alias("repaired"))
+    variants = table(spark, sf_dir, "pages").withColumn("t", title).select("page_id", F.explode(kinds).alias("kind", "t"))
+    joined = F.concat(F.lit("“"), F.replace(F.col("text"), F.lit(" "), F.lit(" &amp; ")))
+    whole = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), F.lit("document").alias("kind"), joined.alias("t"))
+    return variants.unionByName(whole).select("page_id", "kind", repair(F.col("t")).alias("repaired"))
 
 
 @query("residue_score", f"""
@@ -133,10 +138,14 @@ WITH short AS (
   SELECT doc_id, text, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: {sql.strip('x')}), lambda x: x <> ''), chr(10)) AS s
   FROM documents)
 SELECT doc_id, CASE WHEN length(s) > 2500 THEN left(s, 2500) || chr(10) || '[TRUNCATED_RULES]' ELSE s END || '{CONSTRAINTS}' AS prompt,
-  left(sha256(text), 16) AS rules_id FROM short""")
+  left(sha256(text), 16) AS rules_id, greatest(length(s) - 2500, 0) AS n_cut, s || '{CONSTRAINTS}' AS uncut FROM short""")
 def compact_rules(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
-        "doc_id", compact(F.col("text")).alias("prompt"), rules_id(F.col("text")).alias("rules_id")
+        "doc_id",
+        compact(F.col("text"), RULES_LIMIT).alias("prompt"),
+        rules_id(F.col("text")).alias("rules_id"),
+        F.greatest(F.length(compact(F.col("text"))) - len(CONSTRAINTS) - RULES_LIMIT, F.lit(0)).cast("bigint").alias("n_cut"),
+        compact(F.col("text")).alias("uncut"),
     )
 
 

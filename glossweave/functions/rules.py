@@ -21,9 +21,12 @@ CONSTRAINTS = (
 LINE_BREAK = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"
 
 
-def compact_rules(text: Column, limit: int = RULES_LIMIT) -> Column:
+def compact_rules(text: Column, limit: int | None = None) -> Column:
+    """Stripped lines that are not blank, uncut unless a limit such as ``RULES_LIMIT`` is given, and the constraints."""
     lines = F.filter(F.transform(F.split(text, LINE_BREAK), strip), lambda line: line != "")
     short = F.array_join(lines, "\n")
+    if limit is None:
+        return F.concat(short, F.lit(CONSTRAINTS))
     cut = F.when(F.length(short) > limit, F.concat(F.left(short, F.lit(limit)), F.lit(TRUNCATION_MARK)))
     return F.concat(F.coalesce(cut, short), F.lit(CONSTRAINTS))
 

@@ -33,10 +33,16 @@ LINES_PER_DOCUMENT = 10_000_000
 
 
 def document_cells(documents: DataFrame) -> DataFrame:
-    """One cell per line of a document; the row id packs document and line number."""
+    """One cell per line of a document; the row id packs document and line number.
+
+    A document or line number beyond what the packed id can hold is an error, never a shared id.
+    """
     lines = documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "value"))
     return lines.select(
-        (F.col("doc_id") * LINES_PER_DOCUMENT + F.col("pos")).alias("row_id"),
+        F.when(
+            (F.col("pos") < LINES_PER_DOCUMENT) & (F.abs("doc_id") < (1 << 63) // LINES_PER_DOCUMENT),
+            F.col("doc_id") * LINES_PER_DOCUMENT + F.col("pos"),
+        ).otherwise(F.raise_error("document or line number too large for a packed row id")).cast("bigint").alias("row_id"),
         "doc_id",
         F.col("pos").cast("bigint").alias("pos"),
         F.lit("text").alias("col"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -63,7 +64,9 @@ def run_requests(
             answers = []
             for lang, request in zip(pdf["lang"], pdf["request"]):
                 try:
-                    answers.append({"error": None} | translate(lang, request, attempt))
+                    answer = translate(lang, request, attempt)
+                    usage = {c: int(answer.get(c) or 0) for c in _USAGE}
+                    answers.append({"raw": answer.get("raw"), "error": None} | usage)
                 except Exception as problem:
                     answers.append({"raw": None, "error": f"{type(problem).__name__}: {problem}"} | dict.fromkeys(_USAGE, 0))
             for column in ("raw", "error", *_USAGE):
@@ -76,6 +79,33 @@ def run_requests(
     return materialise(validate_responses(placed.mapInPandas(send, schema), shape), "responses")
 
 
+class Translated(NamedTuple):
+    """Resolved items, all validated responses, and what got no answer as ``(lang, text, reason, attempt)``."""
+
+    resolved: DataFrame
+    responses: DataFrame
+    failed: DataFrame
+
+
+def to_halve(checked: DataFrame, chunk: Sequence[str]) -> DataFrame:
+    """Chunks to send again in halves: the payload was wrong and there is more than one item. A smaller chunk does not
+    mend a service that is down."""
+    return checked.where((F.col("status") != "ok") & F.col("error").isNull() & (F.col("n_items") > 1)).select(*chunk)
+
+
+def given_up(checked: DataFrame, chunk: Sequence[str]) -> DataFrame:
+    """Chunks that failed for good, with the reason."""
+    final = (F.col("status") != "ok") & (F.col("error").isNotNull() | (F.col("n_items") <= 1))
+    return checked.where(final).select(*chunk, F.coalesce("error", "status").alias("reason"))
+
+
+def raise_failed(failed: DataFrame, what: str) -> None:
+    """An error that names how many items have no answer, and the first reason."""
+    row = failed.agg(F.count(F.lit(1)).alias("n"), F.min("reason").alias("reason")).first()
+    if row["n"]:
+        raise RuntimeError(f"{what}: {row['n']} items without an answer, such as: {row['reason']}")
+
+
 def translate_items(
     items: DataFrame,
     translate: Translate,
@@ -83,15 +113,14 @@ def translate_items(
     attempt: int = 0,
     text: str = "text_norm",
     parallelism: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
+) -> Translated:
     """Translate chunked items ``(lang, chunk_no, item_no, id, text)``.
 
-    Chunks whose response is rejected are halved and sent again until single items are left, at
-    most ``log2(max_items)`` times. Returns the resolved items and all validated responses; items
-    missing from the former are the ones that failed alone.
+    Chunks whose payload is rejected are halved and sent again until single items are left, at
+    most ``log2(max_items)`` times. Items of a call that raised, and items rejected alone, are the failed ones.
     """
     chunk = ["lang", "chunk_no"]
-    resolved, responses = None, None
+    resolved, responses, failed = None, None, None
     pending, rounds = items.withColumn("chunk_no", F.col("chunk_no").cast("string")), max(1, max_items).bit_length()
     for step in range(rounds + 1):
         requests = text_requests(pending, chunk, text=text)
@@ -99,14 +128,16 @@ def translate_items(
         good = resolve_response(checked, pending, chunk, text)
         resolved = good if resolved is None else resolved.unionByName(good)
         responses = checked if responses is None else responses.unionByName(checked)
-        failed = checked.where((F.col("status") != "ok") & (F.col("n_items") > 1)).select(*chunk)
-        if failed.isEmpty():
+        lost = pending.join(given_up(checked, chunk), chunk).select("lang", F.col(text).alias("text"), "reason", F.lit(attempt).alias("attempt"))
+        failed = lost if failed is None else failed.unionByName(lost)
+        again = to_halve(checked, chunk)
+        if again.isEmpty():
             break
-        halves = split_failed_chunks(pending.join(failed, chunk, "left_semi"), chunk)
+        halves = split_failed_chunks(pending.join(again, chunk, "left_semi"), chunk)
         pending = materialise(
             halves.withColumn("chunk_no", F.concat_ws("/", "chunk_no", "half")).drop("half"), "halves"
         )
-    return resolved, responses
+    return Translated(resolved, responses, failed)
 
 
 def usage_totals(responses: DataFrame, keys: Sequence[str] = ("lang",)) -> DataFrame:

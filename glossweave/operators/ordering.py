@@ -85,3 +85,15 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     for key in keys:
         condition = condition & left[key].eqNullSafe(right[key])
     return condition
+
+
+def with_row_id(df: DataFrame, order: Sequence[str] | None = None, name: str = "row_id") -> DataFrame:
+    """``df`` with an id from 0 without gaps, written once so that every later step sees the same one.
+
+    Rows are numbered by ``order``, or as they are read if none is given.
+    """
+    if order is None:
+        df = materialise(df.withColumn("_read", F.monotonically_increasing_id()), "as-read")
+        return with_row_id(df, ["_read"], name).drop("_read")
+    placed = ordered_positions(df, [], list(order), position=name)
+    return materialise(placed.select(F.col(name), *[F.col(f"`{c}`") for c in df.columns]), "row-ids")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 from glossweave.functions.text import normalise, residue_at_least, strip, translatable_stripped
 from glossweave.operators.cells import unpivot_cells
 from glossweave.operators.chunks import MAX_CHARS, MAX_ITEMS, RETRY_CHARS, RETRY_ITEMS, greedy_chunks
-from glossweave.operators.inference import Translate, translate_items
+from glossweave.operators.inference import Translate, raise_failed, translate_items
 from glossweave.operators.lookup import apply_memory, hot_keys, salted_left_join, translations_by_text
 from glossweave.operators.pool import build_pool
 from glossweave.operators.quality import RESEND_OUTPUT_SCORE, SUSPECT_LENGTH, SUSPECT_SCORE
-from glossweave.plans.common import Run, Settings, assemble, count_by_language, prepare_source, usage_by_language
+from glossweave.plans.common import (
+    Run, Settings, all_failed, assemble, count_by_language, prepare_source, require_unique_rows, usage_by_language,
+)
 from glossweave.session import materialise
 from glossweave.sources.memory import TranslationMemory, memory_misses, with_memory_key
 
@@ -41,31 +44,36 @@ def memory_rows(resolved: DataFrame, model: str, rules_id: str, attempt: int) ->
 
 
 def translate_missing(cells: DataFrame, memory: TranslationMemory, translate: Translate, settings: Settings, run_id: str):
-    """Pool the cells, send what the memory lacks, append the answers. Returns pool and responses."""
+    """Pool the cells, send what the memory lacks, append the answers. Returns pool, responses and failed items."""
     langs, model, rules = list(settings.langs), settings.model, settings.rules_id
     pool = materialise(build_pool(cells, settings.abbr_max), "pool")
     known = memory.rows(langs, model, rules)
     items = chunk_misses(memory_misses(with_memory_key(pool, langs, model, rules), known), settings.max_items, settings.max_chars)
     if items.isEmpty():
-        return pool, []
-    resolved, responses = translate_items(items, translate, settings.max_items, parallelism=settings.parallelism)
-    memory.append(memory_rows(resolved, model, rules, attempt=0), f"{run_id}-0")
-    return pool, [responses]
+        return pool, [], []
+    done = translate_items(items, translate, settings.max_items, parallelism=settings.parallelism)
+    memory.append(memory_rows(done.resolved, model, rules, attempt=0), f"{run_id}-0")
+    if settings.strict:
+        raise_failed(done.failed, "translation")
+    return pool, [done.responses], [done.failed]
 
 
-def localize_pool(df: DataFrame, memory: TranslationMemory, translate: Translate, settings: Settings, run_id: str = "run") -> Run:
+def localize_pool(df: DataFrame, memory: TranslationMemory, translate: Translate, settings: Settings, run_id: str | None = None) -> Run:
     """Localise a wide table.
 
     All cells are joined with the memory once. A retry touches only suspect cells: what was right
-    is never read again, and cells with the same text settle together.
+    is never read again, and cells with the same text settle together. A run without ``run_id`` gets one of its own.
     """
     langs, model, rules = list(settings.langs), settings.model, settings.rules_id
+    run_id = run_id or uuid.uuid4().hex
+    require_unique_rows(df, settings.row_id)
     source, columns = prepare_source(df, settings)
     cells = unpivot_cells(source, settings.row_id, columns)
-    pool, responses = translate_missing(cells, memory, translate, settings, run_id)
+    pool, responses, failed = translate_missing(cells, memory, translate, settings, run_id)
     hot = hot_keys(pool, "text_key", "n_cells")
 
-    applied = apply_memory(cells, memory.current(langs, model, rules), langs, settings.abbr_max, hot)
+    keys = with_memory_key(pool, langs, model, rules)
+    applied = apply_memory(cells, memory.current(langs, model, rules, keys), langs, settings.abbr_max, hot)
     base = materialise(_flag_suspects(applied, settings), "output-cells")
     settled = [base.where(~F.col("suspect"))]
     pending = base.where("suspect")
@@ -76,10 +84,13 @@ def localize_pool(df: DataFrame, memory: TranslationMemory, translate: Translate
         again = _retry_items(pending, settings)
         if again.isEmpty():
             break
-        retried, answered = translate_items(again, translate, RETRY_ITEMS, attempt, text="sent_text", parallelism=settings.parallelism)
+        retried, answered, lost = translate_items(again, translate, RETRY_ITEMS, attempt, text="sent_text", parallelism=settings.parallelism)
         # Stored under the source text: a later run finds the better answer without a second step.
         memory.append(memory_rows(retried, model, rules, attempt), f"{run_id}-{attempt}")
+        if settings.strict:
+            raise_failed(lost, f"retry {attempt}")
         responses.append(answered)
+        failed.append(lost)
         renewed = salted_left_join(
             pending.drop("suspect", "score"), translations_by_text(retried), "text_key", ["row_id", "col", "lang"], hot
         )
@@ -93,7 +104,7 @@ def localize_pool(df: DataFrame, memory: TranslationMemory, translate: Translate
 
     output = reduce(DataFrame.unionByName, [*settled, pending]).drop("suspect", "score")
     usage = usage_by_language(responses, cells, langs)
-    return Run(assemble(source, output, columns, settings), output, pending.drop("suspect"), usage, checks, resent)
+    return Run(assemble(source, output, columns, settings), output, pending.drop("suspect"), usage, checks, resent, all_failed(failed, cells))
 
 
 def _flag_suspects(output: DataFrame, settings: Settings) -> DataFrame:

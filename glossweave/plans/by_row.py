@@ -11,43 +11,53 @@ from pyspark.sql import functions as F
 from glossweave.functions.text import non_blank, repair, strip, translatable_stripped
 from glossweave.operators.cells import unpivot_cells
 from glossweave.operators.chunks import RETRY_BATCH, VALUE_BATCH, fixed_batches, row_requests, split_failed_chunks
-from glossweave.operators.inference import Translate, run_requests
+from glossweave.operators.inference import Translate, given_up, raise_failed, run_requests, to_halve
 from glossweave.operators.lookup import hot_keys, salted_left_join
 from glossweave.operators.pool import column_strategy, distinct_values, language_fanout
-from glossweave.plans.common import Run, Settings, assemble, count_by_language, prepare_source, usage_by_language
+from glossweave.plans.common import (
+    Run, Settings, all_failed, assemble, count_by_language, prepare_source, require_unique_rows, usage_by_language,
+)
 from glossweave.session import materialise
 
 CHUNK = ["lang", "chunk_no"]
 
 
-def translate_fields(cells: DataFrame, translate: Translate, batch: int, attempt: int, settings: Settings) -> tuple[DataFrame, DataFrame]:
+def translate_fields(cells: DataFrame, translate: Translate, batch: int, attempt: int, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Translate batched cells ``(lang, chunk_no, row_id, col, value)``.
 
-    Rejected batches are halved by rows and sent again until single rows are left. Returns
-    ``(lang, chunk_no, row_id, col, new)`` for requested columns only, and the responses.
+    Batches whose payload is rejected are halved by rows and sent again until single rows are left. Returns
+    ``(lang, chunk_no, row_id, col, new)`` for requested columns only, with the batch's first name as ``chunk_no``,
+    then the responses and what got no answer.
     """
-    pending, answers, responses = cells, [], []
+    pending, answers, responses, failed = cells, [], [], []
+    first_name = F.regexp_replace("chunk_no", "(/[01])+$", "")
     for step in range(batch.bit_length() + 1):
         sent = run_requests(row_requests(pending, CHUNK), translate, attempt, "row", parallelism=settings.parallelism)
         checked = sent.withColumn("split_round", F.lit(step))
         got = checked.where(F.col("status") == "ok").select(*CHUNK, F.explode("items").alias("_item"))
         fields = got.select(*CHUNK, F.col("_item")["id"].alias("row_id"), F.explode(F.col("_item")["fields"]).alias("col", "_new"))
         asked = pending.select(*CHUNK, "row_id", "col")
-        answers.append(fields.join(asked, [*CHUNK, "row_id", "col"], "left_semi").withColumn("new", repair(F.col("_new"))).drop("_new"))
+        answers.append(fields.join(asked, [*CHUNK, "row_id", "col"], "left_semi").select("lang", first_name.alias("chunk_no"), "row_id", "col", repair(F.col("_new")).alias("new")))
         responses.append(checked)
-        failed = checked.where((F.col("status") != "ok") & (F.col("n_items") > 1)).select(*CHUNK)
-        if failed.isEmpty():
+        lost = pending.where(non_blank(F.col("value"))).join(given_up(checked, CHUNK), CHUNK)
+        failed.append(lost.select("lang", F.col("value").alias("text"), "reason", F.lit(attempt).alias("attempt")))
+        halved = to_halve(checked, CHUNK)
+        if halved.isEmpty():
             break
-        again = pending.join(failed, CHUNK, "left_semi")
+        again = pending.join(halved, CHUNK, "left_semi")
         halves = split_failed_chunks(again.select(*CHUNK, "row_id").distinct(), CHUNK, "row_id")
         again = again.join(halves, [*CHUNK, "row_id"]).withColumn("chunk_no", F.concat_ws("/", "chunk_no", "half")).drop("half")
         pending = materialise(again, "halves")
-    return reduce(DataFrame.unionByName, answers), reduce(DataFrame.unionByName, responses)
+    lost = reduce(DataFrame.unionByName, failed)
+    if settings.strict:
+        raise_failed(lost, "translation by row")
+    return reduce(DataFrame.unionByName, answers), reduce(DataFrame.unionByName, responses), lost
 
 
 def localize_rows(df: DataFrame, translate: Translate, settings: Settings) -> Run:
     """Localise a wide table without a memory; suspects are cells that came back unchanged."""
-    langs = list(settings.langs)
+    langs, failed = list(settings.langs), []
+    require_unique_rows(df, settings.row_id)
     source, columns = prepare_source(df, settings, settings.forced_dedup)
     cells = unpivot_cells(source, settings.row_id, columns)
     strategy = {r["col"]: r["strategy"] for r in column_strategy(cells, settings.forced_dedup).collect()}
@@ -60,13 +70,14 @@ def localize_rows(df: DataFrame, translate: Translate, settings: Settings) -> Ru
         batched = fixed_batches(values, ["col"], ["first_row", "value"], VALUE_BATCH)
         named = batched.withColumns({"chunk_no": F.concat_ws("#", "col", "batch_no"), "row_id": F.col("item_no")})
         asked = materialise(language_fanout(named, langs).select(*CHUNK, "row_id", "col", "value"), "value-batches")
-        answers, got = translate_fields(asked, translate, VALUE_BATCH, 0, settings)
+        answers, got, lost = translate_fields(asked, translate, VALUE_BATCH, 0, settings)
         found = asked.join(answers, [*CHUNK, "row_id", "col"]).groupBy(_value_key().alias("text_key"))
         mapping = found.agg(F.map_from_entries(F.collect_list(F.struct("lang", "new"))).alias("translations"))
         hot = hot_keys(values.withColumn("text_key", _value_key()), "text_key", "n_cells")
-        named = cells.withColumn("text_key", F.when(F.col("col").isin(*by_value), _value_key()))
+        named = cells.withColumn("text_key", F.when(F.col("col").isin(*by_value) & non_blank(F.col("value")), _value_key()))
         keyed = salted_left_join(named, mapping, "text_key", ["row_id", "col"], hot).drop("text_key")
         responses.append(got)
+        failed.append(lost)
 
     # One entry per language in the map, so cells are multiplied by languages after the join.
     replaced = F.coalesce(F.col("translations")[F.col("lang")], F.col("value"))
@@ -77,9 +88,10 @@ def localize_rows(df: DataFrame, translate: Translate, settings: Settings) -> Ru
         wanted = cells.where(F.col("col").isin(*by_row) & non_blank(F.col("value")))
         named = wanted.join(rows, "row_id").withColumn("chunk_no", F.concat_ws("#", F.lit("rows"), "batch_no"))
         asked = materialise(language_fanout(named, langs).select(*CHUNK, "row_id", "col", "value"), "row-batches")
-        answers, got = translate_fields(asked, translate, settings.row_batch, 0, settings)
+        answers, got, lost = translate_fields(asked, translate, settings.row_batch, 0, settings)
         output = _replace(output, answers.drop("chunk_no"), ["lang", "row_id", "col"])
         responses.append(got)
+        failed.append(lost)
 
     output = materialise(output, "output-cells")
     pending = _unchanged(output, settings)
@@ -88,19 +100,20 @@ def localize_rows(df: DataFrame, translate: Translate, settings: Settings) -> Ru
         if not any(checks[-1].values()):
             break
         asked = _retry_cells(pending, output, min(settings.row_batch, RETRY_BATCH))
-        answers, got = translate_fields(asked, translate, RETRY_BATCH, attempt, settings)
+        answers, got, lost = translate_fields(asked, translate, RETRY_BATCH, attempt, settings)
         resent.append(count_by_language(asked.select("lang", "row_id").distinct(), langs))
         output = materialise(_replace(output, answers.drop("chunk_no"), ["lang", "row_id", "col"]), "output-cells")
         pending = _unchanged(output, settings)
         responses.append(got)
+        failed.append(lost)
         checks.append(count_by_language(pending, langs))
 
     usage = usage_by_language(responses, cells, langs)
-    return Run(assemble(source, output, columns, settings), output, pending, usage, checks, resent)
+    return Run(assemble(source, output, columns, settings), output, pending, usage, checks, resent, all_failed(failed, cells))
 
 
 def _value_key():
-    return F.sha2(F.concat_ws("|", "col", "value"), 256)
+    return F.sha2(F.concat_ws("|", F.length("col").cast("string"), "col", "value"), 256)
 
 
 def _replace(output: DataFrame, answers: DataFrame, keys: Iterable[str]) -> DataFrame:

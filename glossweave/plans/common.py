@@ -42,6 +42,8 @@ class Settings:
     row_batch: int = ROW_BATCH
     row_abbr_max: int = ABBREVIATION_MAX_ROW
     parallelism: int | None = None
+    #: Raise if anything got no answer; what was answered is in the memory by then.
+    strict: bool = True
 
 
 @dataclass
@@ -49,7 +51,7 @@ class Run:
     """Results of a run. ``output`` has one row per source row and language.
 
     ``checks`` holds the suspects per language of each check, the last one being final; ``resent``
-    what each retry counted as re-translated.
+    what each retry counted as re-translated. ``failed`` lists what got no answer.
     """
 
     output: DataFrame
@@ -58,6 +60,21 @@ class Run:
     usage: DataFrame
     checks: list[dict[str, int]] = field(default_factory=list)
     resent: list[dict[str, int]] = field(default_factory=list)
+    failed: DataFrame | None = None
+
+
+FAILED = "lang string, text string, reason string, attempt int"
+
+
+def all_failed(parts: list[DataFrame], like: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts) if parts else like.sparkSession.createDataFrame([], FAILED)
+
+
+def require_unique_rows(df: DataFrame, row_id: str) -> None:
+    """Two rows with one id would be merged into one, so they are refused; so is a row without an id."""
+    twice = df.groupBy(F.col(f"`{row_id}`").alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR id IS NULL").first()
+    if twice:
+        raise ValueError(f"row id {twice['id']} in column {row_id} marks {twice['n']} rows; give unique ids or use with_row_id")
 
 
 def prepare_source(df: DataFrame, settings: Settings, forced: Iterable[str] = ()) -> tuple[DataFrame, list[str]]:

@@ -19,6 +19,8 @@ def build_session(app_name: str = "glossweave", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # A second copy of a task would make its paid calls again.
+        .config("spark.speculation", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

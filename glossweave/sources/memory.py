@@ -60,8 +60,8 @@ def memory_misses(keyed_pool: DataFrame, memory: DataFrame) -> DataFrame:
 class TranslationMemory:
     """The log at ``path``, partitioned by language and batch.
 
-    A batch that is written again after a failure replaces itself, and a language filter prunes
-    to its directories.
+    Nothing in it is ever replaced: a batch id that comes again adds files to its directory, and readers take the
+    latest row of each key. A language filter prunes to its directories.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -82,20 +82,22 @@ class TranslationMemory:
             rows = rows.where(F.col("rules_id") == rules_id)
         return rows
 
-    def current(self, langs: Iterable[str] | None = None, model: str | None = None, rules_id: str | None = None) -> DataFrame:
-        """Latest row per key."""
-        return latest_translation(self.rows(langs, model, rules_id))
+    def current(
+        self, langs: Iterable[str] | None = None, model: str | None = None, rules_id: str | None = None, keys: DataFrame | None = None
+    ) -> DataFrame:
+        """Latest row per key, of all keys or of those in column ``key`` of ``keys``, which are picked before ranking."""
+        rows = self.rows(langs, model, rules_id)
+        return latest_translation(rows if keys is None else rows.join(keys.select("key"), "key", "left_semi"))
 
     def append(self, rows: DataFrame, batch_id: str) -> None:
-        """Write one batch: ``lang, model, rules_id, text_norm, translation, is_fallback, attempt, updated_at``."""
+        """Add one batch: ``lang, model, rules_id, text_norm, translation, is_fallback, attempt, updated_at``."""
         key = memory_key(F.col("lang"), F.col("model"), F.col("rules_id"), F.col("text_norm"))
         full = rows.withColumns({"key": key, "batch_id": F.lit(batch_id)})
         # Rebalancing gives each language files of the advisory size and splits a dominant language.
         (
             full.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMA.fields])
             .hint("rebalance", "lang")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .write.mode("append")
             .partitionBy("lang", "batch_id")
             .parquet(self.path)
         )

@@ -49,7 +49,7 @@ def protocol_rows(stats: DataFrame) -> DataFrame:
 
 
 def upsert_protocol(
-    old: DataFrame, new: DataFrame, carried: Sequence[str] = CARRIED_POOL, key: Sequence[str] = ("Sprache",)
+    old: DataFrame, new: DataFrame, carried: Sequence[str] = CARRIED_POOL, key: Sequence[str] = ("Datei", "Sprache")
 ) -> DataFrame:
     """Replace rows of ``old`` by those of ``new`` with the same key, ignoring case, and append the rest.
 

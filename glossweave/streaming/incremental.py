@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossweave.functions.text import ABBREVIATION_MAX_POOL, normalise, text_key
-from glossweave.operators.inference import Translate, translate_items
+from glossweave.operators.chunks import MAX_CHARS, MAX_ITEMS
+from glossweave.operators.inference import Translate, raise_failed, translate_items
 from glossweave.operators.pool import build_pool, translatable_cells
 from glossweave.plans.by_pool import chunk_misses, memory_rows
 from glossweave.session import materialise
@@ -31,24 +33,29 @@ def incremental_localize(
     rules_id: str,
     translate: Translate,
     available_now: bool = True,
+    max_items: int = MAX_ITEMS,
+    max_chars: int = MAX_CHARS,
+    abbr_max: int = ABBREVIATION_MAX_POOL,
+    strict: bool = True,
 ):
     """Start a query that adds the missing translations of each micro-batch to the memory.
 
-    Texts already in the memory are not sent. A batch is written under its own id, so a batch that
-    is replayed after a failure replaces its rows instead of adding to them; to make the replay see
-    the same misses, rows of its own id are left out of the lookup.
+    Texts already in the memory are not sent, also those a failed batch has stored before it is replayed. Batch ids hold
+    the checkpoint, so several streams can feed one memory. With ``strict`` a batch with items that got no answer fails
+    after the others are stored, and its replay asks for the missing ones only.
     """
+    stream_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def handle(batch: DataFrame, batch_no: int) -> None:
-        batch_id = f"stream-{batch_no}"
-        known = memory.rows(langs, model, rules_id).where(F.col("batch_id") != batch_id)
-        pool = materialise(build_pool(to_cells(batch)), "batch-pool")
-        misses = memory_misses(with_memory_key(pool, langs, model, rules_id), known)
-        items = chunk_misses(misses)
+        pool = materialise(build_pool(to_cells(batch), abbr_max), "batch-pool")
+        misses = memory_misses(with_memory_key(pool, langs, model, rules_id), memory.rows(langs, model, rules_id))
+        items = chunk_misses(misses, max_items, max_chars)
         if items.isEmpty():
             return
-        resolved, _ = translate_items(items, translate, max_items=200)
-        memory.append(memory_rows(resolved, model, rules_id, attempt=0), batch_id)
+        done = translate_items(items, translate, max_items)
+        memory.append(memory_rows(done.resolved, model, rules_id, attempt=0), f"stream-{stream_id}-{batch_no}")
+        if strict:
+            raise_failed(done.failed, f"batch {batch_no}")
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -9,6 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from glossweave.operators.inference import pseudo_translate, translate_items
+from glossweave.operators.ordering import with_row_id
 from glossweave.operators.quality import MAX_ROUNDS
 from glossweave.plans.by_pool import localize_pool
 from glossweave.plans.by_row import localize_rows
@@ -99,7 +100,7 @@ def faulty(lang, request, attempt):
     good = [{"id": str(x["id"]), "translation": f"<{x['text']}>"} for x in items]
     usage = {"prompt_tokens": 1, "completion_tokens": 1, "api_calls": 1}
     if any(x["text"] == "text number 3" for x in items):
-        raise RuntimeError("service down")
+        return usage | {"raw": "service down"}
     if len(items) > 8:
         return usage | {"raw": json.dumps(good)[:-4]}
     if len(items) > 4:
@@ -111,12 +112,55 @@ def faulty(lang, request, attempt):
 
 def test_failed_chunks_are_halved(spark):
     items = spark.createDataFrame([("EN", 0, i, i, f"text number {i}") for i in range(19)], "lang string, chunk_no bigint, item_no bigint, id bigint, text_norm string")
-    resolved, responses = translate_items(items, faulty, 20)
+    resolved, responses, failed = translate_items(items, faulty, 20)
     got = {r.id: (r.translation, r.is_fallback) for r in resolved.collect()}
     assert got == {i: (f"<text number {i}>", False) for i in range(19) if i != 3}
     kinds = {r.status for r in responses.select("status").distinct().collect()}
     assert kinds == {"ok", "unparsable", "size_mismatch", "id_mismatch"}
-    assert responses.where(F.col("error").contains("service down")).count() > 0
+    assert [tuple(r) for r in failed.collect()] == [("EN", "text number 3", "unparsable", 0)]
+
+
+def dead(lang, request, attempt):
+    raise ConnectionError("service down")
+
+
+def test_a_dead_service_is_not_halved_and_raises(spark, exam):
+    items = spark.createDataFrame([("EN", 0, i, i, f"text number {i}") for i in range(9)], "lang string, chunk_no bigint, item_no bigint, id bigint, text_norm string")
+    done = translate_items(items, dead, 20)
+    assert done.responses.count() == 1 and done.resolved.count() == 0
+    assert {tuple(r)[2] for r in done.failed.collect()} == {"ConnectionError: service down"} and done.failed.count() == 9
+    with pytest.raises(RuntimeError, match="service down"):
+        localize_pool(exam, memory(spark), dead, Settings(["EN"], "m", "r"))
+    with pytest.raises(RuntimeError, match="service down"):
+        localize_rows(exam, dead, Settings(["EN"]))
+    run = localize_pool(exam, memory(spark), dead, Settings(["EN"], "m", "r", strict=False, max_rounds=0))
+    assert run.failed.count() > 0 and run.usage.first().api_calls == 0
+
+
+def test_answers_need_no_usage_figures(spark):
+    items = spark.createDataFrame([("EN", 0, 0, 0, "a text")], "lang string, chunk_no bigint, item_no bigint, id bigint, text_norm string")
+    done = translate_items(items, lambda lang, request, attempt: {"raw": pseudo_translate(lang, request, attempt)["raw"]}, 20)
+    assert done.resolved.first().translation == "[EN] a text" and done.responses.first().api_calls == 0
+
+
+def test_growing_input_with_default_ids_sends_new_texts_only(spark):
+    store, settings = memory(spark), Settings(["EN"], "m", "r", max_rounds=0)
+    frame = spark.createDataFrame([(i, f"Frage nummer {i}?") for i in range(3)], "row_id bigint, text string")
+    localize_pool(frame.where("row_id < 2"), store, pseudo_translate, settings)
+    run = localize_pool(frame, store, pseudo_translate, settings)
+    assert sorted(r.text for r in run.output.collect()) == [f"[EN] Frage nummer {i}?" for i in range(3)]
+    assert run.usage.first().api_calls == 1 and store.log().count() == 3
+
+
+def test_row_ids_must_be_unique_and_can_be_assigned(spark):
+    frame = spark.createDataFrame([(1, "Eine Frage?"), (1, "Zweite Frage?")], "row_id bigint, text string")
+    for start in (lambda: localize_pool(frame, memory(spark), pseudo_translate, Settings(["EN"])), lambda: localize_rows(frame, pseudo_translate, Settings(["EN"]))):
+        with pytest.raises(ValueError, match="unique"):
+            start()
+    numbered = with_row_id(frame.drop("row_id"))
+    assert sorted(map(tuple, numbered.collect())) == [(0, "Eine Frage?"), (1, "Zweite Frage?")]
+    run = localize_pool(numbered, memory(spark), pseudo_translate, Settings(["EN"], max_rounds=0))
+    assert sorted(r.text for r in run.output.collect()) == ["[EN] Eine Frage?", "[EN] Zweite Frage?"]
 
 
 def test_blank_answers_are_not_hits(spark, exam):

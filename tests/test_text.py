@@ -113,7 +113,7 @@ def test_answers(spark):
 def test_rules_text(spark):
     values = ["  a \n\n\t\n b\r\nc", "x" * 2499, "x" * 2500, "x" * 2501]
     expected = ["a\nb\nc", "x" * 2499, "x" * 2500, "x" * 2500 + TRUNCATION_MARK]
-    assert _column(spark, values, compact_rules) == [e + CONSTRAINTS for e in expected]
+    assert _column(spark, values, lambda text: compact_rules(text, 2500)) == [e + CONSTRAINTS for e in expected]
 
 
 def test_report_numbers(spark):
