@@ -177,6 +177,24 @@ def qa_rounds(spark, sf_dir):
     return quality.qa_counters(spark.createDataFrame(rounds, "lang string, round int, n_suspects bigint"))
 
 
+def never_better(lang: str, request: str, attempt: int) -> dict:
+    """Every text comes back as it was sent."""
+    got = [{"id": x["id"], "translation": x["text"]} for x in json.loads(request)]
+    return {"raw": json.dumps(got, ensure_ascii=False), "api_calls": 1}
+
+
+@query("qa_exhausted", f"""
+WITH {sql.POOL}, scored AS (SELECT 1 FROM normed WHERE text_norm <> '' AND length(text_norm) >= 6 AND {sql.residue('text_norm')} >= 1.2)
+SELECT lang, count(*)::BIGINT AS first_suspects, 4 * count(*)::BIGINT AS sum_suspects, 4::BIGINT AS retry_rounds, count(*)::BIGINT AS final_suspects
+FROM scored, {sql.languages(*LANGS)} GROUP BY lang""")
+def qa_exhausted(spark, sf_dir):
+    """Suspects that stay are sent again four times, and then the run ends."""
+    lines = line_cells(spark, sf_dir).select("row_id", F.col("value").alias("line"))
+    run = localize_pool(lines, TranslationMemory(spark, stage_path(spark, "memory")), never_better, Settings(LANGS, MODEL, RULES))
+    rounds = [(lang, number, check[lang]) for number, check in enumerate(run.checks) for lang in LANGS]
+    return quality.qa_counters(spark.createDataFrame(rounds, "lang string, round int, n_suspects bigint"))
+
+
 def _translated(column: str, lang: str = "lang") -> str:
     v = sql.strip(column)
     return f"CASE WHEN {sql.rule(v, 12)} IS NULL THEN {sql.repair(f'{chr(39)}[{chr(39)} || {lang} || {chr(39)}] {chr(39)} || ' + sql.normalise(column))} ELSE {column} END"

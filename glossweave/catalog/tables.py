@@ -14,8 +14,9 @@ from glossweave.operators.schema import (
     restore_protected as restore, text_columns as text_columns_of,
 )
 from glossweave.session import stage_path
-from glossweave.sources.delimited import csv_options, scan_delimited, write_by_language
-from glossweave.sources.protocol import PROTOCOL_COLUMNS, protocol_rows, upsert_protocol
+from glossweave.plans.common import run_stamp
+from glossweave.sources.delimited import csv_options, scan_delimited, scan_folder, write_by_language
+from glossweave.sources.protocol import PROTOCOL_COLUMNS, ProtocolTable, protocol_rows, upsert_protocol
 
 PART_TEXTS = ["p_name", "p_brand", "p_type"]
 
@@ -174,3 +175,43 @@ def distinct_values(spark, sf_dir):
 @query("union_texts", "SELECT text FROM documents UNION SELECT text FROM benchmark UNION SELECT text FROM conversations")
 def union_texts(spark, sf_dir):
     return union_of(*[table(spark, sf_dir, name).select("text") for name in ("documents", "benchmark", "conversations")])
+
+
+@query("scan_ragged", """
+SELECT CASE WHEN doc_id % 5 <> 0 THEN doc_id::VARCHAR END AS doc_id, CASE WHEN doc_id % 5 <> 0 THEN lang END AS lang,
+  CASE WHEN doc_id % 5 <> 0 THEN source END AS source,
+  CASE WHEN doc_id % 5 = 0 THEN CASE WHEN doc_id % 2 = 0 THEN doc_id || ';' || lang || ';' || source ELSE source || ';' || doc_id || ';' || lang END || ';more' END AS rejected
+FROM documents""")
+def scan_ragged(spark, sf_dir):
+    """Files of two column orders, in which every fifth document has a field too many."""
+    path = stage_path(spark, "ragged")
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string"), "lang", "source")
+    for rest, columns in ((0, ["doc_id", "lang", "source"]), (1, ["source", "doc_id", "lang"])):
+        line = F.concat_ws(";", *columns, F.when(F.col("doc_id") % 5 == 0, "more"))
+        rows = documents.where(F.col("doc_id") % 2 == rest).select(line.alias(";".join(columns)))
+        rows.write.option("header", "true").option("sep", "|").csv(f"{path}/{rest}")
+    good, bad = scan_folder(spark, path)
+    missing = [F.lit(None).cast("string").alias(c) for c in ("doc_id", "lang", "source")]
+    return good.select("doc_id", "lang", "source", F.lit(None).cast("string").alias("rejected")).unionByName(
+        bad.select(*missing, F.col("row").alias("rejected"))
+    )
+
+
+_EVENT_STATS = """SELECT event_type AS "Datei", 'L' || user_id % 5 AS "Sprache", strftime(max(ts), '%Y-%m-%d %H:%M') AS "Datum", count(*)::VARCHAR AS "Anzahl_API_Calls"
+  FROM events WHERE event_id % {n} = 0 GROUP BY ALL"""
+
+
+@query("protocol_table", f"""
+WITH first AS ({_EVENT_STATS.format(n=2)}), second AS ({_EVENT_STATS.format(n=300)})
+SELECT * FROM second UNION ALL SELECT f.* FROM first f ANTI JOIN second s USING ("Datei", "Sprache")""")
+def protocol_table(spark, sf_dir):
+    """Rows of several files and languages in one table, written twice and read back; an empty run changes nothing."""
+    protocol = ProtocolTable(spark, stage_path(spark, "protocol"))
+    for n in (2, 300):
+        events = table(spark, sf_dir, "events").where(F.col("event_id") % n == 0)
+        stats = events.groupBy(
+            F.col("event_type").alias("datei"), F.concat(F.lit("L"), (F.col("user_id") % 5).cast("string")).alias("sprache")
+        ).agg(run_stamp(F.max("ts")).alias("datum"), F.count(F.lit(1)).alias("api_calls"))
+        protocol.upsert(protocol_rows(stats))
+    protocol.upsert(protocol.read().limit(0))
+    return protocol.read().select("Datei", "Sprache", "Datum", "Anzahl_API_Calls")

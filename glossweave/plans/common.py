@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossweave.functions.answers import fill_answer_text, repair_answer_letter
@@ -118,8 +118,13 @@ def usage_by_language(responses: list[DataFrame], like: DataFrame, langs: Sequen
     return usage_totals(reduce(DataFrame.unionByName, [base, *[r.select(*base.columns) for r in responses]]))
 
 
-def run_statistics(run: Run, settings: Settings, file: str, rows: int, seconds: float, temperature: str = "default") -> DataFrame:
-    """One row per language in the layout of the protocol's statistics."""
+def run_stamp(at: Column) -> Column:
+    """The time of a run as the protocol shows it."""
+    return F.date_format(at, "yyyy-MM-dd HH:mm")
+
+
+def run_statistics(run: Run, settings: Settings, file: str, rows: int, seconds: float, temperature: str = "default", at: Column | None = None) -> DataFrame:
+    """One row per language in the layout of the protocol's statistics, stamped with the time ``at`` or now."""
     spark = run.output.sparkSession
     counters = []
     for lang in settings.langs:
@@ -130,7 +135,7 @@ def run_statistics(run: Run, settings: Settings, file: str, rows: int, seconds:
     names = "lang string, retries bigint, deutsch_reste_auto bigint, verdachtsfaelle_gesamt bigint, neu_uebersetzt bigint, endgueltige_deutsch_reste bigint"
     joined = spark.createDataFrame(counters, names).join(run.usage, "lang")
     return joined.select(
-        F.date_format(F.localtimestamp(), "yyyy-MM-dd HH:mm").alias("datum"),
+        run_stamp(F.localtimestamp() if at is None else at).alias("datum"),
         F.lit(file).alias("datei"),
         F.col("lang").alias("sprache"),
         F.lit(settings.model).alias("modell"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,54 +27,110 @@ def sniff_separator(text: Column) -> Column:
 
 
 def file_heads(spark: SparkSession, path: str) -> DataFrame:
-    """``path, head`` of every file under ``path``.
+    """``path, head`` of every file under ``path``, through Spark's own reader and its credentials.
 
-    The listing reads no contents; each task then opens its files and reads only the first bytes,
-    so huge files cost as little as small ones.
+    The head is made of a file's first lines: a line is short, and only the rows of each file's first split are grouped, of
+    which a task keeps the first characters.
     """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    placed = lines.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"), F.left("value", F.lit(HEAD_CHARS)).alias("value")
+    ).where("_start = 0")
     schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("head", T.StringType())])
 
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
+    def first_lines(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held, size = None, [], 0
         for pdf in frames:
-            heads = []
-            for uri in pdf["path"]:
-                full = uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
-                system, name = fs.FileSystem.from_uri(full)
-                with system.open_input_stream(name) as stream:
-                    heads.append(stream.read(HEAD_CHARS * 4).decode("utf-8", errors="ignore")[:HEAD_CHARS])
-            yield pdf.assign(head=heads)
+            for name, value in zip(pdf["path"], pdf["value"]):
+                if name != now:
+                    if now is not None:
+                        yield pd.DataFrame({"path": [now], "head": ["\n".join(held)[:HEAD_CHARS]]})
+                    now, held, size = name, [], 0
+                if size < HEAD_CHARS:
+                    held.append(value)
+                    size += len(value) + 1
+        if now is not None:
+            yield pd.DataFrame({"path": [now], "head": ["\n".join(held)[:HEAD_CHARS]]})
 
-    return listed.mapInPandas(read, schema)
+    return placed.select("path", "value").mapInPandas(first_lines, schema)
 
 
 def sniff_files(spark: SparkSession, path: str) -> DataFrame:
     return file_heads(spark, path).select("path", sniff_separator(F.col("head")).alias("separator"))
 
 
-def scan_delimited(
-    spark: SparkSession, path: str, sep: str, encoding: str = "utf-8", multi_line: bool = True
-) -> DataFrame:
-    """Every column as text, empty fields as ``""``, nothing taken for missing.
-
-    Quoted line breaks need ``multi_line``, which keeps each file in one task; switch it off for
-    large files without such fields, and they are split.
-    """
-    raw = (
-        spark.read.option("header", "true")
-        .option("sep", sep)
+def _reader(spark: SparkSession, sep: str, encoding: str, multi_line: bool):
+    return (
+        spark.read.option("sep", sep)
         .option("encoding", {"utf-8-sig": "utf-8"}.get(encoding, encoding))
         .option("multiLine", str(multi_line).lower())
+        # A row is judged by all its fields, whichever are read later.
+        .option("columnPruning", "false")
         .option("quote", '"')
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
-        .csv(path)
     )
-    named = normalise_header(raw)
-    return named.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in named.columns])
+
+
+def _texts(df: DataFrame) -> DataFrame:
+    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
+
+
+#: Holds the raw text of a row that does not fit the header.
+REJECTED = "_rejected"
+
+
+def scan_with_rejects(
+    spark: SparkSession, path: str | Sequence[str], sep: str, encoding: str = "utf-8", multi_line: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Good rows, every column as text, and rejected rows as ``(row)``: nothing is cut off, padded or swapped.
+
+    A row with more or fewer fields than the header is rejected whole. A file whose header differs from that of the first
+    file stops the read with an error; use ``scan_folder`` for files of several layouts.
+    """
+    header = _reader(spark, sep, encoding, multi_line).option("header", "true").csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, REJECTED]])
+    raw = _reader(spark, sep, encoding, multi_line).option("header", "true").option("enforceSchema", "false")
+    raw = raw.option("columnNameOfCorruptRecord", REJECTED).schema(schema).csv(path)
+    good = raw.where(F.col(REJECTED).isNull()).drop(REJECTED)
+    # Spark does not answer a query on the reject column alone, so the filter reads another one as well.
+    other = F.length(F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))) >= 0
+    bad = raw.where(F.col(REJECTED).isNotNull() & other).select(F.col(REJECTED).alias("row"))
+    return _texts(normalise_header(good)), bad
+
+
+def scan_folder(spark: SparkSession, path: str, encoding: str = "utf-8", multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Good and rejected rows of all files under ``path``, each read with its own separator and header.
+
+    Files of one layout (separator and header line) are read together, so there are as many reads as layouts; columns
+    are matched by name, and one that a file lacks is empty. Which layouts there are comes to the driver, the rows do not.
+    """
+    first = F.regexp_replace(F.element_at(F.split("head", "\\r?\\n"), 1), "^\ufeff", "")
+    heads = file_heads(spark, path).select("path", sniff_separator(F.col("head")).alias("sep"), first.alias("header"))
+    layouts = heads.groupBy("sep", "header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header", "sep").collect()
+    read = [scan_with_rejects(spark, row["paths"], row["sep"], encoding, multi_line) for row in layouts]
+    if not read:
+        raise ValueError(f"no files below {path}")
+    good = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [g for g, _ in read])
+    return _texts(good), reduce(DataFrame.unionByName, [b for _, b in read])
+
+
+def scan_delimited(
+    spark: SparkSession, path: str, sep: str, encoding: str = "utf-8", multi_line: bool = True
+) -> DataFrame:
+    """Every column as text, empty fields as ``""``, nothing taken for missing; a row that does not fit stops the read.
+
+    Quoted line breaks need ``multi_line``, which keeps each file in one task; switch it off for
+    large files without such fields, and they are split.
+    """
+    good, _ = scan_with_rejects(spark, path, sep, encoding, multi_line)
+    return _strict(spark, path, sep, encoding, multi_line, good.columns)
+
+
+def _strict(spark: SparkSession, path: str, sep: str, encoding: str, multi_line: bool, names: Sequence[str]) -> DataFrame:
+    reader = _reader(spark, sep, encoding, multi_line).option("header", "true").option("mode", "FAILFAST")
+    return _texts(reader.csv(path).toDF(*names))
 
 
 def csv_options(sep: str) -> dict[str, str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossweave.functions.report import RECOMMENDATION_COLUMNS, recommendations
@@ -67,3 +67,35 @@ def upsert_protocol(
     )
     stayed = keyed_old.join(keyed_new.select(*names), names, "left_anti").select(*old.columns)
     return stayed.unionByName(replaced)
+
+
+class ProtocolTable:
+    """The protocol as a table of versions below ``path``; readers see the last version that was written whole."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def versions(self) -> list[int]:
+        """Numbers of the committed versions."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        system = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not system.exists(root):
+            return []
+        names = [status.getPath().getName() for status in system.listStatus(root)]
+        numbers = [int(n.removeprefix("version=")) for n in names if n.startswith("version=")]
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path
+        return sorted(n for n in numbers if system.exists(marker(f"{self.path}/version={n}/_SUCCESS")))
+
+    def read(self) -> DataFrame:
+        schema = ", ".join(f"`{c}` string" for c in PROTOCOL_COLUMNS)
+        found = self.versions()
+        return self.spark.read.schema(schema).parquet(f"{self.path}/version={found[-1]}") if found else self.spark.createDataFrame([], schema)
+
+    def upsert(self, new: DataFrame, carried: Sequence[str] = CARRIED_POOL, key: Sequence[str] = ("Datei", "Sprache")) -> bool:
+        """Write a version with the rows of ``new`` put in; without any there is no new version, and the answer is False."""
+        if new.isEmpty():
+            return False
+        found = self.versions()
+        merged = upsert_protocol(self.read(), new, carried, key)
+        merged.write.mode("overwrite").parquet(f"{self.path}/version={found[-1] + 1 if found else 0}")
+        return True
