@@ -67,7 +67,8 @@ def remove_repeated_lines(docs: DataFrame, ident: str = "doc_id", text: str = "t
     out = rows.withColumn("__text", F.when(F.col("__covered").isNull(), F.col(text)).otherwise(rest))
     columns = [F.col("__text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     if counts:
-        columns += [F.size(F.split(filled(F.col(text)), "\n")).alias("n_lines"), F.greatest(F.size("__covered"), F.lit(0)).alias("n_removed")]
+        n_lines, n_removed = F.size(F.split(filled(F.col(text)), "\n")), F.greatest(F.size("__covered"), F.lit(0))
+        columns += [n_lines.cast("bigint").alias("n_lines"), n_removed.cast("bigint").alias("n_removed")]
     return out.select(*columns)
 
 

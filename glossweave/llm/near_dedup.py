@@ -4,7 +4,7 @@ Distinct fingerprints are dealt to shards so that near ones meet in at least one
 radius of 3 one of four blocks is equal, so nothing is missed), or, for wide fingerprints with a large radius, by the
 smallest of several hashes of the shingles. Each shard is cut into chunks of bounded size. A chunk's tree goes to the
 chunks that query it, and nowhere else: a broadcast of all trees would have no size bound. Tasks send out only a
-spanning star of what they find, never all pairs, and components come from distributed rounds.
+spanning forest of what they find, never all pairs, and components come from distributed rounds.
 """
 
 from __future__ import annotations
@@ -17,13 +17,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glossweave.llm.bk_forest import BKForest
+from glossweave.llm.bk_forest import BKForest, distance
 from glossweave.llm.common import components, filled, mix64, text_bytes
 from glossweave.llm.graphs import connected_components
 from glossweave.session import materialise
 
 #: Fingerprints in one tree, and in one block of queries.
 CHUNK = 512
+#: Spanning forests whose links are read again when links have to be similar.
+FORESTS = 3
 #: A shard of equal 16-bit blocks with more fingerprints than this is divided by a second block of 12 bits.
 WIDE_SHARD = 2048
 _BITS = ((np.arange(256)[:, None] >> np.arange(7, -1, -1)) & 1).astype(np.int64)
@@ -123,8 +125,31 @@ def _chunk_pairs(shards: DataFrame) -> DataFrame:
     )
 
 
-def _star_links(meetings: DataFrame, words: int, radius: int) -> DataFrame:
-    """(``u``, ``v``) links that span what is within ``radius`` in each meeting of two chunks."""
+def spanning_pairs(n: int, label: np.ndarray, a: np.ndarray, b: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The new components, and which of the links a[i] - b[i] make a spanning forest of them, short ones first.
+
+    Each component takes its shortest link out until none is left.
+    """
+    took = [np.empty(0, dtype=np.int64)]
+    left = np.arange(len(a))
+    while True:
+        left = left[label[a[left]] != label[b[left]]]
+        if not len(left):
+            return label, np.concatenate(took)
+        rank = far[left] * len(a) + left
+        best = np.full(n, np.iinfo(np.int64).max)
+        np.minimum.at(best, label[a[left]], rank)
+        np.minimum.at(best, label[b[left]], rank)
+        pick = np.unique(best[best < np.iinfo(np.int64).max]) % len(a)
+        took.append(pick)
+        label = components(n, np.r_[a[pick], np.arange(n)], np.r_[b[pick], label])
+
+
+def _spanning_links(meetings: DataFrame, words: int, radius: int, forests: int) -> DataFrame:
+    """(``u``, ``v``) pairs within ``radius`` that span what is linked in each meeting of two chunks, near pairs first.
+
+    Further forests are made of the pairs that earlier ones leave, so that four fingerprints give all of their pairs to three.
+    """
     dealt = meetings.repartition("meeting").sortWithinPartitions("shard", "tree", "asks").withColumn(
         "change", F.struct("shard", "tree", "asks").cast("string")
     )
@@ -132,13 +157,21 @@ def _star_links(meetings: DataFrame, words: int, radius: int) -> DataFrame:
     def solve(group: np.ndarray, in_tree: np.ndarray, in_query: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
         members, asking = np.flatnonzero(in_tree), np.flatnonzero(in_query)
         forest = BKForest(prints[members], group[members])
-        label = np.arange(len(prints))
+        labels = [np.arange(len(prints))] * forests
+        ends: list[tuple[np.ndarray, np.ndarray]] = [(members[:0], members[:0])]
         for asked, found in forest.search(prints[asking], group[asking], radius):
-            merged = components(len(label), np.r_[asking[asked], np.arange(len(label))], np.r_[members[found], label])
-            label = merged
-        moved = np.flatnonzero(label != np.arange(len(label)))
-        side = lambda rows: pa.array(list(prints[rows].view(np.int64)), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([side(moved), side(label[moved])], ["u", "v"])
+            a, b = asking[asked], members[found]
+            twice = a == b
+            a, b = np.maximum(a, b)[~twice], np.minimum(a, b)[~twice]
+            pairs = np.unique(np.stack([a, b], 1), axis=0)
+            a, b = pairs[:, 0], pairs[:, 1]
+            far = distance(prints[a], prints[b])
+            for k in range(forests):
+                labels[k], took = spanning_pairs(len(prints), labels[k], a, b, far)
+                ends.append((a[took], b[took]))
+                a, b, far = (np.delete(x, took) for x in (a, b, far))
+        side = lambda k: pa.array(list(prints[np.concatenate([e[k] for e in ends])].view(np.int64)), pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([side(0), side(1)], ["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -165,14 +198,42 @@ def _star_links(meetings: DataFrame, words: int, radius: int) -> DataFrame:
     return dealt.select("change", "in_tree", "in_query", "print").mapInArrow(run, "u array<bigint>, v array<bigint>")
 
 
+def shared_share(a: bytes, b: bytes, size: int) -> float:
+    """Shingles that two texts share, of all that either has."""
+    left, right = (np.unique(shingle_hashes(x, size)) for x in (a, b))
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return both / (len(left) + len(right) - both) if len(left) + len(right) else 1.0
+
+
+def _similar_links(links: DataFrame, distinct: DataFrame, docs: DataFrame, ident: Column, text: str, shingle: int, similarity: float) -> DataFrame:
+    """The links whose texts, read once more, are similar enough."""
+    links = materialise(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "near")
+    ends = links.select(F.explode(F.array("u", "v")).alias("print")).distinct().join(distinct.select("print", "first"), "print")
+    texts = docs.select(ident.alias("first"), filled(F.col(text)).alias("text")).join(ends, "first").dropDuplicates(["print"])
+    texts = materialise(texts.select("print", "text"), "near-texts")
+    sides = [texts.select(F.col("print").alias(k), F.col("text").alias(f"text_{k}")) for k in ("u", "v")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(text_bytes(batch.column(2)), text_bytes(batch.column(3)), strict=True)
+            keep = pa.array([shared_share(a, b, shingle) >= similarity for a, b in pairs], pa.bool_())
+            yield batch.select(["u", "v"]).filter(keep)
+
+    joined = links.join(sides[0], "u").join(sides[1], "v").select("u", "v", "text_u", "text_v")
+    return joined.mapInArrow(run, "u array<bigint>, v array<bigint>")
+
+
 def near_duplicates(
-    docs: DataFrame, ident: Column, text: str = "text", shingle: int = 3, words: int = 1, radius: int = 3, minima: int = 0
-) -> DataFrame:
+    docs: DataFrame, ident: Column, text: str = "text", shingle: int = 3, words: int = 1, radius: int = 3, minima: int = 0,
+    similarity: float | None = None,
+) -> DataFrame:
     """(``id``, ``print``, ``component``) for every row of ``docs``; ``component`` is the smallest ``id`` reachable.
 
     ``ident`` is any orderable column. With ``minima`` 0 the fingerprint has 64 bits, ``radius`` is at most 3 and every
     link is found. With ``minima`` k, rows meet where one of k smallest shingle hashes is equal, so two texts of
-    similarity s are missed with a chance of (1 - s)^k. NULL texts count as empty; texts without words have the
+    similarity s are missed with a chance of (1 - s)^k. With ``similarity`` a link also needs that share of common
+    shingles, read from both texts (``ident`` then has to tell texts apart); the pairs read are ``FORESTS`` spanning forests of
+    the near ones in each meeting, the nearest first. NULL texts count as empty; texts without words have the
     fingerprint zero and form one group; equal rows share a group; a NULL id is never the smallest unless a
     component has no other. An empty table gives an empty result.
     """
@@ -181,7 +242,11 @@ def near_duplicates(
     prints = materialise(fingerprints(docs, ident, text, shingle, words, minima), "prints")
     distinct = prints.groupBy("print").agg(F.min("id").alias("first"), F.min("mins").alias("mins"))
     shards = _minima_shards(distinct) if minima else _block_shards(distinct)
-    roots = connected_components(_star_links(_chunk_pairs(shards), words, radius))
+    links = _spanning_links(_chunk_pairs(shards), words, radius, FORESTS if similarity is not None else 1)
+    if similarity is not None:
+        distinct = materialise(distinct.select("print", "first"), "distinct")
+        links = _similar_links(links, distinct, docs, ident, text, shingle, similarity)
+    roots = connected_components(links)
     rooted = distinct.join(roots, F.col("print") == F.col("u"), "left").select("print", "first", F.coalesce("root", "print").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))
     return prints.select("id", "print").join(rooted.join(smallest, "root").select("print", "component"), "print", "left").select("id", "print", "component")
@@ -192,7 +257,7 @@ def fingerprint_hex(column: Column) -> Column:
     return F.lower(F.lpad(F.hex(column[0]), 16, "0"))
 
 
-def one_of_each_group(docs: DataFrame, ident: str = "doc_id", text: str = "text", **rule: int) -> DataFrame:
+def one_of_each_group(docs: DataFrame, ident: str = "doc_id", text: str = "text", **rule: float) -> DataFrame:
     """The rows of ``docs`` with one left of each group of near duplicates: that of the smallest id.
 
     Rows that repeat id and text count as one. Where ids repeat with different texts, or are NULL, the hash of the text

@@ -93,7 +93,7 @@ def test_one_of_each_group_keeps_clean_rows_and_one_copy(spark):
     edited = [(100 + k, t.replace(t.split()[50], "other", 1)) for k, t in clean[:10]]
     rows = clean + edited + [clean[3], clean[3], (None, clean[4][1]), (500, None), (501, ""), (None, None)]
     docs = spark.createDataFrame([(*r, "c") for r in rows], "doc_id bigint, text string, component string")
-    got = one_of_each_group(docs, shingle=5, words=4, radius=45, minima=6)
+    got = one_of_each_group(docs, shingle=5, words=4, radius=52, minima=6, similarity=0.8)
     assert got.columns == docs.columns
     assert sorted(r["doc_id"] for r in got.collect()) == [*range(30), 500]
 
@@ -179,3 +179,31 @@ def test_index_finds_every_fingerprint_within_its_radius():
         flips = rng.sample(range(64), rng.randrange(index.radius + 1))
         near = np.array([int(index.prints[1]) ^ sum(1 << b for b in flips)], dtype=np.uint64)
         assert 1 in index.near(near, 8)[1]
+
+
+def test_links_are_verified_and_spanning(spark):
+    rng = random.Random(6)
+    rows = []
+    for k in range(12):
+        base = words(rng, 200)
+        rows.append((10 * k, " ".join(base)))
+        for copy, n_changes in ((1, 2), (2, 4), (3, 30)):
+            text = list(base)
+            for at in rng.sample(range(200), n_changes):
+                text[at] = f"new{rng.randrange(10**6)}"
+            rows.append((10 * k + copy, " ".join(text)))
+    got = {r["id"]: r["component"] for r in near_duplicates(spark.createDataFrame(rows, DOCS), F.col("doc_id"), shingle=5, words=4, radius=52, minima=6, similarity=0.8).collect()}
+    texts = dict(rows)
+    ids = sorted(texts)
+    links = [(a, b) for a in range(len(ids)) for b in range(a) if near_dedup.shared_share(texts[ids[a]].encode(), texts[ids[b]].encode(), 5) >= 0.8]
+    root = roots(len(ids), links)
+    assert got == {i: ids[root[k]] for k, i in enumerate(ids)}
+
+
+def test_spanning_pairs_are_a_forest_of_the_same_components():
+    rng = np.random.default_rng(8)
+    a, b = rng.integers(0, 60, 150), rng.integers(0, 60, 150)
+    label, took = near_dedup.spanning_pairs(60, np.arange(60), a, b, rng.integers(0, 9, 150))
+    u, v = a[took], b[took]
+    want = roots(60, list(zip(a.tolist(), b.tolist(), strict=True)))
+    assert label.tolist() == want == roots(60, list(zip(u.tolist(), v.tolist(), strict=True))) and len(u) == 60 - len(set(want))
