@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOT: str | None = None
+_STAGES: list[str] = []
 
 
 def build_session(app_name: str = "glossweave", **conf: str) -> SparkSession:
@@ -42,7 +43,18 @@ def scratch_root(spark: SparkSession) -> str:
 
 def stage_path(spark: SparkSession, label: str) -> str:
     """A fresh directory below the scratch root."""
-    return f"{scratch_root(spark)}/glossweave/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/glossweave/{label}-{uuid.uuid4().hex}"
+    _STAGES.append(path)
+    return path
+
+
+def remove_stages(spark: SparkSession) -> int:
+    """Delete the stage folders this process has named; for the end of a run, when its results are written elsewhere."""
+    removed = 0
+    while _STAGES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        removed += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return removed
 
 
 def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame:

@@ -93,9 +93,9 @@ def scan_with_rejects(
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, REJECTED]])
     raw = _reader(spark, sep, encoding, multi_line).option("header", "true").option("enforceSchema", "false")
     raw = raw.option("columnNameOfCorruptRecord", REJECTED).schema(schema).csv(path)
-    good = raw.where(F.col(REJECTED).isNull()).drop(REJECTED)
-    # Spark does not answer a query on the reject column alone, so the filter reads another one as well.
+    # Spark does not answer a query on the reject column alone, so the filters read another one as well.
     other = F.length(F.coalesce(F.col(f"`{header[0]}`"), F.lit(""))) >= 0
+    good = raw.where(F.col(REJECTED).isNull() & other).drop(REJECTED)
     bad = raw.where(F.col(REJECTED).isNotNull() & other).select(F.col(REJECTED).alias("row"))
     return _texts(normalise_header(good)), bad
 

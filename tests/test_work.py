@@ -10,8 +10,8 @@ from glossweave.operators.ordering import ordered_positions
 from glossweave.operators.pool import build_pool
 from glossweave.session import stage_path
 from glossweave.sources import memory as mem
-from glossweave.sources.delimited import scan_delimited, sniff_files, write_by_language
-from glossweave.sources.protocol import CARRIED_ROW, PROTOCOL_COLUMNS, upsert_protocol
+from glossweave.sources.delimited import scan_delimited, scan_folder, scan_with_rejects, sniff_files, write_by_language
+from glossweave.sources.protocol import CARRIED_ROW, PROTOCOL_COLUMNS, ProtocolTable, upsert_protocol
 
 
 def next_fit(sizes, max_items, max_chars):
@@ -167,3 +167,38 @@ def test_protocol_upsert(spark):
     assert pool == {"EN": ("3 cells", "kept", "9m00s"), "ar": ("", "", "8m00s"), "RU": ("", "", "7m00s"), "TR": ("x", "y", "3m00s")}
     row = {r.Sprache: r.Anpassungen_am_Prompt for r in upsert_protocol(old, new, CARRIED_ROW).collect()}
     assert row["EN"] == "new"
+
+
+def test_rows_that_do_not_fit_are_rejected_whole(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a;b\n1;2\n3;4;LOST\n"x\ny";z\n5\n')
+    good, bad = scan_with_rejects(spark, str(tmp_path / "a.csv"), ";")
+    assert sorted(map(tuple, good.collect())) == [("1", "2"), ("x\ny", "z")]
+    assert good.select("b").count() == 2 and sorted(r.row for r in bad.collect()) == ["3;4;LOST", "5"]
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        scan_delimited(spark, str(tmp_path / "a.csv"), ";").collect()
+    (tmp_path / "b.csv").write_text("b;a\nB;A\n")
+    (tmp_path / "c.csv").write_text("a,b\n7,8\n")
+    good, bad = scan_folder(spark, str(tmp_path))
+    assert sorted(map(tuple, good.select("a", "b").collect())) == [("1", "2"), ("7", "8"), ("A", "B"), ("x\ny", "z")] and bad.count() == 2
+
+
+def test_protocol_table_keeps_files_apart(spark, tmp_path):
+    def rows(*values):
+        data = [tuple({"Datei": d, "Sprache": s, "Datum": t}.get(c, "") for c in PROTOCOL_COLUMNS) for d, s, t in values]
+        return spark.createDataFrame(data, ", ".join(f"`{c}` string" for c in PROTOCOL_COLUMNS))
+
+    protocol = ProtocolTable(spark, str(tmp_path / "protocol"))
+    assert protocol.upsert(rows(("one", "EN", "1"), ("two", "EN", "1")))
+    assert protocol.upsert(rows(("two", "en", "2"), ("two", "AR", "2"))) and not protocol.upsert(rows(("x", "y", "z")).limit(0))
+    got = sorted((r.Datei, r.Sprache, r.Datum) for r in protocol.read().collect())
+    assert got == [("one", "EN", "1"), ("two", "AR", "2"), ("two", "en", "2")] and protocol.versions() == [0, 1]
+
+
+def test_stages_can_be_removed(spark):
+    path = stage_path(spark, "short")
+    spark.range(3).write.parquet(path)
+    from glossweave import session
+
+    kept, session._STAGES[:] = session._STAGES[:-1], [path]
+    assert session.remove_stages(spark) == 1 and session.remove_stages(spark) == 0
+    session._STAGES[:] = kept
