@@ -66,11 +66,11 @@ def suspect_script(spark, sf_dir):
 
 
 @query("completeness_report", f"""
-WITH {_WITH_GAPS}, kinds AS (SELECT lang, CASE WHEN v_in = '' THEN 'blank' WHEN dropped THEN 'dropped' WHEN v_in <> v_out THEN 'translated'
+WITH {_WITH_GAPS}, kinds AS (SELECT lang, row_id, CASE WHEN v_in = '' THEN 'blank' WHEN dropped THEN 'dropped' WHEN v_in <> v_out THEN 'translated'
     WHEN rule_row IS NOT NULL THEN 'ignored' ELSE 'suspect' END AS kind FROM ruled),
-counted AS (SELECT lang, count_if(kind <> 'blank') AS cells, count_if(kind = 'translated') AS translated, count_if(kind = 'ignored') AS ignored,
+counted AS (SELECT lang, count(DISTINCT row_id) AS rows, count_if(kind <> 'blank') AS cells, count_if(kind = 'translated') AS translated, count_if(kind = 'ignored') AS ignored,
     count_if(kind = 'suspect') AS suspect, count_if(kind = 'dropped') AS dropped FROM kinds GROUP BY lang)
-SELECT lang, cells::BIGINT AS cells, translated::BIGINT AS translated, ignored::BIGINT AS ignored, suspect::BIGINT AS suspect, dropped::BIGINT AS dropped,
+SELECT lang, rows, cells::BIGINT AS cells, translated::BIGINT AS translated, ignored::BIGINT AS ignored, suspect::BIGINT AS suspect, dropped::BIGINT AS dropped,
   CASE WHEN cells > 0 THEN (translated + ignored)::DOUBLE / cells::DOUBLE * 100 ELSE 100 END AS percent FROM counted""")
 def completeness_report(spark, sf_dir):
     return quality.completeness_report(_compared(spark, sf_dir, gaps=True))

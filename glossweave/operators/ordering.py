@@ -87,6 +87,15 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     return condition
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which NULL keys find each other; the keys of ``left`` stay."""
+    named = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & F.col(f"`{key}`").eqNullSafe(F.col(f"`_right_{key}`"))
+    return left.join(named, condition).drop(*[f"_right_{k}" for k in keys])
+
+
 def with_row_id(df: DataFrame, order: Sequence[str] | None = None, name: str = "row_id") -> DataFrame:
     """``df`` with an id from 0 without gaps, written once so that every later step sees the same one.
 

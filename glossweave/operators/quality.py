@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from glossweave.functions.text import (
     ABBREVIATION_MAX_POOL, ABBREVIATION_MAX_ROW, GERMAN, ResidueMarkers, expected_script, residue_at_least, translatable_stripped,
 )
+from glossweave.operators.ordering import null_safe_join
 
 # When an output still looks like the source language, and the retry limit.
 SUSPECT_SCORE = 1.2
@@ -63,6 +64,7 @@ def completeness_report(compared: DataFrame, keys: Sequence[str] = ("lang",), ab
         return F.count_if(F.col("_kind") == kind)
 
     counted = marked.groupBy(*keys).agg(
+        F.count_distinct(row_key).alias("rows"),
         F.count_if(F.col("_kind") != "blank").alias("cells"),
         *[count(kind).alias(kind) for kind in ("translated", "ignored", "suspect", "dropped")],
     )
@@ -78,7 +80,7 @@ def suspect_sample(suspects: DataFrame, width: int = 80, rows: int = SAMPLE_ROWS
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     first = suspects.withColumn("rank", rank).where(F.col("rank") <= rows)
     totals = suspects.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"))
-    return first.join(totals, list(keys)).select(
+    return null_safe_join(first, totals, keys).select(
         *keys,
         "row_id",
         "col",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossweave.functions.report import duration_text
-from glossweave.operators.ordering import ordered_positions
+from glossweave.operators.ordering import null_safe_join, ordered_positions
 
 
 def elapsed_seconds(start: str, end: str) -> Column:
@@ -34,7 +34,7 @@ def progress_eta(batches: DataFrame, keys: Sequence[str], ts: str, tie: str, row
     elapsed = elapsed_seconds("_start", ts)
     eta = F.when(F.col("done") > 0, (F.col("total") - F.col("done")) * (F.col("elapsed") / F.col("done")))
     return (
-        placed.join(starts, list(keys))
+        null_safe_join(placed, starts, keys)
         .withColumn("elapsed", elapsed)
         .withColumn("pct", F.when(F.col("total") > 0, F.col("done") / F.col("total") * 100).otherwise(F.lit(100.0)))
         .withColumn("eta_seconds", eta)

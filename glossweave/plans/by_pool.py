@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossweave.functions.text import normalise, residue_at_least, strip, translatable_stripped
+from glossweave.functions.text import expected_script, normalise, residue_at_least, strip, translatable_stripped
 from glossweave.operators.cells import unpivot_cells
 from glossweave.operators.chunks import MAX_CHARS, MAX_ITEMS, RETRY_CHARS, RETRY_ITEMS, greedy_chunks
 from glossweave.operators.inference import Translate, raise_failed, translate_items
@@ -114,7 +114,10 @@ def _flag_suspects(output: DataFrame, settings: Settings) -> DataFrame:
     """
     shown = output.withColumn("_shown", strip(F.col("output")))
     scored = shown.withColumn("score", residue_at_least(F.col("_shown"), SUSPECT_SCORE, settings.markers))
-    flag = F.col("text_key").isNotNull() & (F.length("_shown") >= SUSPECT_LENGTH) & (F.col("score") > 0)
+    wrong = (F.length("_shown") >= SUSPECT_LENGTH) & (F.col("score") > 0)
+    if settings.check_script:
+        wrong |= (strip(F.col("value")) == F.col("_shown")) & ~expected_script(F.col("lang"), F.col("_shown"))
+    flag = F.col("text_key").isNotNull() & wrong
     return scored.withColumn("suspect", F.coalesce(flag, F.lit(False))).drop("_shown")
 
 

@@ -42,6 +42,8 @@ class Settings:
     row_batch: int = ROW_BATCH
     row_abbr_max: int = ABBREVIATION_MAX_ROW
     parallelism: int | None = None
+    #: Also send again what came back unchanged and lacks the script of its language.
+    check_script: bool = False
     #: Raise if anything got no answer; what was answered is in the memory by then.
     strict: bool = True
 
