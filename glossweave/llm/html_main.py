@@ -42,14 +42,17 @@ CONTAINERS = frozenset("html body div section article main td th li dd center bl
 #: Elements that never hold the article's own text.
 FURNITURE = frozenset("head nav header footer aside form button select menu dialog object audio video canvas map datalist".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
-_FURNITURE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|menubar|breadcrumbs?|header|masthead|topbar|footer|sidebar|aside|widgets?|related|recommended|"
-    r"recommendations?|ads?|adverts?|advertisements?|advertising|adsense|adslot|sponsor|sponsored|promo|promotion|banner|cookies?|consent|gdpr|"
-    r"notices?|alert|newsletter|subscribe|subscription|signup|popup|modal|overlay|share|sharing|social|comments?|commentlist|respond|replies|"
-    r"reply|disqus|login|search|searchform|form|pagination|pager|skip|hidden|legal|disclaimer|toolbar|teaser|teasers)(?=$|[\s_-])",
-    re.I,
+_FURNITURE_WORDS = (
+    r"nav|navbar|navigation|menu|menubar|breadcrumbs?|masthead|topbar|footer|sidebar|aside|widgets?|related|recommended|recommendations?|"
+    r"ads?|adverts?|advertisements?|advertising|adsense|adslot|adbox|sponsor|sponsored|promo|promotion|banner|cookies?|consent|gdpr|notices?|alert|"
+    r"newsletter|subscribe|subscription|signup|popup|modal|overlay|share|sharing|social|comments?|commentlist|commentsection|respond|replies|reply|"
+    r"disqus|login|search|searchform|form|pagination|pager|skip|hidden|legal|disclaimer|toolbar|teasers?"
 )
-_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Names of furniture outside an article, and inside one, where a header holds the article's own title.
+_FURNITURE_NAME = {
+    inside: re.compile(rf"(?:^|[\s_-])(?:{_FURNITURE_WORDS}{'' if inside else '|header'})\d*(?=$|[\s_-])", re.I) for inside in (False, True)
+}
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Block:
@@ -72,7 +75,8 @@ def _is_furniture(name: str, attributes: dict[str, str], inside: bool) -> bool:
         return False
     if attributes.get("role", "").lower() in ROLES:
         return True
-    return bool(_FURNITURE_NAME.search(f"{attributes.get('class', '')} {attributes.get('id', '')}".strip()))
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".strip()
+    return bool(names) and bool(_FURNITURE_NAME[inside].search(f"{names} {_CAMEL.sub('-', names)}"))
 
 
 def parse_page(page: str) -> tuple[list[Block], list[str]]:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from glossweave.llm import pii, quality
-from glossweave.llm.html_main import main_texts, parse_page
+from glossweave.llm.html_main import extract_text, main_texts, parse_page
 from glossweave.llm.licences import KNOWN_TEXTS, licence_scan
 from glossweave.llm.toxicity import best_limit, learn, score, toxicity
 
@@ -149,6 +149,13 @@ def test_template_leaves_varying_slots_only(spark):
     assert got == {k: " ".join([f"story {k}"] * 9) for k in range(6)}
 
 
+@pytest.mark.parametrize("name", ["ad1", "sideBar", "reader-comments", "site_footer", "cookieBanner", "navMenu", "commentsection"])
+def test_furniture_by_name(name):
+    page = f"<body><div class='{name}'>gone</div><article><div class='article-header'><h1>T</h1></div><p>text</p><div id='{name}'>gone</div></article>"
+    assert extract_text(page, None, frozenset()) == "T\ntext"
+    assert extract_text(f"<body><div class='header'>gone</div><div class='{name}'>gone</div><p>some text</p>", None, frozenset()) == "some text"
+
+
 def test_given_pages_give_whole_articles(spark):
     import html as entities
 
