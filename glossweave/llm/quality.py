@@ -21,6 +21,8 @@ MIN_WORDS = 50
 MAX_REPEAT_SHARE = 50
 #: Words kept by each Python worker; the table is dropped when it is full, results do not depend on it.
 WORDS_KEPT = 400_000
+#: Bands (about 100 bytes each) that are broadcast; more, of a table with very many languages, are joined by shuffling.
+BROADCAST_BANDS = 50_000
 SYMBOLS = b"#*$%&|<>"
 
 FIELDS = [
@@ -185,6 +187,8 @@ def quality_rules(
         inside &= F.coalesce(F.col(f"__f.{name}").between(F.col(f"__b.{name}_low"), F.col(f"__b.{name}_high")), F.lit(True))
     bands = bands.select("__language", "__length_class", F.struct(*bands.columns[2:]).alias("__b"))
     same = (F.col("__f.language") == F.col("__language")) & (F.col("__f.length_class") == F.col("__length_class"))
+    bands = materialise(bands, "bands")
+    bands = F.broadcast(bands) if bands.count() <= BROADCAST_BANDS else bands
     judged = measured.join(bands, same, "left")
     names = [n for n, _ in FIELDS if n != "script"]
     return judged.select(
