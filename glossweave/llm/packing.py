@@ -27,7 +27,7 @@ from glossweave.session import materialise
 CAPACITY = 4096
 END_ID = 1
 #: Words in each of a Python worker's two tables, of which the older goes when the newer is full.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 200_000
 #: Groups that the pieces of one length are numbered in.
 SALTS = 64
 

@@ -20,7 +20,7 @@ from glossweave.session import materialise
 MIN_WORDS = 50
 MAX_REPEAT_SHARE = 50
 #: Words kept by each Python worker; the table is dropped when it is full, results do not depend on it.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 250_000
 #: Bands (about 100 bytes each) that are broadcast; more, of a table with very many languages, are joined by shuffling.
 BROADCAST_BANDS = 50_000
 SYMBOLS = b"#*$%&|<>"
@@ -139,7 +139,8 @@ BANDED = ("chars_per_token", "byte_share", "token_entropy")
 def language_bands(figures: DataFrame, width: float) -> DataFrame:
     """Per language and length class: limits of each figure, over all texts that pass the base rules.
 
-    A class holds the texts between two powers of two of tokens, since short texts scatter more and repeat less. Entropy
+    Quartiles are exact to one rank in 10,000, so a text on the very edge of a band may fall on either side in another
+    run. A class holds the texts between two powers of two of tokens, since short texts scatter more and repeat less. Entropy
     is compared as a share of the highest possible one.
     """
     quartiles = [F.percentile_approx(name, [0.25, 0.75], 10_000).alias(name) for name in BANDED]
