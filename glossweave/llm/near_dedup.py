@@ -4,12 +4,14 @@ Distinct fingerprints are dealt to shards so that near ones meet in at least one
 radius of 3 one of four blocks is equal, so nothing is missed), or, for wide fingerprints with a large radius, by the
 smallest of several hashes of the shingles. Each shard is cut into chunks of bounded size. A chunk's tree goes to the
 chunks that query it, and nowhere else: a broadcast of all trees would have no size bound. Tasks send out only a
-spanning forest of what they find, never all pairs, and components come from distributed rounds.
+spanning forest of what they find, never all pairs, and components come from distributed rounds. Where links have to be
+similar, a first reading links what a few forests show; then the texts of all fingerprints that are near one of another
+component go to the meetings, and every such pair is tested there unless links have joined it by then.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,10 @@ from glossweave.session import materialise
 
 #: Fingerprints in one tree, and in one block of queries.
 CHUNK = 512
-#: Spanning forests whose links are read again when links have to be similar.
+#: Spanning forests whose links are read first when links have to be similar; this saves tests and decides nothing.
 FORESTS = 3
+#: Rows, and bytes of text, of whole meetings that a task solves together.
+MEETING_ROWS, MEETING_BYTES = 50_000, 1 << 26
 #: A shard of equal 16-bit blocks with more fingerprints than this is divided by a second block of 12 bits.
 WIDE_SHARD = 2048
 _BITS = ((np.arange(256)[:, None] >> np.arange(7, -1, -1)) & 1).astype(np.int64)
@@ -105,23 +109,25 @@ def _block_shards(distinct: DataFrame) -> DataFrame:
     )
 
 
-def _minima_shards(distinct: DataFrame) -> DataFrame:
-    return distinct.select("print", F.posexplode("mins").alias("k", "least")).select(F.struct("k", "least").alias("shard"), "print")
+def _minima_shards(distinct: DataFrame, *more: str) -> DataFrame:
+    return distinct.select("print", *more, F.posexplode("mins").alias("k", "least")).select(F.struct("k", "least").alias("shard"), "print", *more)
 
 
-def _chunk_pairs(shards: DataFrame) -> DataFrame:
+def _chunk_pairs(shards: DataFrame, *more: str) -> DataFrame:
     """One row for each (shard, tree chunk, query chunk) that a fingerprint belongs to; shards of one print are left out.
 
-    Chunks i <= j of a shard meet once, the tree being that of chunk i.
+    Chunks i <= j of a shard meet once, the tree being that of chunk i. With a column ``root`` among ``more``, shards of one
+    root are left out too.
     """
-    size = shards.groupBy("shard").count().filter("count > 1")
+    several = [(F.min("root") != F.max("root")).alias("several")] if "root" in more else [F.lit(True).alias("several")]
+    size = shards.groupBy("shard").agg(F.count("*").alias("count"), *several).filter("count > 1 AND several")
     chunks = F.ceil(F.col("count") / F.lit(CHUNK)).cast("int")
-    rows = shards.join(size, "shard").select("shard", "print", chunks.alias("n")).withColumn("own", F.pmod(F.xxhash64("print"), F.col("n")).cast("int"))
+    rows = shards.join(size, "shard").select("shard", "print", *more, chunks.alias("n")).withColumn("own", F.pmod(F.xxhash64("print"), F.col("n")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
-    return rows.select("shard", "print", "own", other).select(
+    return rows.select("shard", "print", *more, "own", other).select(
         F.xxhash64("shard", F.least("own", "other"), F.greatest("own", "other")).alias("meeting"),
         "shard", F.least("own", "other").alias("tree"), F.greatest("own", "other").alias("asks"),
-        (F.col("own") <= F.col("other")).alias("in_tree"), (F.col("own") >= F.col("other")).alias("in_query"), "print",
+        (F.col("own") <= F.col("other")).alias("in_tree"), (F.col("own") >= F.col("other")).alias("in_query"), "print", *more,
     )
 
 
@@ -150,52 +156,69 @@ def _spanning_links(meetings: DataFrame, words: int, radius: int, forests: int)
 
     Further forests are made of the pairs that earlier ones leave, so that four fingerprints give all of their pairs to three.
     """
-    dealt = meetings.repartition("meeting").sortWithinPartitions("shard", "tree", "asks").withColumn(
-        "change", F.struct("shard", "tree", "asks").cast("string")
-    )
 
-    def solve(group: np.ndarray, in_tree: np.ndarray, in_query: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
-        members, asking = np.flatnonzero(in_tree), np.flatnonzero(in_query)
-        forest = BKForest(prints[members], group[members])
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        prints = _words(table, "print", words)
         labels = [np.arange(len(prints))] * forests
-        ends: list[tuple[np.ndarray, np.ndarray]] = [(members[:0], members[:0])]
-        for asked, found in forest.search(prints[asking], group[asking], radius):
-            a, b = asking[asked], members[found]
-            twice = a == b
-            a, b = np.maximum(a, b)[~twice], np.minimum(a, b)[~twice]
-            pairs = np.unique(np.stack([a, b], 1), axis=0)
-            a, b = pairs[:, 0], pairs[:, 1]
+        ends: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, dtype=np.int64),) * 2]
+        for a, b in _near_pairs(table, prints, radius):
             far = distance(prints[a], prints[b])
             for k in range(forests):
                 labels[k], took = spanning_pairs(len(prints), labels[k], a, b, far)
                 ends.append((a[took], b[took]))
                 a, b, far = (np.delete(x, took) for x in (a, b, far))
-        side = lambda k: pa.array(list(prints[np.concatenate([e[k] for e in ends])].view(np.int64)), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([side(0), side(1)], ["u", "v"])
+        return _link_batch(prints, *[np.concatenate([e[k] for e in ends]) for k in (0, 1)])
+
+    return _solve_meetings(_by_meeting(meetings).select("change", "in_tree", "in_query", "print"), solve, "u array<bigint>, v array<bigint>")
+
+
+def _by_meeting(meetings: DataFrame) -> DataFrame:
+    """The rows of each meeting one after another, told apart by ``change``."""
+    dealt = meetings.repartition("meeting").sortWithinPartitions("shard", "tree", "asks")
+    return dealt.withColumn("change", F.struct("shard", "tree", "asks").cast("string"))
+
+
+def _solve_meetings(rows: DataFrame, solve: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
+    """``solve`` on some whole meetings after another; rows of a meeting lie together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
-            if sum(b.num_rows for b in held) < 50_000:
+            if sum(b.num_rows for b in held) < MEETING_ROWS and sum(b.nbytes for b in held) < MEETING_BYTES:
                 continue
             table = pa.Table.from_batches(held).combine_chunks()
             last = table.column("change")[-1].as_py()
             change = table.column("change").to_numpy(zero_copy_only=False)
             cut = int(np.flatnonzero(change != last)[-1]) + 1 if (change != last).any() else 0
             if cut:
-                yield _solved(table.slice(0, cut))
+                yield solve(table.slice(0, cut))
             held = table.slice(cut).to_batches()
         if held and sum(b.num_rows for b in held):
-            yield _solved(pa.Table.from_batches(held))
+            yield solve(pa.Table.from_batches(held))
+
+    return rows.mapInArrow(run, schema)
+
+
+def _words(table: pa.Table, column: str, words: int, kind: type = np.uint64) -> np.ndarray:
+    return table.column(column).combine_chunks().flatten().to_numpy().view(kind).reshape(-1, words)
+
+
+def _near_pairs(table: pa.Table, prints: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs a > b within ``radius`` that one tree and its queries show, as they are found."""
+    group = table.column("change").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+    members, asking = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False).astype(bool)) for c in ("in_tree", "in_query"))
+    forest = BKForest(prints[members], group[members])
+    for asked, found in forest.search(prints[asking], group[asking], radius):
+        a, b = asking[asked], members[found]
+        twice = a == b
+        pairs = np.unique(np.stack([np.maximum(a, b)[~twice], np.minimum(a, b)[~twice]], 1), axis=0)
+        yield pairs[:, 0], pairs[:, 1]
 
-    def _solved(table: pa.Table) -> pa.RecordBatch:
-        change = table.column("change").combine_chunks().dictionary_encode().indices.to_numpy()
-        prints = table.column("print").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, words)
-        flags = [table.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("in_tree", "in_query")]
-        return solve(change.astype(np.int64), *flags, prints)
 
-    return dealt.select("change", "in_tree", "in_query", "print").mapInArrow(run, "u array<bigint>, v array<bigint>")
+def _link_batch(prints: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    sides = [pa.array(list(prints[side].view(np.int64)), pa.list_(pa.int64())) for side in (a, b)]
+    return pa.RecordBatch.from_arrays(sides, ["u", "v"])
 
 
 def shared_share(a: bytes, b: bytes, size: int) -> float:
@@ -205,12 +228,16 @@ def shared_share(a: bytes, b: bytes, size: int) -> float:
     return both / (len(left) + len(right) - both) if len(left) + len(right) else 1.0
 
 
+def _texts_of(prints: DataFrame, distinct: DataFrame, docs: DataFrame, ident: Column, text: str) -> DataFrame:
+    ends = prints.join(distinct.select("print", "first"), "print")
+    texts = docs.select(ident.alias("first"), filled(F.col(text)).alias("text")).join(ends, "first").dropDuplicates(["print"])
+    return materialise(texts.select("print", "text"), "near-texts")
+
+
 def _similar_links(links: DataFrame, distinct: DataFrame, docs: DataFrame, ident: Column, text: str, shingle: int, similarity: float) -> DataFrame:
     """The links whose texts, read once more, are similar enough."""
     links = materialise(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "near")
-    ends = links.select(F.explode(F.array("u", "v")).alias("print")).distinct().join(distinct.select("print", "first"), "print")
-    texts = docs.select(ident.alias("first"), filled(F.col(text)).alias("text")).join(ends, "first").dropDuplicates(["print"])
-    texts = materialise(texts.select("print", "text"), "near-texts")
+    texts = _texts_of(links.select(F.explode(F.array("u", "v")).alias("print")).distinct(), distinct, docs, ident, text)
     sides = [texts.select(F.col("print").alias(k), F.col("text").alias(f"text_{k}")) for k in ("u", "v")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,6 +250,70 @@ def _similar_links(links: DataFrame, distinct: DataFrame, docs: DataFrame, ident
     return joined.mapInArrow(run, "u array<bigint>, v array<bigint>")
 
 
+def shared_shares(one: int, others: np.ndarray, ids: np.ndarray, start: np.ndarray, size: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """``shared_share`` of one row's set with others'; ``ids[start : start + size]`` are a row's shingles, ``mark`` is all False."""
+    own = ids[start[one] : start[one] + size[one]]
+    mark[own] = True
+    n = size[others]
+    first = np.cumsum(n) - n
+    both = np.add.reduceat(mark[ids[np.repeat(start[others] - first, n) + np.arange(n.sum())]].astype(np.int64), first)
+    mark[own] = False
+    return both / (len(own) + n - both)
+
+
+def _remaining_links(
+    distinct: DataFrame, roots: DataFrame, docs: DataFrame, ident: Column, text: str, shingle: int, words: int, radius: int, minima: int, similarity: float
+) -> DataFrame:
+    """(``u``, ``v``) similar pairs that join what ``roots`` leaves apart, from all near pairs of different roots.
+
+    A pair belongs to the first of its equal minima, so it is tested in one meeting only.
+    """
+    rooted = distinct.join(roots, F.col("print") == F.col("u"), "left").select("print", "mins", F.coalesce("root", "print").alias("root"))
+    meetings = _by_meeting(_chunk_pairs(_minima_shards(rooted, "root", "mins"), "root", "mins"))
+    kept = ["change", "k", "in_tree", "in_query", "print", "root", "mins"]
+    schema = "change string, k int, in_tree boolean, in_query boolean, print array<bigint>, root array<bigint>, mins array<bigint>"
+
+    def apart(table: pa.Table, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        root, mins, k = _words(table, "root", words), _words(table, "mins", minima, np.int64), table.column("k").to_numpy()
+        for a, b in _near_pairs(table, prints, radius):
+            keep = (root[a] != root[b]).any(axis=1) & ((mins[a] == mins[b]).argmax(axis=1) == k[a])
+            yield a[keep], b[keep]
+
+    def mark_rows(table: pa.Table) -> pa.RecordBatch:
+        asked = np.zeros(table.num_rows, dtype=bool)
+        for a, b in apart(table, _words(table, "print", words)):
+            asked[a] = asked[b] = True
+        return table.filter(pa.array(asked)).combine_chunks().to_batches()[0] if asked.any() else pa.RecordBatch.from_pylist([], table.schema)
+
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        prints = _words(table, "print", words)
+        sets = [np.unique(shingle_hashes(data, shingle)) for data in text_bytes(table.column("text").combine_chunks())]
+        size = np.array([len(s) for s in sets])
+        start = np.cumsum(size) - size
+        values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        mark = np.zeros(len(values), dtype=bool)
+        label = np.unique(_words(table, "root", words), axis=0, return_inverse=True)[1].reshape(-1)
+        ends: list[tuple[int, int]] = []
+        for a, b in apart(table, prints):
+            cut = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else a
+            for one, others in zip(a[cut].tolist(), np.split(b, cut[1:]), strict=True) if len(a) else ():
+                fits = np.minimum(size[others], size[one]) >= similarity * np.maximum(size[others], size[one]) - 1e-6
+                others = others[fits & (label[others] != label[one])]
+                if not len(others):
+                    continue
+                for other in others[shared_shares(one, others, ids, start, size, mark) >= similarity].tolist():
+                    if label[one] != label[other]:
+                        label[label == label[other]] = label[one]
+                        ends.append((one, other))
+        pairs = np.array(ends, dtype=np.int64).reshape(-1, 2)
+        return _link_batch(prints, pairs[:, 0], pairs[:, 1])
+
+    marked = materialise(_solve_meetings(meetings.select(*[F.col("shard.k") if c == "k" else F.col(c) for c in kept]), mark_rows, schema), "marked")
+    texts = _texts_of(marked.select("print").distinct(), distinct, docs, ident, text)
+    told = marked.join(texts, "print").select(*kept, "text").repartition("change").sortWithinPartitions("change")
+    return _solve_meetings(told, solve, "u array<bigint>, v array<bigint>")
+
+
 def near_duplicates(
     docs: DataFrame, ident: Column, text: str = "text", shingle: int = 3, words: int = 1, radius: int = 3, minima: int = 0,
     similarity: float | None = None,
@@ -232,20 +323,24 @@ def near_duplicates(
     ``ident`` is any orderable column. With ``minima`` 0 the fingerprint has 64 bits, ``radius`` is at most 3 and every
     link is found. With ``minima`` k, rows meet where one of k smallest shingle hashes is equal, so two texts of
     similarity s are missed with a chance of (1 - s)^k. With ``similarity`` a link also needs that share of common
-    shingles, read from both texts (``ident`` then has to tell texts apart); the pairs read are ``FORESTS`` spanning forests of
-    the near ones in each meeting, the nearest first. NULL texts count as empty; texts without words have the
+    shingles, read from both texts (``ident`` then has to tell texts apart), and every pair within ``radius`` that meets is
+    tested unless tested links already join it; this form needs ``minima``. NULL texts count as empty; texts without words have the
     fingerprint zero and form one group; equal rows share a group; a NULL id is never the smallest unless a
     component has no other. An empty table gives an empty result.
     """
     if not minima and (radius > 3 or words != 1):
         raise ValueError("blocks find fingerprints of 64 bits within a radius of 3; give minima for more")
+    if similarity is not None and not minima:
+        raise ValueError("similarity needs minima")
     prints = materialise(fingerprints(docs, ident, text, shingle, words, minima), "prints")
     distinct = prints.groupBy("print").agg(F.min("id").alias("first"), F.min("mins").alias("mins"))
     shards = _minima_shards(distinct) if minima else _block_shards(distinct)
     links = _spanning_links(_chunk_pairs(shards), words, radius, FORESTS if similarity is not None else 1)
     if similarity is not None:
-        distinct = materialise(distinct.select("print", "first"), "distinct")
-        links = _similar_links(links, distinct, docs, ident, text, shingle, similarity)
+        distinct = materialise(distinct, "distinct")
+        links = materialise(_similar_links(links, distinct, docs, ident, text, shingle, similarity), "similar")
+        rule = (shingle, words, radius, minima, similarity)
+        links = links.unionByName(_remaining_links(distinct, connected_components(links), docs, ident, text, *rule))
     roots = connected_components(links)
     rooted = distinct.join(roots, F.col("print") == F.col("u"), "left").select("print", "first", F.coalesce("root", "print").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))

@@ -200,6 +200,32 @@ def test_links_are_verified_and_spanning(spark):
     assert got == {i: ids[root[k]] for k, i in enumerate(ids)}
 
 
+@pytest.mark.parametrize("chunk", [512, 40])
+def test_a_crowd_of_variants_keeps_its_links(spark, monkeypatch, chunk):
+    """Each variant is similar to its base only, while nearly all pairs of variants are within the radius."""
+    monkeypatch.setattr(near_dedup, "CHUNK", chunk)
+    rng = random.Random(12)
+    base = words(rng, 500)
+    rows = [(1000, " ".join(base))]
+    for k in range(300):
+        text = list(base)
+        for at in rng.sample(range(0, 500, 5), 8):
+            text[at] = f"new{rng.randrange(10**6)}"
+        rows.append((k, " ".join(text)))
+    got = {r["id"]: r["component"] for r in near_duplicates(spark.createDataFrame(rows, DOCS), F.col("doc_id"), shingle=5, words=4, radius=52, minima=6, similarity=0.8).collect()}
+    texts = dict(rows)
+    ids = sorted(texts)
+    sets = [np.unique(shingle_hashes(texts[i].encode(), 5)) for i in ids]
+    links = []
+    for a in range(len(ids)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            if both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                links.append((a, b))
+    root = roots(len(ids), links)
+    assert len(links) < 5000 and got == {i: ids[root[k]] for k, i in enumerate(ids)}
+
+
 def test_spanning_pairs_are_a_forest_of_the_same_components():
     rng = np.random.default_rng(8)
     a, b = rng.integers(0, 60, 150), rng.integers(0, 60, 150)
