@@ -212,7 +212,10 @@ def _read_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each record of the archives below ``path``, revisits with their response's payload figures."""
+    """One row for each record of the archives below ``path``, revisits with their response's payload figures.
+
+    A response is found by record id and payload digest, since ids may repeat with other payloads; a revisit without one raises.
+    """
     chunks = _chunks(spark, path)
     entries = materialise(first_records(chunks), "entries")
     if (splits := entries.count()) > MAX_SPLITS:
@@ -236,12 +239,15 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     responses = records.filter("record_type = 'response'").select(
         F.col("record_id").alias("refers_to"), F.col("payload_bytes").alias("there"), F.col("page_id").alias("page"), F.col("payload_digest").alias("same")
     )
-    wanted = materialise(records.filter("record_type = 'revisit'").select("refers_to").distinct(), "wanted")
-    answers = responses.join(wanted, "refers_to", "left_semi").dropDuplicates(["refers_to"])
-    revisits = records.filter("record_type = 'revisit'").drop("payload_bytes").join(answers, "refers_to", "left").filter("payload_digest = same")
+    revisits = records.filter("record_type = 'revisit'").drop("payload_bytes")
+    wanted = materialise(revisits.select("refers_to", F.col("payload_digest").alias("same")).distinct(), "wanted")
+    answers = responses.join(wanted, ["refers_to", "same"], "left_semi").dropDuplicates(["refers_to", "same"])
+    revisits = revisits.withColumnRenamed("payload_digest", "same").join(answers, ["refers_to", "same"], "left").withColumnRenamed("same", "payload_digest")
+    lost = F.raise_error(F.concat(F.lit("no response for revisit "), F.coalesce("record_id", F.lit("without id")))).cast("bigint")
+    revisits = revisits.withColumn("payload_bytes", F.when(F.col("there").isNull(), lost).otherwise(F.col("there")))
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type"]
     return records.filter("record_type = 'response'").select(*columns, F.lit(None).cast("string").alias("refers_to")).unionByName(
-        revisits.withColumn("payload_bytes", F.col("there")).select(*columns, F.col("page").alias("refers_to"))
+        revisits.select(*columns, F.col("page").alias("refers_to"))
     )
 
 

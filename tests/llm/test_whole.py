@@ -108,6 +108,19 @@ def test_archives_with_magic_inside_payloads(spark):
     assert archive_round_trip(pages.limit(0)).count() == 0
 
 
+def test_repeated_ids_with_other_payloads_lose_no_revisit(spark, tmp_path):
+    texts = [f"version {v} " * 30 for v in range(8)]
+    rows = [(1, "u", t) for t in texts] + [(5 + k, "u", t) for k, t in enumerate(texts)]
+    got = archive_round_trip(spark.createDataFrame(rows, "page_id bigint, url string, html string")).toPandas()
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame(rows, columns=["page_id", "url", "html"]))
+    assert plain(got) == plain(con.execute(queries.ORACLES["op10_warc"]).fetchdf()) and len(got) == 16
+    alone = b"WARC-Type: revisit\r\nWARC-Record-ID: <a>\r\nWARC-Refers-To: <b>\r\nWARC-Payload-Digest: sha256:0\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    (tmp_path / "alone.warc").write_bytes(MAGIC + alone)
+    with pytest.raises(Exception, match="no response for revisit <a>"):
+        read_archives(spark, str(tmp_path)).collect()
+
+
 def test_a_file_that_does_not_start_with_a_record_has_none(spark, tmp_path):
     (tmp_path / "odd.warc").write_bytes(b"junk" + MAGIC + b"Content-Length: 1\r\n\r\nx\r\n\r\n")
     assert read_archives(spark, str(tmp_path)).count() == 0
