@@ -4,7 +4,8 @@ A token is an element with its path of containers. Tokens that occur equally oft
 occurrence vectors, compared by sums of page hashes) form an equivalence class. Classes found on half of a host's pages
 whose tokens always come in one order are valid; nested by their paths they are the template, and the text between them
 fills its slots. A slot that says the same on all pages is part of the template, menus, notices and other furniture are told
-by their elements, and the rest inside the main container is extracted.
+by their elements, and the rest inside the main container is extracted; articles are only a hint inside that container, or
+stand for it on pages without a template.
 """
 
 from __future__ import annotations
@@ -155,22 +156,52 @@ def parse_page(page: str) -> tuple[list[Block], list[str]]:
 
 
 def extract_text(page: str, main: str | None, constant: frozenset[str]) -> str:
-    """The text of the page's main container outside furniture and constant slots, one block a line."""
+    """The text of the page's main container outside furniture and constant slots, one block a line.
+
+    ``main`` and ``constant`` are those of the host's template. An article is a hint: it widens a main container inside it,
+    is preferred inside a wider one if it holds half of that text, and stands for it on a page that has none of the template's.
+    """
     blocks, _ = parse_page(page)
-    own = [b for b in blocks if not b.dropped]
+    roots = {b.article: _article_root(b.path) for b in blocks if b.article >= 0}
+    own = [b for b in blocks if not b.dropped and not _is_template(b, roots, main, constant)]
+    if main is not None:
+        main = next((root for root in roots.values() if _under(main, root)), main)
+        if held := [b for b in own if _under(b.path, main)]:
+            own = held
+        else:
+            main = None
     mass = Counter()
     for b in own:
         if b.article >= 0:
             mass[b.article] += len(b.text)
-    if mass:
+    if mass and (main is None or 2 * max(mass.values()) >= sum(len(b.text) for b in own)):
         chosen = mass.most_common(1)[0][0]
         return "\n".join(b.text for b in own if b.article == chosen)
-    own = [b for b in own if b.path not in constant and 2 * b.link <= len(b.text)]
-    if main is None or not any(_under(b.path, main) for b in own):
+    if main is None:
         main = main_container({path: size for path, size in _masses(own).items()})
     return "\n".join(b.text for b in own if _under(b.path, main))
 
 
+def _article_root(path: str) -> str:
+    """The path of the outermost article that ``path`` lies in."""
+    names = path.split("/")
+    return "/".join(names[: 1 + next(k for k, sign in enumerate(names) if sign.split(".")[0] == "article")])
+
+
+def _is_template(block: Block, roots: dict[int, str], main: str | None, constant: frozenset[str]) -> bool:
+    """Whether a block is a constant slot, or a list of links outside articles.
+
+    In an article that is the case in a box of its own, which has a class or id or is a division; a bare heading or list is the
+    writer's, though it may say the same on some pages. Pages that are all alike (no varying slot) have no box there.
+    """
+    if block.article < 0:
+        return block.path in constant or 2 * block.link > len(block.text)
+    if main is None or block.path not in constant:
+        return False
+    inside = block.path[len(roots[block.article]) + 1 :].split("/")
+    return any("." in sign or sign in ("div", "section") for sign in inside)
+
+
 def _under(path: str, root: str) -> bool:
     return path == root or path.startswith(f"{root}/")
 

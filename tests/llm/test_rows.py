@@ -149,6 +149,20 @@ def test_template_leaves_varying_slots_only(spark):
     assert got == {k: " ".join([f"story {k}"] * 9) for k in range(6)}
 
 
+def test_template_has_its_say_on_article_pages(spark):
+    boxed = "<body><article><h1>Title {k}</h1><div class='kx7'><p>Our partner offers</p></div>{more}<p>story {k} <p>goes on {k}<section>Read us daily</section></article></body>"
+    beside = "<body><article><p>teaser {k}</p></article><div class='story'><h1>Head {k}</h1><p>{text}</p><div class='kx8'>Join us now</div></div></body>"
+    deeper = "<body><main><article><h1>Top {k}</h1><div class='content'><p>{text}</p></div></article></main></body>"
+    rows = [(100 * n + k, f"http://{n}.x/{k}", page.format(k=k, text=f"text {k} " * 30, more="<ul><li>a" if k % 2 else "")) for n, page in enumerate((boxed, beside, deeper)) for k in range(6)]
+    rows += [(300 + k, f"http://same.x/{k}", boxed.format(k=1, more="")) for k in range(4)]
+    got = {r["page_id"]: r["text"] for r in main_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for k in range(6):
+        assert got[k] == f"Title {k}\n" + "a\n" * (k % 2) + f"story {k}\ngoes on {k}"
+        assert got[100 + k] == f"Head {k}\n" + " ".join([f"text {k}"] * 30)
+        assert got[200 + k] == f"Top {k}\n" + " ".join([f"text {k}"] * 30)
+    assert got[300].startswith("Title 1\nOur partner offers\nstory 1")
+
+
 @pytest.mark.parametrize("name", ["ad1", "sideBar", "reader-comments", "site_footer", "cookieBanner", "navMenu", "commentsection"])
 def test_furniture_by_name(name):
     page = f"<body><div class='{name}'>gone</div><article><div class='article-header'><h1>T</h1></div><p>text</p><div id='{name}'>gone</div></article>"
