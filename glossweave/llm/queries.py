@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glossweave.llm.centroids import centroid_clusters, clusters_sql
 from glossweave.llm.common import read_table
 from glossweave.llm.decontaminate import contaminated
 from glossweave.llm.html_main import main_texts
+from glossweave.llm.imatch import FINGERPRINTS_SQL, document_fingerprints
+from glossweave.llm.lexical_search import RANKED_SQL, ranked_search
 from glossweave.llm.licences import SCAN_SQL, licence_scan
 from glossweave.llm.line_dedup import REMOVED_LINES_SQL, remove_repeated_lines
 from glossweave.llm.near_dedup import fingerprint_hex, near_duplicates
@@ -91,3 +94,27 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_warc"] = ROUND_TRIP_SQL
+
+
+@query
+def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_ranked_lexical_search"] = RANKED_SQL
+
+
+@query
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_document_fingerprints"] = FINGERPRINTS_SQL
+
+
+@query
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_centroid_clustering"] = clusters_sql()
