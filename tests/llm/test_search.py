@@ -103,10 +103,10 @@ def test_fingerprints_of_repeated_rows_null_ids_and_nothing(spark):
     assert len(once) == 2 and once[0] == once[1]
     last = next(r for r in found if r["doc_id"] == 2)
     # The row without an id comes first, so it follows the last one.
-    assert last["edited_sha256"] == hashlib.sha256(b"u v wq").hexdigest()
+    assert last["edited_sha256"] == hashlib.sha256(b"u v w q").hexdigest()
     assert document_fingerprints(docs.filter("false")).collect() == []
     alone = document_fingerprints(docs.filter("doc_id = 2")).collect()[0]
-    assert alone["near_next"] == 1.0 and alone["edited_sha256"] == hashlib.sha256(b"u v wu").hexdigest()
+    assert alone["near_next"] == 1.0 and alone["edited_sha256"] == hashlib.sha256(b"u v w u").hexdigest()
 
 
 def test_likeness(spark):
