@@ -16,6 +16,7 @@ from glossweave.operators.schema import (
 from glossweave.session import stage_path
 from glossweave.plans.common import run_stamp
 from glossweave.sources.delimited import csv_options, scan_delimited, scan_folder, write_by_language
+from glossweave.sources.split_scan import scan_split
 from glossweave.sources.protocol import PROTOCOL_COLUMNS, ProtocolTable, protocol_rows, upsert_protocol
 
 PART_TEXTS = ["p_name", "p_brand", "p_type"]
@@ -29,6 +30,17 @@ def scan_delimited_query(spark, sf_dir):
     return scan_delimited(spark, path, ";")
 
 
+@query("scan_split_quoted", """
+SELECT doc_id::VARCHAR AS doc_id, coalesce(replace(text, ' the ', ';' || chr(10) || '"the"' || chr(10)), '') AS text, coalesce(lang, '') AS lang, n_chars::VARCHAR AS n_chars FROM documents""")
+def scan_split_quoted(spark, sf_dir):
+    """One large file, whose texts hold separators, quotes and line breaks, read by many tasks."""
+    path = stage_path(spark, "quoted")
+    broken = F.replace("text", F.lit(" the "), F.lit(';\n"the"\n'))
+    documents = table(spark, sf_dir, "documents").select("doc_id", broken.alias("text"), "lang", "n_chars")
+    documents.coalesce(1).write.options(**csv_options(";")).csv(path)
+    return scan_split(spark, path, ";")[0]
+
+
 @query("write_by_language", """
 SELECT lang, count(*) AS n, sum(length(text))::BIGINT AS n_chars, count(DISTINCT doc_id) AS n_docs FROM documents GROUP BY lang""")
 def write_by_language_query(spark, sf_dir):

@@ -81,6 +81,11 @@ def _texts(df: DataFrame) -> DataFrame:
 REJECTED = "_rejected"
 
 
+def header_names(spark: SparkSession, path: str | Sequence[str], sep: str, encoding: str = "utf-8", multi_line: bool = True) -> list[str]:
+    """The column names of the first file, of which only the first record is read."""
+    return _reader(spark, sep, encoding, multi_line).option("header", "true").csv(path).columns
+
+
 def scan_with_rejects(
     spark: SparkSession, path: str | Sequence[str], sep: str, encoding: str = "utf-8", multi_line: bool = True
 ) -> tuple[DataFrame, DataFrame]:
@@ -89,7 +94,7 @@ def scan_with_rejects(
     A row with more or fewer fields than the header is rejected whole. A file whose header differs from that of the first
     file stops the read with an error; use ``scan_folder`` for files of several layouts.
     """
-    header = _reader(spark, sep, encoding, multi_line).option("header", "true").csv(path).columns
+    header = header_names(spark, path, sep, encoding, multi_line)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, REJECTED]])
     raw = _reader(spark, sep, encoding, multi_line).option("header", "true").option("enforceSchema", "false")
     raw = raw.option("columnNameOfCorruptRecord", REJECTED).schema(schema).csv(path)
@@ -121,8 +126,8 @@ def scan_delimited(
 ) -> DataFrame:
     """Every column as text, empty fields as ``""``, nothing taken for missing; a row that does not fit stops the read.
 
-    Quoted line breaks need ``multi_line``, which keeps each file in one task; switch it off for
-    large files without such fields, and they are split.
+    Quoted line breaks need ``multi_line``, which keeps each file in one task. For large files use ``scan_split``, which reads
+    quoted line breaks in splits, or switch it off where there are no such fields.
     """
     good, _ = scan_with_rejects(spark, path, sep, encoding, multi_line)
     return _strict(spark, path, sep, encoding, multi_line, good.columns)
