@@ -15,7 +15,8 @@ from glossweave.operators import quality
 from glossweave.operators.cells import compare_cells, document_cells, unpivot_cells
 from glossweave.operators.chunks import text_requests
 from glossweave.operators.ordering import with_row_id
-from glossweave.operators.inference import pseudo_translate, run_requests, translate_items, usage_totals as totals
+from glossweave.catalog.models import pseudo_translate
+from glossweave.operators.inference import run_requests, translate_items, usage_totals as totals
 from glossweave.operators.pool import build_pool, language_fanout
 from glossweave.plans.by_pool import chunk_misses, localize_pool, memory_rows
 from glossweave.plans.by_row import localize_rows
@@ -76,6 +77,19 @@ def completeness_report(spark, sf_dir):
     return quality.completeness_report(_compared(spark, sf_dir, gaps=True))
 
 
+@query("completeness_rollup", f"""
+WITH {FIXED_SQL}, texts AS (SELECT row_id, unnest(['A', 'B', 'C', 'D']) AS col, unnest([A, B, C, D]) AS value FROM fixed),
+fanned AS (SELECT row_id, col, lang, {sql.strip('value')} AS v, {sql.rule(sql.strip('value'), 12)} AS rule_pool, {sql.rule(sql.strip('value'), 10)} AS rule_row FROM texts, {sql.languages(*LANGS)}),
+kinds AS (SELECT row_id, col, lang, CASE WHEN v = '' THEN 'blank' WHEN rule_pool IS NULL THEN 'translated' WHEN rule_row IS NOT NULL THEN 'ignored' ELSE 'suspect' END AS kind FROM fanned),
+counted AS (SELECT lang, col, (2 - bit_count(grouping(lang, col)::INTEGER))::INTEGER AS level, count(DISTINCT row_id) AS rows, count_if(kind <> 'blank')::BIGINT AS cells, count_if(kind = 'translated')::BIGINT AS translated,
+  count_if(kind = 'ignored')::BIGINT AS ignored, count_if(kind = 'suspect')::BIGINT AS suspect, 0::BIGINT AS dropped FROM kinds GROUP BY ROLLUP (lang, col))
+SELECT *, CASE WHEN cells > 0 THEN (translated + ignored)::DOUBLE / cells::DOUBLE * 100 ELSE 100 END AS percent FROM counted""")
+def completeness_rollup(spark, sf_dir):
+    """The report of a whole run: per language and column, per language, and in all."""
+    memory = TranslationMemory(spark, stage_path(spark, "memory"))
+    return localize_pool(answer_table(spark, sf_dir), memory, pseudo_translate, Settings(LANGS, MODEL, RULES)).completeness()
+
+
 @query("suspect_sample", f"""
 WITH {_COMPARED}, found AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY row_id) AS rank, count(*) OVER (PARTITION BY lang) AS n
   FROM ruled WHERE v_in <> '' AND v_in = v_out AND rule_row IS NULL)
@@ -222,6 +236,44 @@ def localize_rerun(spark, sf_dir):
     return second.usage.join(rows, "lang")
 
 
+class BrokenMemory(TranslationMemory):
+    """Breaks off when answers are to be stored."""
+
+    def append(self, rows, batch_id):
+        raise InterruptedError("broken off between inference and append")
+
+
+def refuse(lang: str, request: str, attempt: int) -> dict:
+    raise RuntimeError("this run must not call")
+
+
+@query("localize_resumed", ORACLES["localize_rerun"])
+def localize_resumed(spark, sf_dir):
+    """A run broken off between inference and append, and started again: no call is repeated, and all rows come out."""
+    path, settings = stage_path(spark, "memory"), Settings(LANGS, MODEL, RULES, resume_root=stage_path(spark, "runs"), calls_per_commit=50)
+    table_ = answer_table(spark, sf_dir)
+    try:
+        localize_pool(table_, BrokenMemory(spark, path), pseudo_translate, settings)
+    except InterruptedError:
+        pass
+    resumed = localize_pool(table_, TranslationMemory(spark, path), refuse, settings)
+    rows = resumed.output.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"))
+    return resumed.usage.join(rows, "lang")
+
+
+@query("qa_rerun", f"""
+WITH {sql.POOL}, scored AS (SELECT 1 FROM normed WHERE text_norm <> '' AND length(text_norm) >= 6 AND {sql.residue('text_norm')} >= 1.2)
+SELECT lang, count(*)::BIGINT AS final_suspects, 0::BIGINT AS api_calls FROM scored, {sql.languages(*LANGS)} GROUP BY lang""")
+def qa_rerun(spark, sf_dir):
+    """Suspects that lasted through all rounds of one run are known to the next one, which sends none of them again."""
+    lines = line_cells(spark, sf_dir).select("row_id", F.col("value").alias("line"))
+    memory, settings = TranslationMemory(spark, stage_path(spark, "memory")), Settings(LANGS, MODEL, RULES)
+    localize_pool(lines, memory, never_better, settings)
+    second = localize_pool(lines, memory, refuse, settings)
+    found = spark.createDataFrame([(lang, second.checks[-1][lang]) for lang in LANGS], "lang string, final_suspects bigint")
+    return found.join(second.usage.select("lang", "api_calls"), "lang")
+
+
 @query("localize_growing", ORACLES["localize_table"])
 def localize_growing(spark, sf_dir):
     """First the parts with even keys, then all, with default ids: nothing of the first run is lost or sent again."""

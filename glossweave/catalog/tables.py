@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from glossweave.catalog import sql
 from glossweave.catalog.inputs import labelled_cells, line_cells
 from glossweave.catalog.registry import query, table
-from glossweave.operators.cells import compare_cells, pivot_cells, scatter_response, unpivot_cells
+from glossweave.operators.cells import compare_cells, pivot_cells, scatter_response, tagged_fields, unpivot_cells, write_tagged
 from glossweave.operators.pool import column_strategy as strategy_of, distinct_values as distinct_of, union_texts as union_of
 from glossweave.operators.schema import (
     guarded_rename as rename, normalise_header as clean_header, ordered_projection as project, parse_column_order,
@@ -158,6 +158,34 @@ def scatter_response_query(spark, sf_dir):
     return scatter_response(cells, answers.unionByName(unknown), ["p_name", "p_brand"])
 
 
+@query("rejected_answers", """
+WITH fields AS (
+  SELECT p_partkey AS row_id, p_partkey AS known, p_name, p_brand FROM part WHERE p_size > 25
+  UNION ALL SELECT p_partkey, p_partkey, lower(p_name), p_brand FROM part WHERE p_size > 40
+  UNION ALL SELECT -1 - p_partkey, NULL, p_name, p_brand FROM part),
+answers AS (
+  SELECT row_id, known, 'p_name' AS col, upper(p_name) AS value FROM fields
+  UNION ALL SELECT row_id, known, 'p_type', 'unasked' FROM fields UNION ALL SELECT row_id, known, 'extra', 'x' FROM fields)
+SELECT row_id, col, value, CASE WHEN known IS NULL THEN 'unknown id' WHEN col <> 'p_name' THEN 'not asked'
+  WHEN row_number() OVER (PARTITION BY row_id, col ORDER BY value DESC) > 1 THEN 'duplicate' ELSE 'accepted' END AS status FROM answers""")
+def rejected_answers(spark, sf_dir):
+    """Every field of a response with what becomes of it: large parts are answered, the largest twice, with columns that
+    nobody asked for, and so are rows that do not exist."""
+    parts = table(spark, sf_dir, "part")
+
+    def answered(rows, row_index, name):
+        fields = F.create_map(F.lit("p_name"), F.upper(name), F.lit("p_type"), F.lit("unasked"), F.lit("extra"), F.lit("x"))
+        return rows.select(row_index.alias("row_index"), fields.alias("fields"))
+
+    once = answered(parts.where(F.col("p_size") > 25), F.col("p_partkey"), "p_name")
+    twice = answered(parts.where(F.col("p_size") > 40), F.col("p_partkey"), F.lower("p_name"))
+    unknown = answered(parts, -1 - F.col("p_partkey"), "p_name")
+    cells = unpivot_cells(parts, "p_partkey", PART_TEXTS).drop("col_ord")
+    path = stage_path(spark, "answers")
+    write_tagged(tagged_fields(cells, once.unionByName(twice).unionByName(unknown), ["p_name", "p_brand"]), path)
+    return spark.read.parquet(path).select("row_id", "col", "value", "status")
+
+
 def _strategy_cells(spark, sf_dir):
     part = unpivot_cells(table(spark, sf_dir, "part"), "p_partkey", PART_TEXTS)
     customer = unpivot_cells(table(spark, sf_dir, "customer"), "c_custkey", ["c_name", "c_mktsegment"])
@@ -210,18 +238,19 @@ def scan_ragged(spark, sf_dir):
 
 
 _EVENT_STATS = """SELECT event_type AS "Datei", 'L' || user_id % 5 AS "Sprache", strftime(max(ts), '%Y-%m-%d %H:%M') AS "Datum", count(*)::VARCHAR AS "Anzahl_API_Calls"
-  FROM events WHERE event_id % {n} = 0 GROUP BY ALL"""
+  FROM events WHERE {chosen} GROUP BY ALL"""
 
 
 @query("protocol_table", f"""
-WITH first AS ({_EVENT_STATS.format(n=2)}), second AS ({_EVENT_STATS.format(n=300)})
+WITH first AS ({_EVENT_STATS.format(chosen="true")}), second AS ({_EVENT_STATS.format(chosen="user_id % 5 < 2 AND value > 50")})
 SELECT * FROM second UNION ALL SELECT f.* FROM first f ANTI JOIN second s USING ("Datei", "Sprache")""")
 def protocol_table(spark, sf_dir):
-    """Rows of several files and languages in one table, written twice and read back; an empty run changes nothing."""
+    """Rows of several files and languages in one table: all events, then a later run for two of the languages, which
+    replaces their rows; an empty run changes nothing."""
     protocol = ProtocolTable(spark, stage_path(spark, "protocol"))
-    for n in (2, 300):
-        events = table(spark, sf_dir, "events").where(F.col("event_id") % n == 0)
-        stats = events.groupBy(
+    events = table(spark, sf_dir, "events")
+    for chosen in (events, events.where((F.col("user_id") % 5 < 2) & (F.col("value") > 50))):
+        stats = chosen.groupBy(
             F.col("event_type").alias("datei"), F.concat(F.lit("L"), (F.col("user_id") % 5).cast("string")).alias("sprache")
         ).agg(run_stamp(F.max("ts")).alias("datum"), F.count(F.lit(1)).alias("api_calls"))
         protocol.upsert(protocol_rows(stats))

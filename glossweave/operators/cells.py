@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossweave.functions.text import strip
@@ -66,22 +66,39 @@ def compare_cells(source: DataFrame, output: DataFrame, keys: Sequence[str] = ("
     )
 
 
-def scatter_response(cells: DataFrame, responses: DataFrame, requested: Sequence[str]) -> DataFrame:
-    """Put response fields onto cells: ``responses(row_index, fields map)``.
+#: What becomes of a field of a response.
+ACCEPTED, DUPLICATE, NOT_ASKED, UNKNOWN_ID = "accepted", "duplicate", "not asked", "unknown id"
+
+
+def tagged_fields(cells: DataFrame, responses: DataFrame, requested: Sequence[str]) -> DataFrame:
+    """``row_id, col, value, status`` of every field of ``responses(row_index, fields map)``, none left out.
 
-    Only requested columns are taken, and fields for unknown rows never reach the result.
+    A field is accepted if its row was sent and its column asked for; of several for one cell the greatest text is, and
+    the others are duplicates. Copies of a field collapse into a count before the shuffle, so that a row answered again
+    and again stays small; they come out as often as they went in.
     """
-    fields = (
-        responses.select(F.col("row_index").alias("row_id"), F.explode("fields").alias("col", "_new"))
-        .where(F.col("col").isin(*requested))
-        .groupBy("row_id", "col")
-        .agg(F.max("_new").alias("_new"))
-    )
+    fields = responses.select(F.col("row_index").alias("row_id"), F.explode("fields").alias("col", "value"))
+    distinct = fields.groupBy("row_id", "col", "value").agg(F.count(F.lit(1)).alias("n"))
+    sent = cells.groupBy("row_id").agg(F.collect_set("col").alias("_sent"))
+    joined = distinct.join(sent, "row_id", "left")
+    asked = F.array_contains("_sent", F.col("col")) & F.col("col").isin(*requested)
+    status = F.when(F.col("_sent").isNull(), UNKNOWN_ID).when(~asked, NOT_ASKED)
+    best = Window.partitionBy("row_id", "col").orderBy(F.desc_nulls_last("value"))
+    ranked = joined.select("row_id", "col", "value", "n", status.alias("status"), F.row_number().over(best).alias("_rank"))
+    one = F.when(F.col("_rank") == 1, ACCEPTED).otherwise(DUPLICATE)
+    statuses = F.transform(F.sequence(F.lit(1).cast("bigint"), "n"), lambda i: F.coalesce("status", F.when(i == 1, one).otherwise(DUPLICATE)))
+    return ranked.select("row_id", "col", "value", F.explode(statuses).alias("status"))
+
+
+def write_tagged(tagged: DataFrame, path: str) -> None:
+    """One table with a directory per status: accepted fields and each kind of reject are read on their own."""
+    tagged.write.mode("errorifexists").partitionBy("status").parquet(path)
+
+
+def scatter_response(cells: DataFrame, responses: DataFrame, requested: Sequence[str]) -> DataFrame:
+    """Put the accepted fields of ``responses(row_index, fields map)`` onto cells."""
+    tagged = tagged_fields(cells, responses, requested)
+    fields = tagged.where(F.col("status") == ACCEPTED).select("row_id", "col", F.col("value").alias("_new"))
     return cells.join(fields, ["row_id", "col"], "left").select(
         *[F.coalesce(F.col("_new"), F.col(c)).alias(c) if c == "value" else F.col(c) for c in cells.columns]
     )
-
-
-def unknown_rows(cells: DataFrame, responses: DataFrame) -> DataFrame:
-    """Responses that name a row which was never sent."""
-    return responses.join(cells.select(F.col("row_id").alias("row_index")), "row_index", "left_anti")

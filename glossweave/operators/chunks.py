@@ -49,17 +49,24 @@ def greedy_chunks(
     whole group gives, while no task sees more than a block: where a chunk that starts at a row
     ends depends only on the rows after it, so each block is summarised by "entered at offset e,
     left at offset f, after n chunks" (``max_items`` pairs). Summaries are combined ``FAN_IN`` at a
-    time, and the entry of each block is handed back down the same way.
+    time, and the entry of each block is handed back down the same way. ``df`` is read more than once: pass a written
+    table, or what follows cheaply from one.
     """
     if block_rows < max_items:
         raise ValueError("block_rows must be at least max_items")
     group = list(group)
-    placed = ordered_positions(df, group, order)
+    largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] if group else None
+    if largest is not None and largest <= block_rows:
+        # Every group fits one block, so one bounded sort a group places its rows.
+        within = Window.partitionBy(*group).orderBy(*order)
+        placed, last_block = df.withColumn("pos", (F.row_number().over(within) - 1).cast("bigint")), 0
+    else:
+        placed = ordered_positions(df, group, order)
+        last_block = placed.agg(F.max("pos")).first()[0]
     sizes = placed.select(*group, "pos", F.col(size).cast("bigint").alias("size"))
 
     blocks = _with_halo(sizes, block_rows, max_items)
     key_fields = [placed.schema[c] for c in group]
-    last_block = placed.agg(F.max("pos")).first()[0]
     levels = 0
     while last_block is not None and last_block // block_rows // FAN_IN**levels > 0:
         levels += 1

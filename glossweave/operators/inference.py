@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
@@ -14,6 +13,7 @@ from pyspark.sql import types as T
 from glossweave.functions.payload import resolve_response, validate_responses
 from glossweave.operators.chunks import split_failed_chunks, text_requests
 from glossweave.session import materialise, shuffle_partitions
+from glossweave.sources.stages import AnswerLog
 
 # A lost task repeats the calls of its partition, so partitions stay small.
 CALLS_PER_TASK = 50
@@ -24,17 +24,6 @@ Translate = Callable[[str, str, int], dict]
 _USAGE = ("prompt_tokens", "completion_tokens", "api_calls")
 
 
-def pseudo_translate(lang: str, request: str, attempt: int) -> dict:
-    """Deterministic stand-in for a model: every text prefixed with its language."""
-    sent = json.loads(request)
-    if sent and "fields" in sent[0]:
-        got = [{"row_index": x["row_index"], "fields": {c: f"[{lang}] {v}" for c, v in x["fields"].items()}} for x in sent]
-    else:
-        got = [{"id": x["id"], "translation": f"[{lang}] {x['text']}"} for x in sent]
-    raw = json.dumps(got, ensure_ascii=False)
-    return {"raw": raw, "prompt_tokens": len(request), "completion_tokens": len(raw), "api_calls": 1}
-
-
 def run_requests(
     requests: DataFrame,
     translate: Translate,
@@ -42,16 +31,44 @@ def run_requests(
     shape: str = "text",
     spread: Sequence[str] = ("lang", "chunk_no"),
     parallelism: int | None = None,
+    log: AnswerLog | None = None,
 ) -> DataFrame:
     """Send each request once and keep raw and validated answers in a written table.
 
     The calls may be paid for and the parsing is repeated work, so the result is materialised before
     anything reads it. An exception of the function becomes a failed response, not a failed task
-    that would repeat its neighbours.
+    that would repeat its neighbours. With a ``log`` answers are committed to it in portions, and a request that it
+    holds an answer for is not sent; its usage counts as 0 then.
     """
+    if log is not None:
+        return _logged_requests(requests, translate, attempt, shape, spread, parallelism, log)
+    answers = _send(requests, translate, attempt, spread, parallelism, requests.drop("request").columns)
+    return materialise(validate_responses(answers, shape), "responses")
+
+
+def _logged_requests(requests, translate, attempt, shape, spread, parallelism, log: AnswerLog) -> DataFrame:
+    """Send what the log has no answer for, one commit after the other, then read all answers from the log."""
+    name = F.sha2(F.concat_ws("|", F.lit(shape), F.lit(attempt), "lang", "request"), 256)
+    named = materialise(requests.withColumn("request_id", name), "requests")
+    missing = named.dropDuplicates(["request_id"]).join(log.answered(), "request_id", "left_anti")
+    commits = -(-missing.count() // log.calls_per_commit)
+    fresh = materialise(missing.withColumn("commit", F.pmod(F.xxhash64("request_id"), F.lit(max(1, commits)))), "fresh-requests")
+    for commit in range(commits):
+        log.append(_send(fresh.where(F.col("commit") == commit), translate, attempt, spread, parallelism, ["request_id"]))
+    sent = fresh.select("request_id", F.lit(True).alias("_sent"))
+    answers = named.drop("request").join(log.latest(), "request_id").join(sent, "request_id", "left")
+    usage = {c: F.when(F.col("_sent"), F.col(c)).otherwise(F.lit(0)) for c in _USAGE}
+    answers = answers.withColumns({**usage, "attempt": F.lit(attempt)}).drop("request_id", "_sent")
+    return materialise(validate_responses(answers, shape), "responses")
+
+
+def _send(
+    requests: DataFrame, translate: Translate, attempt: int, spread: Sequence[str], parallelism: int | None, keep: Sequence[str]
+) -> DataFrame:
+    """Columns ``keep`` of each request with ``attempt`` and what the call for it gave; every evaluation calls again."""
     schema = T.StructType(
         [
-            *requests.drop("request").schema.fields,
+            *[requests.schema[c] for c in keep],
             T.StructField("attempt", T.IntegerType()),
             T.StructField("raw", T.StringType()),
             T.StructField("error", T.StringType()),
@@ -75,8 +92,7 @@ def run_requests(
 
     number = requests.select(*spread).count()
     wide = parallelism or max(min(number, shuffle_partitions(requests.sparkSession)), -(-number // CALLS_PER_TASK), 1)
-    placed = requests.repartition(wide, *spread)
-    return materialise(validate_responses(placed.mapInPandas(send, schema), shape), "responses")
+    return requests.repartition(wide, *spread).mapInPandas(send, schema)
 
 
 class Translated(NamedTuple):
@@ -113,6 +129,7 @@ def translate_items(
     attempt: int = 0,
     text: str = "text_norm",
     parallelism: int | None = None,
+    log: AnswerLog | None = None,
 ) -> Translated:
     """Translate chunked items ``(lang, chunk_no, item_no, id, text)``.
 
@@ -124,7 +141,7 @@ def translate_items(
     pending, rounds = items.withColumn("chunk_no", F.col("chunk_no").cast("string")), max(1, max_items).bit_length()
     for step in range(rounds + 1):
         requests = text_requests(pending, chunk, text=text)
-        checked = run_requests(requests, translate, attempt, parallelism=parallelism).withColumn("split_round", F.lit(step))
+        checked = run_requests(requests, translate, attempt, parallelism=parallelism, log=log).withColumn("split_round", F.lit(step))
         good = resolve_response(checked, pending, chunk, text)
         resolved = good if resolved is None else resolved.unionByName(good)
         responses = checked if responses is None else responses.unionByName(checked)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossweave.functions.text import (
-    ABBREVIATION_MAX_POOL, ABBREVIATION_MAX_ROW, GERMAN, ResidueMarkers, expected_script, residue_at_least, translatable_stripped,
+    ABBREVIATION_MAX_POOL, ABBREVIATION_MAX_ROW, GERMAN, ResidueMarkers, expected_script, residue_at_least, strip, translatable_stripped,
 )
 from glossweave.operators.ordering import null_safe_join
 
@@ -32,8 +32,22 @@ def suspect_equal(compared: DataFrame, abbr_max: int = ABBREVIATION_MAX_ROW) ->
     return checked_cells(compared.where(F.col("v_in") == F.col("v_out")), abbr_max).where(~F.col("ignored")).drop("ignored")
 
 
+def residue_score(v_out: Column, markers: ResidueMarkers = GERMAN) -> Column:
+    """The score of a stripped output, 0 below the mark of a suspect."""
+    return residue_at_least(v_out, SUSPECT_SCORE, markers)
+
+
+def reads_like_source(v_out: Column, score: Column) -> Column:
+    return (F.length(v_out) >= SUSPECT_LENGTH) & (score > 0)
+
+
 def looks_untranslated(v_out: Column, markers: ResidueMarkers = GERMAN) -> Column:
-    return (F.length(v_out) >= SUSPECT_LENGTH) & (residue_at_least(v_out, SUSPECT_SCORE, markers) > 0)
+    return reads_like_source(v_out, residue_score(v_out, markers))
+
+
+def lacks_script(lang: Column, v_in: Column, v_out: Column) -> Column:
+    """An unchanged cell without the script of its target language."""
+    return (v_in == v_out) & ~expected_script(lang, v_out)
 
 
 def suspect_residue(compared: DataFrame, abbr_max: int = ABBREVIATION_MAX_POOL, markers: ResidueMarkers = GERMAN) -> DataFrame:
@@ -43,35 +57,54 @@ def suspect_residue(compared: DataFrame, abbr_max: int = ABBREVIATION_MAX_POOL,
 
 def suspect_script(compared: DataFrame, abbr_max: int = ABBREVIATION_MAX_POOL) -> DataFrame:
     """Unchanged translatable cells that lack the script of their target language."""
-    wrong = (F.col("v_in") == F.col("v_out")) & ~expected_script(F.col("lang"), F.col("v_out"))
+    wrong = lacks_script(F.col("lang"), F.col("v_in"), F.col("v_out"))
     return checked_cells(compared.where(wrong), abbr_max).where(~F.col("ignored")).drop("ignored")
 
 
-def completeness_report(compared: DataFrame, keys: Sequence[str] = ("lang",), abbr_max: int = ABBREVIATION_MAX_ROW, row_key: str = "row_id") -> DataFrame:
-    """Rows, cells, translated, ignored, suspect, dropped and percent per key."""
+def completeness_report(
+    compared: DataFrame, keys: Sequence[str] = ("lang",), abbr_max: int = ABBREVIATION_MAX_ROW, row_key: str = "row_id", rollup: bool = False
+) -> DataFrame:
+    """Rows, cells, translated, ignored, suspect, dropped and percent per key.
+
+    With ``rollup`` also per prefix of the keys and in all, in one pass; ``level`` is the number of keys that count.
+    """
     filled = F.col("v_in") != ""
     ignored = ~translatable_stripped(F.col("v_in"), abbr_max)
-    marked = compared.withColumn(
-        "_kind",
+    marked = compared.select(
+        *keys,
+        row_key,
         F.when(~filled, "blank")
         .when(F.col("dropped"), "dropped")
         .when(F.col("v_in") != F.col("v_out"), "translated")
         .when(ignored, "ignored")
-        .otherwise("suspect"),
+        .otherwise("suspect")
+        .alias("_kind"),
     )
 
     def count(kind: str) -> Column:
         return F.count_if(F.col("_kind") == kind)
 
-    counted = marked.groupBy(*keys).agg(
+    figures = [
         F.count_distinct(row_key).alias("rows"),
         F.count_if(F.col("_kind") != "blank").alias("cells"),
         *[count(kind).alias(kind) for kind in ("translated", "ignored", "suspect", "dropped")],
-    )
+    ]
+    if rollup:
+        # The grouping id has a bit for each key that does not count.
+        level = F.lit(len(keys)) - F.bit_count(F.grouping_id())
+        counted = marked.rollup(*keys).agg(*figures, level.cast("int").alias("level"))
+    else:
+        counted = marked.groupBy(*keys).agg(*figures)
     done = (F.col("translated") + F.col("ignored")) / F.col("cells") * 100
     return counted.withColumn("percent", F.when(F.col("cells") > 0, done).otherwise(F.lit(100.0)))
 
 
+def cell_report(cells: DataFrame, keys: Sequence[str] = ("lang", "col"), abbr_max: int = ABBREVIATION_MAX_ROW) -> DataFrame:
+    """The rolled-up report of the output cells of a run, ``(row_id, col, lang, value, output)``."""
+    shown = cells.select("row_id", *keys, strip(F.col("value")).alias("v_in"), strip(F.col("output")).alias("v_out"), F.lit(False).alias("dropped"))
+    return completeness_report(shown, keys, abbr_max, rollup=True)
+
+
 def suspect_sample(suspects: DataFrame, width: int = 80, rows: int = SAMPLE_ROWS, keys: Sequence[str] = ("lang",), order: Sequence[str] = ("row_id", "col_ord")) -> DataFrame:
     """The first suspects per key with cut texts, and how many more there are.
 

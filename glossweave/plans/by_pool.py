@@ -1,32 +1,45 @@
-"""Pool strategy: distinct texts of all columns, translation memory first, inference for the rest."""
+"""Pool strategy: distinct texts of all columns, translation memory first, inference for the rest.
+
+A cell's output depends on its text and language only, so everything up to the last step works on pairs of a text and a
+language, weighted by the number of their cells: memory lookup, inference, scoring and the quality rounds, each of which
+reads what the round before it changed. Cells are joined with the final translations once, when the output is read.
+"""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossweave.functions.text import expected_script, normalise, residue_at_least, strip, translatable_stripped
+from glossweave.functions.text import normalise, repair, strip, translatable_stripped
+from glossweave.operators import quality
 from glossweave.operators.cells import unpivot_cells
 from glossweave.operators.chunks import MAX_CHARS, MAX_ITEMS, RETRY_CHARS, RETRY_ITEMS, greedy_chunks
 from glossweave.operators.inference import Translate, raise_failed, translate_items
-from glossweave.operators.lookup import apply_memory, hot_keys, salted_left_join, translations_by_text
+from glossweave.operators.lookup import apply_translations, hot_keys, key_cells
 from glossweave.operators.pool import build_pool
-from glossweave.operators.quality import RESEND_OUTPUT_SCORE, SUSPECT_LENGTH, SUSPECT_SCORE
 from glossweave.plans.common import (
     Run, Settings, all_failed, assemble, count_by_language, prepare_source, require_unique_rows, usage_by_language,
 )
 from glossweave.session import materialise
-from glossweave.sources.memory import TranslationMemory, memory_misses, with_memory_key
+from glossweave.sources.memory import TranslationMemory, with_memory_key
+from glossweave.sources.stages import RunStages
 
 
 def chunk_misses(misses: DataFrame, max_items: int = MAX_ITEMS, max_chars: int = MAX_CHARS) -> DataFrame:
-    """Missing texts per language in first-appearance order, packed; the position is the item id."""
-    sized = misses.select("lang", "text_norm", "first_col", "first_row", F.length("text_norm").alias("n_chars"))
-    packed = greedy_chunks(sized, ["lang"], ["first_col", "first_row", "text_norm"], "n_chars", max_items, max_chars)
-    return materialise(packed.select("lang", "chunk_no", "item_no", F.col("pos").alias("id"), "text_norm"), "chunk-items")
+    """Missing texts per language in first-appearance order, packed; the position is the item id.
+
+    Only places and lengths are sorted and packed; the texts are joined to the result once.
+    """
+    place = ["lang", "first_col", "first_row", "_h"]
+    texts = misses.select("lang", "text_norm", "first_col", "first_row", F.xxhash64("text_norm").alias("_h"))
+    sized = texts.select(*place, F.length("text_norm").alias("n_chars"))
+    packed = greedy_chunks(sized, ["lang"], place[1:], "n_chars", max_items, max_chars)
+    items = packed.select(*place, "chunk_no", "item_no", F.col("pos").alias("id")).join(texts, place)
+    return materialise(items.select("lang", "chunk_no", "item_no", "id", "text_norm"), "chunk-items")
 
 
 def memory_rows(resolved: DataFrame, model: str, rules_id: str, attempt: int) -> DataFrame:
@@ -43,102 +56,182 @@ def memory_rows(resolved: DataFrame, model: str, rules_id: str, attempt: int) ->
     )
 
 
-def translate_missing(cells: DataFrame, memory: TranslationMemory, translate: Translate, settings: Settings, run_id: str):
-    """Pool the cells, send what the memory lacks, append the answers. Returns pool, responses and failed items."""
-    langs, model, rules = list(settings.langs), settings.model, settings.rules_id
-    pool = materialise(build_pool(cells, settings.abbr_max), "pool")
-    known = memory.rows(langs, model, rules)
-    items = chunk_misses(memory_misses(with_memory_key(pool, langs, model, rules), known), settings.max_items, settings.max_chars)
+def _stage(stages: RunStages | None, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A written table: that of an earlier, broken run if there is one."""
+    return materialise(build(), name) if stages is None else stages.get(name, build)
+
+
+def _store(memory: TranslationMemory, rows: DataFrame, run_id: str, attempt: int, stages: RunStages | None) -> None:
+    def append() -> None:
+        memory.append(rows, f"{run_id}-{attempt}")
+
+    append() if stages is None else stages.once(f"stored-{attempt}", append)
+
+
+def translate_missing(
+    pairs: DataFrame, memory: TranslationMemory, translate: Translate, settings: Settings, run_id: str, stages: RunStages | None = None
+) -> tuple[DataFrame, list[DataFrame], list[DataFrame]]:
+    """Send the pairs without a translation and append the answers. Returns the pairs with them, responses and failed items."""
+    missing = pairs.where(~F.col("usable"))
+
+    def packed() -> DataFrame:
+        return chunk_misses(missing, settings.max_items, settings.max_chars)
+
+    items = packed() if stages is None else stages.get("items-0", packed)
     if items.isEmpty():
-        return pool, [], []
-    done = translate_items(items, translate, settings.max_items, parallelism=settings.parallelism)
-    memory.append(memory_rows(done.resolved, model, rules, attempt=0), f"{run_id}-0")
+        return pairs, [], []
+    log = stages.answers(settings.calls_per_commit) if stages else None
+    done = translate_items(items, translate, settings.max_items, parallelism=settings.parallelism, log=log)
+    _store(memory, memory_rows(done.resolved, settings.model, settings.rules_id, attempt=0), run_id, 0, stages)
     if settings.strict:
         raise_failed(done.failed, "translation")
-    return pool, [done.responses], [done.failed]
+    answers = _better(done.resolved)
+    answered = missing.join(answers, ["lang", "text_norm"], "left").withColumn("translation", F.coalesce("better", "translation"))
+    every = pairs.where("usable").unionByName(answered.drop("better"))
+    return materialise(every, "pairs"), [done.responses], [done.failed]
+
+
+def _better(resolved: DataFrame) -> DataFrame:
+    """``lang, text_norm, better``: what the answers offer, repaired, NULL for a blank one.
+
+    Not filtered by it, since a filter would be pushed below the repair and do it again.
+    """
+    offered = F.nullif(repair(F.col("translation")), F.lit(""))
+    return resolved.select("lang", "text_norm", F.when(~F.col("is_fallback"), offered).alias("better"))
 
 
 def localize_pool(df: DataFrame, memory: TranslationMemory, translate: Translate, settings: Settings, run_id: str | None = None) -> Run:
     """Localise a wide table.
 
-    All cells are joined with the memory once. A retry touches only suspect cells: what was right
-    is never read again, and cells with the same text settle together. A run without ``run_id`` gets one of its own.
+    The rounds work on suspect texts, not on cells, and a text whose retry the memory already holds is not sent for it
+    again: a run over texts that stay suspect makes no call the second time. ``output``, ``cells`` and ``suspects`` of
+    the result are computed when they are read, from ``df`` and the written translations; no call is made by it. A run
+    without ``run_id`` gets one of its own. See ``Settings.resume_root`` for runs that may be broken off.
     """
     langs, model, rules = list(settings.langs), settings.model, settings.rules_id
     run_id = run_id or uuid.uuid4().hex
     require_unique_rows(df, settings.row_id)
+    stages = settings.stages(df, "pool")
     source, columns = prepare_source(df, settings)
     cells = unpivot_cells(source, settings.row_id, columns)
-    pool, responses, failed = translate_missing(cells, memory, translate, settings, run_id)
-    hot = hot_keys(pool, "text_key", "n_cells")
-
+    pool = _stage(stages, "pool", lambda: build_pool(cells, settings.abbr_max))
     keys = with_memory_key(pool, langs, model, rules)
-    applied = apply_memory(cells, memory.current(langs, model, rules, keys), langs, settings.abbr_max, hot)
-    base = materialise(_flag_suspects(applied, settings), "output-cells")
-    settled = [base.where(~F.col("suspect"))]
-    pending = base.where("suspect")
-    checks, resent = [count_by_language(pending, langs)], []
+    known = materialise(_pairs(keys, memory.current(langs, model, rules, keys)), "known-pairs")
+    pairs, responses, failed = translate_missing(known, memory, translate, settings, run_id, stages)
+    # Written before the filter, which would be pushed below the score and compute it again.
+    pending = materialise(_judged(_forms(pairs, cells, settings), settings), "judged").where("suspect").drop("suspect")
+    checks, resent, changes = [count_by_language(pending, langs, F.col("n_cells"))], [], []
+    log = stages.answers(settings.calls_per_commit) if stages else None
     for attempt in range(1, settings.max_rounds + 1):
         if not any(checks[-1].values()):
             break
-        again = _retry_items(pending, settings)
+        untried = pending.where(F.col("tried") < attempt)
+        again = _retry_items(untried, settings) if stages is None else stages.get(f"items-{attempt}", lambda: _retry_items(untried, settings))
         if again.isEmpty():
-            break
-        retried, answered, lost = translate_items(again, translate, RETRY_ITEMS, attempt, text="sent_text", parallelism=settings.parallelism)
+            continue
+        retried, answered, lost = translate_items(
+            again, translate, RETRY_ITEMS, attempt, text="sent_text", parallelism=settings.parallelism, log=log
+        )
         # Stored under the source text: a later run finds the better answer without a second step.
-        memory.append(memory_rows(retried, model, rules, attempt), f"{run_id}-{attempt}")
+        _store(memory, memory_rows(retried, model, rules, attempt), run_id, attempt, stages)
         if settings.strict:
             raise_failed(lost, f"retry {attempt}")
         responses.append(answered)
         failed.append(lost)
-        renewed = salted_left_join(
-            pending.drop("suspect", "score"), translations_by_text(retried), "text_key", ["row_id", "col", "lang"], hot
-        )
-        better = F.nullif(F.col("translations")[F.col("lang")], F.lit(""))
-        renewed = renewed.withColumn("output", F.coalesce(better, F.col("output"))).drop("translations")
-        renewed = materialise(_flag_suspects(renewed, settings), "retried-cells").select(*base.columns)
-        settled.append(renewed.where(~F.col("suspect")))
-        pending = renewed.where("suspect")
+        renewed = pending.drop("score").join(_better(retried), ["lang", "text_norm"], "left")
+        renewed = renewed.withColumn("output", F.coalesce("better", "output"))
+        renewed = materialise(_judged(renewed, settings), "retried")
+        new = renewed.where("better IS NOT NULL").select("text_key", "lang", F.col("better").alias("translation"), F.lit(attempt).alias("round"))
+        changes.append(new.distinct())
+        pending = renewed.where("suspect").drop("better", "suspect")
         resent.append(checks[-1])
-        checks.append(count_by_language(pending, langs))
+        checks.append(count_by_language(pending, langs, F.col("n_cells")))
 
-    output = reduce(DataFrame.unionByName, [*settled, pending]).drop("suspect", "score")
+    output = apply_translations(cells, _maps(pairs, changes), langs, settings.abbr_max, hot_keys(pool, "text_key", "n_cells"))
     usage = usage_by_language(responses, cells, langs)
-    return Run(assemble(source, output, columns, settings), output, pending.drop("suspect"), usage, checks, resent, all_failed(failed, cells))
+    return Run(assemble(source, output, columns, settings), output, _suspect_cells(output, pending), usage, checks, resent, all_failed(failed, cells))
+
 
+def _pairs(keys: DataFrame, current: DataFrame) -> DataFrame:
+    """Each pooled text in each language with what the memory has: its translation (NULL if none that can be shown),
+    whether it need not be sent (``usable``), and the last attempt made."""
+    shown = F.when(~F.col("is_fallback"), F.nullif(repair(F.col("translation")), F.lit("")))
+    known = current.select("key", shown.alias("translation"), (~F.col("is_fallback")).alias("usable"), "tried")
+    columns = ["text_key", "lang", "text_norm", "first_col", "first_row", "n_cells", "translation"]
+    joined = keys.join(known, "key", "left")
+    return joined.select(*columns, F.coalesce("usable", F.lit(False)).alias("usable"), F.coalesce("tried", F.lit(0)).alias("tried"))
 
-def _flag_suspects(output: DataFrame, settings: Settings) -> DataFrame:
-    """Add ``score`` (0.0 below the suspect mark) and ``suspect``. ``text_key`` is NULL for untranslatable cells, never suspect.
+
+def _forms(pairs: DataFrame, cells: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs with their ``output``; ``value`` is NULL where it does not matter.
+
+    A text without a translation shows its cells' values, which may differ in form, and so does the check of the script
+    for a text that came back as it was; such a pair is split by value.
+    """
+    whole = F.col("translation").isNotNull()
+    if settings.check_script:
+        whole &= normalise(F.col("translation")) != F.col("text_norm")
+    columns = [c for c in pairs.columns if c != "usable"]
+    known = pairs.where(whole).select(*columns, F.lit(None).cast("string").alias("value"), F.col("translation").alias("output"))
+    open_pairs = pairs.where(~whole)
+    # Copies collapse before anything moves, so a text with most of the cells is as cheap as any.
+    forms = (
+        key_cells(cells, settings.abbr_max)
+        .where(F.col("text_key").isNotNull())
+        .groupBy("text_key", "value")
+        .agg(F.min(F.struct("col_ord", "row_id")).alias("place"), F.count(F.lit(1)).alias("n_cells"))
+        .select("text_key", "value", F.col("place.col_ord").alias("first_col"), F.col("place.row_id").alias("first_row"), "n_cells")
+    )
+    split = open_pairs.drop("first_col", "first_row", "n_cells").join(forms, "text_key")
+    split = split.withColumn("output", F.coalesce("translation", "value"))
+    return known.unionByName(split.select(*known.columns))
+
+
+def _judged(forms: DataFrame, settings: Settings) -> DataFrame:
+    """Add ``score`` (0.0 below the suspect mark) and ``suspect``.
 
     The stripped output is a column of its own: the score reads it many times.
     """
-    shown = output.withColumn("_shown", strip(F.col("output")))
-    scored = shown.withColumn("score", residue_at_least(F.col("_shown"), SUSPECT_SCORE, settings.markers))
-    wrong = (F.length("_shown") >= SUSPECT_LENGTH) & (F.col("score") > 0)
+    shown = forms.withColumn("_shown", strip(F.col("output")))
+    scored = shown.withColumn("score", quality.residue_score(F.col("_shown"), settings.markers))
+    wrong = quality.reads_like_source(F.col("_shown"), F.col("score"))
     if settings.check_script:
-        wrong |= (strip(F.col("value")) == F.col("_shown")) & ~expected_script(F.col("lang"), F.col("_shown"))
-    flag = F.col("text_key").isNotNull() & wrong
-    return scored.withColumn("suspect", F.coalesce(flag, F.lit(False))).drop("_shown")
+        wrong |= F.coalesce(quality.lacks_script(F.col("lang"), strip(F.col("value")), F.col("_shown")), F.lit(False))
+    return scored.withColumn("suspect", wrong).drop("_shown")
+
+
+def _maps(pairs: DataFrame, changes: list[DataFrame]) -> DataFrame:
+    """``text_key, translations map<lang, text>``: the last translation of each pair, one entry per language."""
+    first = pairs.where("translation IS NOT NULL").select("text_key", "lang", "translation", F.lit(0).alias("round"))
+    every = reduce(DataFrame.unionByName, changes, first)
+    last = every.groupBy("text_key", "lang").agg(F.max_by("translation", "round").alias("translation")) if changes else every
+    return last.groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("lang", "translation"))).alias("translations"))
+
+
+def _suspect_cells(output: DataFrame, pending: DataFrame) -> DataFrame:
+    """The cells of the suspect pairs, with their score."""
+    marked = pending.select(F.col("text_key").alias("_key"), F.col("lang").alias("_lang"), F.col("value").alias("_value"), "score")
+    same = (F.col("text_key") == F.col("_key")) & (F.col("lang") == F.col("_lang"))
+    same &= F.col("_value").isNull() | (F.col("_value") == F.col("value"))
+    return output.join(marked, same).drop("_key", "_lang", "_value")
 
 
 def _retry_items(suspects: DataFrame, settings: Settings) -> DataFrame:
     """Distinct suspect texts with what to send: the output while it shows residue, else the source."""
-    sent = F.when(F.col("score") >= RESEND_OUTPUT_SCORE, F.col("output")).otherwise(F.col("value"))
+    sent = F.when(F.col("score") >= quality.RESEND_OUTPUT_SCORE, F.col("output")).otherwise(F.col("value"))
     texts = (
         suspects.withColumn("sent", strip(sent))
         .where(translatable_stripped(F.col("sent"), settings.abbr_max))
-        .select("lang", normalise(F.col("value")).alias("text_norm"), normalise(F.col("sent")).alias("sent_text"), "col_ord", "row_id")
+        .select("lang", "text_norm", normalise(F.col("sent")).alias("sent_text"), "first_col", "first_row")
     )
-    # Cells of one text share key and place, and copies collapse in a plain hash aggregate.
-    distinct = texts.groupBy("lang", "text_norm", "sent_text", "col_ord").agg(F.min("row_id").alias("row_id"))
     sized = (
-        distinct.groupBy("lang", "text_norm")
-        .agg(F.min(F.struct("col_ord", "row_id", "sent_text")).alias("first"))
+        texts.groupBy("lang", "text_norm")
+        .agg(F.min(F.struct("first_col", "first_row", "sent_text")).alias("first"))
         .select("lang", "text_norm", "first.*")
         .withColumn("n_chars", F.length("sent_text"))
     )
     packed = greedy_chunks(
-        sized, ["lang"], ["col_ord", "row_id", "text_norm"], "n_chars", min(settings.max_items, RETRY_ITEMS), RETRY_CHARS
+        sized, ["lang"], ["first_col", "first_row", "text_norm"], "n_chars", min(settings.max_items, RETRY_ITEMS), RETRY_CHARS
     )
     return materialise(
         packed.select("lang", "chunk_no", "item_no", F.col("pos").alias("id"), "text_norm", "sent_text"), "retry-items"

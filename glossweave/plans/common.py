@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,10 +15,11 @@ from glossweave.functions.text import ABBREVIATION_MAX_POOL, ABBREVIATION_MAX_RO
 from glossweave.operators.cells import pivot_cells
 from glossweave.operators.chunks import MAX_CHARS, MAX_ITEMS, ROW_BATCH
 from glossweave.operators.inference import usage_totals
-from glossweave.operators.quality import MAX_ROUNDS
+from glossweave.operators.quality import MAX_ROUNDS, cell_report
 from glossweave.operators.schema import (
     FORCED_DEDUP, PROTECTED, guarded_rename, normalise_header, ordered_projection, tag_language, text_columns,
 )
+from glossweave.sources.stages import CALLS_PER_COMMIT, RunStages
 
 
 @dataclass
@@ -46,6 +47,18 @@ class Settings:
     check_script: bool = False
     #: Raise if anything got no answer; what was answered is in the memory by then.
     strict: bool = True
+    #: Shared folder for the stages of runs. A run that was broken off goes on from them when it is started again with
+    #: equal input and settings, and no answer that was committed is asked for again.
+    resume_root: str | None = None
+    calls_per_commit: int = CALLS_PER_COMMIT
+
+    def identity(self) -> list[object]:
+        """What decides about the requests of a run."""
+        free = {"strict", "resume_root", "calls_per_commit", "parallelism"}
+        return [(f.name, repr(sorted(v) if isinstance(v := getattr(self, f.name), (set, frozenset)) else v)) for f in fields(self) if f.name not in free]
+
+    def stages(self, df: DataFrame, strategy: str) -> RunStages | None:
+        return RunStages.of_run(self.resume_root, df, [strategy, *self.identity()]) if self.resume_root else None
 
 
 @dataclass
@@ -64,6 +77,10 @@ class Run:
     resent: list[dict[str, int]] = field(default_factory=list)
     failed: DataFrame | None = None
 
+    def completeness(self) -> DataFrame:
+        """Counts of translated, ignored and unchanged cells per language and column, per language and in all."""
+        return cell_report(self.cells)
+
 
 FAILED = "lang string, text string, reason string, attempt int"
 
@@ -107,8 +124,10 @@ def assemble(source: DataFrame, cells: DataFrame, columns: Sequence[str], settin
     return ordered_projection(full, [*settings.column_order, "lang"])
 
 
-def count_by_language(suspects: DataFrame, langs: Sequence[str]) -> dict[str, int]:
-    found = {r["lang"]: r["n"] for r in suspects.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+def count_by_language(suspects: DataFrame, langs: Sequence[str], weight: Column | None = None) -> dict[str, int]:
+    """Rows per language, or the sum of ``weight``."""
+    number = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    found = {r["lang"]: r["n"] for r in suspects.groupBy("lang").agg(number.alias("n")).collect()}
     return {lang: found.get(lang, 0) for lang in langs}
 
 

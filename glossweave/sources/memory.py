@@ -28,14 +28,15 @@ SCHEMA = T.StructType(
 
 
 def latest_translation(log: DataFrame) -> DataFrame:
-    """One row per key: real answers before fallbacks, then the highest attempt, then the latest.
+    """One row per key: real answers before fallbacks, then the highest attempt, then the latest. ``tried`` is the highest
+    attempt of all.
 
     An aggregate rather than a ranked window, so rewritten keys shrink before the shuffle.
     """
     rank = F.struct(~F.col("is_fallback"), "attempt", "updated_at", "translation", "batch_id")
     rest = [c for c in log.columns if c != "key"]
-    newest = log.groupBy("key").agg(F.max_by(F.struct(*rest), rank).alias("_row"))
-    return newest.select("key", *[F.col("_row")[c].alias(c) for c in rest])
+    newest = log.groupBy("key").agg(F.max_by(F.struct(*rest), rank).alias("_row"), F.max("attempt").alias("tried"))
+    return newest.select("key", *[F.col("_row")[c].alias(c) for c in rest], "tried")
 
 
 def with_memory_key(pool: DataFrame, langs: Iterable[str], model: str, rules_id: str) -> DataFrame:

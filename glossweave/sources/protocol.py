@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from glossweave.functions.report import RECOMMENDATION_COLUMNS, recommendations
 from glossweave.functions.text import non_blank
+from glossweave.sources.stages import exists
 
 # Protocol columns in order, and the statistics that fill them.
 PROTOCOL_COLUMNS = (
@@ -75,16 +76,15 @@ class ProtocolTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def versions(self) -> list[int]:
-        """Numbers of the committed versions."""
+    def _numbers(self) -> list[int]:
         root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         system = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.exists(root):
-            return []
-        names = [status.getPath().getName() for status in system.listStatus(root)]
-        numbers = [int(n.removeprefix("version=")) for n in names if n.startswith("version=")]
-        marker = self.spark._jvm.org.apache.hadoop.fs.Path
-        return sorted(n for n in numbers if system.exists(marker(f"{self.path}/version={n}/_SUCCESS")))
+        names = [status.getPath().getName() for status in system.listStatus(root)] if system.exists(root) else []
+        return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+
+    def versions(self) -> list[int]:
+        """Numbers of the committed versions."""
+        return [n for n in self._numbers() if exists(self.spark, f"{self.path}/version={n}/_SUCCESS")]
 
     def read(self) -> DataFrame:
         schema = ", ".join(f"`{c}` string" for c in PROTOCOL_COLUMNS)
@@ -92,10 +92,13 @@ class ProtocolTable:
         return self.spark.read.schema(schema).parquet(f"{self.path}/version={found[-1]}") if found else self.spark.createDataFrame([], schema)
 
     def upsert(self, new: DataFrame, carried: Sequence[str] = CARRIED_POOL, key: Sequence[str] = ("Datei", "Sprache")) -> bool:
-        """Write a version with the rows of ``new`` put in; without any there is no new version, and the answer is False."""
+        """Write a version with the rows of ``new`` put in; without any there is no new version, and the answer is False.
+
+        A number is used once, also by a writer that failed: of two that write at the same time, the later one is refused.
+        """
         if new.isEmpty():
             return False
-        found = self.versions()
+        number = max(self._numbers(), default=-1) + 1
         merged = upsert_protocol(self.read(), new, carried, key)
-        merged.write.mode("overwrite").parquet(f"{self.path}/version={found[-1] + 1 if found else 0}")
+        merged.write.mode("errorifexists").parquet(f"{self.path}/version={number}")
         return True

@@ -8,7 +8,8 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from glossweave.operators.inference import pseudo_translate, translate_items
+from glossweave.catalog.models import pseudo_translate
+from glossweave.operators.inference import translate_items
 from glossweave.operators.ordering import with_row_id
 from glossweave.operators.quality import MAX_ROUNDS
 from glossweave.plans.by_pool import localize_pool
