@@ -118,8 +118,7 @@ def localize_pool(df: DataFrame, memory: TranslationMemory, translate: Translate
     keys = with_memory_key(pool, langs, model, rules)
     known = materialise(_pairs(keys, memory.current(langs, model, rules, keys)), "known-pairs")
     pairs, responses, failed = translate_missing(known, memory, translate, settings, run_id, stages)
-    # Written before the filter, which would be pushed below the score and compute it again.
-    pending = materialise(_judged(_forms(pairs, cells, settings), settings), "judged").where("suspect").drop("suspect")
+    pending = _suspects(_judged(_forms(pairs, cells, settings), settings))
     checks, resent, changes = [count_by_language(pending, langs, F.col("n_cells"))], [], []
     log = stages.answers(settings.calls_per_commit) if stages else None
     for attempt in range(1, settings.max_rounds + 1):
@@ -171,7 +170,7 @@ def _forms(pairs: DataFrame, cells: DataFrame, settings: Settings) -> DataFrame:
     whole = F.col("translation").isNotNull()
     if settings.check_script:
         whole &= normalise(F.col("translation")) != F.col("text_norm")
-    columns = [c for c in pairs.columns if c != "usable"]
+    columns = [c for c in pairs.columns if c not in ("usable", "translation")]
     known = pairs.where(whole).select(*columns, F.lit(None).cast("string").alias("value"), F.col("translation").alias("output"))
     open_pairs = pairs.where(~whole)
     # Copies collapse before anything moves, so a text with most of the cells is as cheap as any.
@@ -200,6 +199,14 @@ def _judged(forms: DataFrame, settings: Settings) -> DataFrame:
     return scored.withColumn("suspect", wrong).drop("_shown")
 
 
+def _suspects(judged: DataFrame) -> DataFrame:
+    """The suspect rows, written. The rest is written without its texts and left out on reading: a filter on the way would
+    be pushed below the score and compute it again."""
+    texts = ("text_key", "text_norm", "value", "output")
+    slim = judged.withColumns({c: F.when(F.col("suspect"), F.col(c)) for c in texts})
+    return materialise(slim, "judged").where("suspect").drop("suspect")
+
+
 def _maps(pairs: DataFrame, changes: list[DataFrame]) -> DataFrame:
     """``text_key, translations map<lang, text>``: the last translation of each pair, one entry per language."""
     first = pairs.where("translation IS NOT NULL").select("text_key", "lang", "translation", F.lit(0).alias("round"))

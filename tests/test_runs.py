@@ -18,7 +18,7 @@ from glossweave.plans.common import Settings, run_statistics
 from glossweave.session import stage_path
 from glossweave.sources.delimited import scan_delimited
 from glossweave.sources.memory import TranslationMemory
-from glossweave.sources.protocol import PROTOCOL_COLUMNS, protocol_rows, with_recommendations
+from glossweave.sources.protocol import PROTOCOL_COLUMNS, ProtocolTable, protocol_rows, with_recommendations
 from glossweave.sources.stages import RunStages
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -214,3 +214,78 @@ def test_stages_are_built_once(spark):
 
     assert stages.get("a", build).count() == stages.get("a", build).count() == 3
     assert built == [1]
+
+
+class Breaking(TranslationMemory):
+    """Breaks off at one append."""
+
+    def __init__(self, spark, path, at):
+        super().__init__(spark, path)
+        self.at = at
+
+    def append(self, rows, batch_id):
+        if batch_id.endswith(f"-{self.at}"):
+            raise InterruptedError("broken off")
+        super().append(rows, batch_id)
+
+
+@pytest.mark.parametrize("at", [1])
+def test_a_broken_run_goes_on_without_a_repeated_call(spark, exam, at):
+    sent = spark.sparkContext.accumulator(0)
+
+    def counting(lang, request, attempt):
+        sent.add(1)
+        return pseudo_translate(lang, request, attempt)
+
+    settings = Settings(["EN"], "m", "r", resume_root=stage_path(spark, "runs"), calls_per_commit=2, max_items=6, max_rounds=1)
+    whole = localize_pool(exam, memory(spark), counting, Settings(["EN"], "m", "r", max_items=6, max_rounds=1))
+    expected, all_calls = sorted(map(tuple, whole.output.collect())), sent.value
+    path = stage_path(spark, "memory")
+    with pytest.raises(InterruptedError):
+        localize_pool(exam, Breaking(spark, path, at), counting, settings)
+    resumed = localize_pool(exam, TranslationMemory(spark, path), counting, settings)
+    assert sorted(map(tuple, resumed.output.collect())) == expected and resumed.checks[-1] == whole.checks[-1]
+    assert sent.value == 2 * all_calls
+    other = Settings(["EN"], "m2", "r", resume_root=settings.resume_root, max_items=6, max_rounds=0)
+    assert localize_pool(exam, memory(spark), counting, other).usage.first().api_calls > 0
+
+
+def test_lasting_suspects_are_not_sent_again(spark, exam):
+    store, settings = memory(spark), Settings(["EN"], "m", "r", max_rounds=1)
+    first = localize_pool(exam, store, pseudo_translate, settings)
+    second = localize_pool(exam, store, dead, settings)
+    assert second.usage.first().api_calls == 0 and second.checks[-1] == first.checks[-1] != {"EN": 0}
+    assert sorted(map(tuple, second.output.collect())) == sorted(map(tuple, first.output.collect()))
+
+
+def test_row_strategy_resumes_from_its_answers(spark):
+    frame = spark.createDataFrame([(i, f"Satz Nummer {i}") for i in range(500)], "row_id bigint, text string")
+    settings = Settings(["EN"], row_batch=40, resume_root=stage_path(spark, "runs"))
+    localize_rows(frame, pseudo_translate, settings)
+    again = localize_rows(frame, dead, settings)
+    assert again.usage.first().api_calls == 0 and all(r.text == f"[EN] Satz Nummer {r.row_id}" for r in again.output.collect())
+
+
+def test_texts_without_a_translation_are_judged_by_their_form(spark):
+    """Blank answers leave the cells as they are; two forms of one text are checked on their own."""
+    def blank(lang, request, attempt):
+        got = [{"id": x["id"], "translation": ""} for x in json.loads(request)]
+        return {"raw": json.dumps(got), "api_calls": 1}
+
+    frame = spark.createDataFrame([(1, "Was ist  das?"), (2, "Was ist das?"), (3, "Was ist das?"), (4, "hello world")], "row_id bigint, text string")
+    run = localize_pool(frame, memory(spark), blank, Settings(["AR"], max_rounds=1, check_script=True))
+    assert run.checks == [{"AR": 4}, {"AR": 4}]
+    assert sorted((r.row_id, r.output) for r in run.suspects.collect()) == [(r.row_id, r.text) for r in frame.collect()]
+    report = {(r.lang, r.col): (r.level, r.cells, r.suspect) for r in run.completeness().collect()}
+    assert report == {(None, None): (0, 4, 4), ("AR", None): (1, 4, 4), ("AR", "text"): (2, 4, 4)}
+
+
+def test_two_writers_of_one_protocol_version(spark):
+    protocol = ProtocolTable(spark, stage_path(spark, "protocol"))
+    rows = protocol_rows(spark.createDataFrame([("f", "EN")], "datei string, sprache string"))
+    late = ProtocolTable(spark, protocol.path)
+    late._numbers = lambda: []
+    assert protocol.upsert(rows)
+    with pytest.raises(Exception, match="already exists"):
+        late.upsert(rows)
+    assert protocol.versions() == [0] and protocol.read().count() == 1
