@@ -6,12 +6,13 @@ import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Folder of the public vocabulary files; every operator that reads one takes a path as a parameter.
-TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
+TOKENIZERS = os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))
 
 _EVEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -27,6 +28,13 @@ def filled(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
+def smallest_hashes(share: float, *key: Column) -> Column:
+    """Whether a row's key is among the ``share`` of all 64-bit hashes that are smallest, however small that share is."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(*key) < F.lit(int(share * 2**64) - 2**63)
+
+
 def text_bytes(array: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text of an Arrow column, without decoding; NULL is empty."""
     return [value or b"" for value in array.cast(pa.large_binary()).to_pylist()]

@@ -10,6 +10,7 @@ the table. Ranks of equally long pieces are counted in salted groups, so no leng
 from __future__ import annotations
 
 import bisect
+import re
 import unicodedata
 import zlib
 from array import array
@@ -37,7 +38,8 @@ class WordIds:
 
     The vocabulary drops white space, ignores case and never merges across blanks or between letters and punctuation, so a
     text's ids are those of its words in a row. Words of Latin letters, also before one full stop or comma, go straight to
-    the merges of the model; any other word takes the tokenizer's full way.
+    the merges of the model; any other word takes the tokenizer's full way. Special tokens cut a text where they stand as they
+    are spelt, before letters lose their case, so a word in lower case never becomes one.
     """
 
     def __init__(self, path: str):
@@ -49,6 +51,8 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        self.special = {token.content.encode(): array("I", [i]).tobytes() for i, token in self.tokenizer.get_added_tokens_decoder().items()}
+        self.cut = re.compile(b"(" + b"|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + b")") if self.special else None
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         #: The characters that stand for bytes in a byte-level vocabulary.
@@ -84,6 +88,11 @@ class WordIds:
 
     def text(self, data: bytes) -> bytes:
         """Little-endian 32-bit ids of a text."""
+        parts = self.cut.split(data) if self.cut else [data]
+        return b"".join(self.special[part] if k % 2 else self.words(part) for k, part in enumerate(parts))
+
+    def words(self, data: bytes) -> bytes:
+        """Ids of a text without special tokens."""
         if len(self.known) > WORDS_KEPT:
             self.older, self.known = self.known, {}
         known = self.known

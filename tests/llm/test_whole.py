@@ -9,18 +9,18 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
 from glossweave.llm import queries
 from glossweave.llm.packing import CAPACITY, pack_documents, packing_plan, token_ids
-from glossweave.llm.quality import TOKENIZERS
 from glossweave.llm.warc import MAGIC, archive_round_trip, read_archives, record_length
 from pyspark.sql import functions as F
 
 SMALL = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-VOCABULARY = f"{TOKENIZERS}/word_bpe_49k.json"
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def plain(frame):
@@ -33,9 +33,7 @@ def plain(frame):
 def tokenizer():
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(VOCABULARY)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(VOCABULARY)
 
 
 @pytest.mark.parametrize("capacity", [7, 100, 4096])
@@ -63,6 +61,7 @@ def test_word_ids_are_those_of_the_tokenizer(tokenizer):
     rng = random.Random(0)
     texts = [r["text"] for r in pq.read_table(f"{SMALL}/documents.parquet").to_pylist()[:80]]
     texts += [" ".join(chr(rng.randrange(33, 0x400)) * rng.randrange(1, 3) + rng.choice(["", ".", ",", ".,", "é."]) for _ in range(3000)) for _ in range(3)]
+    texts += ["<|endoftext|>", "a <|ENDOFTEXT|> <|endoftext|><|startoftext|>. <|end<|endoftext|>́a <|endoftext|", "x<|StartOfText|>y"]
     texts += ["ΑΣ ΣΑΣ. İİ. it's 'S <|endoftext|> a<|startoftext|>b 日本語 😀👍🏽\x1cq ﬁ é. ́x", ""]
     for text in texts:
         assert tokenizer.encode(text, add_special_tokens=False).ids == np.frombuffer(token_ids(text.encode(), VOCABULARY), "<u4").tolist()
@@ -70,7 +69,7 @@ def test_word_ids_are_those_of_the_tokenizer(tokenizer):
 
 def test_packing_against_the_tokenizer(spark, tokenizer):
     rows = [(r["doc_id"], r["text"]) for r in pq.read_table(f"{SMALL}/documents.parquet").to_pylist()]
-    rows += [(900, None), (901, ""), (902, "word " * 9000), (902, "word " * 9000), (None, "x"), (None, "x")]
+    rows += [(900, None), (901, ""), (903, "one <|endoftext|> two<|startoftext|>" * 700), (902, "word " * 9000), (902, "word " * 9000), (None, "x"), (None, "x")]
     got = pack_documents(spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, length int"), F.col("doc_id")).collect()
     want = Counter()
     for i, text in rows:
