@@ -138,21 +138,23 @@ def _scan_splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def first_records(chunks: DataFrame) -> DataFrame:
     """(``file``, ``split``, ``base``, ``entry``): a split's place in its file and its first true record, relative to it.
 
-    Each round doubles the hops of every candidate and adds what the records reached so far lead to.
+    Each round doubles the hops of every candidate and adds what the records reached so far lead to. Both tables of hops grow
+    with the archives, so they are merged, never broadcast.
     """
     scanned = materialise(chunks.mapInArrow(_scan_splits, "file string, split bigint, start bigint, leave bigint"), "candidates")
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     splits = scanned.filter("start IS NULL").select("file", "split", F.coalesce(F.sum("leave").over(before), F.lit(0)).alias("base"))
-    hops = scanned.filter("start IS NOT NULL").join(splits, ["file", "split"])
+    hops = scanned.filter("start IS NOT NULL").join(splits.hint("merge"), ["file", "split"])
     hops = materialise(hops.select("file", (F.col("base") + F.col("start")).alias("off"), (F.col("base") + F.col("leave")).alias("to"), "split", "base"), "hops")
     jump = hops.select("file", "off", "to")
     reached, count = materialise(jump.filter("off = 0").select("file", "off"), "reached"), 0
     while count < (count := reached.count()):
-        further = reached.join(jump, ["file", "off"]).select("file", F.col("to").alias("off"))
+        further = reached.join(jump.hint("merge"), ["file", "off"]).select("file", F.col("to").alias("off"))
         reached = materialise(reached.unionByName(further).distinct(), "reached")
-        jump = materialise(jump.join(jump.select("file", F.col("off").alias("to"), F.col("to").alias("beyond")), ["file", "to"]).select("file", "off", F.col("beyond").alias("to")), "jumps")
-    entries = hops.join(reached, ["file", "off"]).groupBy("file", "split").agg(F.min("off").alias("off"))
-    return splits.join(entries, ["file", "split"], "left").select("file", "split", "base", (F.col("off") - F.col("base")).alias("entry"))
+        beyond = jump.select("file", F.col("off").alias("to"), F.col("to").alias("beyond")).hint("merge")
+        jump = materialise(jump.join(beyond, ["file", "to"]).select("file", "off", F.col("beyond").alias("to")), "jumps")
+    entries = hops.join(reached.hint("merge"), ["file", "off"]).groupBy("file", "split").agg(F.min("off").alias("off"))
+    return splits.join(entries.hint("merge"), ["file", "split"], "left").select("file", "split", "base", (F.col("off") - F.col("base")).alias("entry"))
 
 
 _FIELDS = "page_id string, record_id string, refers_to string, record_type string, payload_bytes bigint, payload_digest string"
@@ -241,8 +243,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
     revisits = records.filter("record_type = 'revisit'").drop("payload_bytes")
     wanted = materialise(revisits.select("refers_to", F.col("payload_digest").alias("same")).distinct(), "wanted")
-    answers = responses.join(wanted, ["refers_to", "same"], "left_semi").dropDuplicates(["refers_to", "same"])
-    revisits = revisits.withColumnRenamed("payload_digest", "same").join(answers, ["refers_to", "same"], "left").withColumnRenamed("same", "payload_digest")
+    answers = responses.join(wanted.hint("merge"), ["refers_to", "same"], "left_semi").dropDuplicates(["refers_to", "same"])
+    revisits = revisits.withColumnRenamed("payload_digest", "same").join(answers.hint("merge"), ["refers_to", "same"], "left").withColumnRenamed("same", "payload_digest")
     lost = F.raise_error(F.concat(F.lit("no response for revisit "), F.coalesce("record_id", F.lit("without id")))).cast("bigint")
     revisits = revisits.withColumn("payload_bytes", F.when(F.col("there").isNull(), lost).otherwise(F.col("there")))
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type"]
