@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossweave.llm.common import filled
+from glossweave.llm.common import filled, smallest_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1
@@ -245,16 +245,19 @@ def _joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 def fit_rows(docs: DataFrame, ident: str, text: str) -> list[tuple]:
-    """Rows for ``fit`` from at most ``FIT_TOKENS`` tokens of about ``FIT_DOCS`` documents, chosen by a hash of the id."""
-    total = docs.count()
-    share = min(1.0, FIT_DOCS / max(total, 1))
-    key = F.xxhash64(F.coalesce(F.col(ident).cast("string"), F.lit("")), filled(F.col(text)))
-    sample = docs.filter(F.pmod(key, F.lit(1_000_000)) < F.lit(int(share * 1_000_000))).select(filled(F.col(text)).alias("text"))
+    """Rows for ``fit`` from at most ``FIT_TOKENS`` tokens of about ``FIT_DOCS`` documents.
+
+    Documents are those with the smallest hashes of id and text, and so are the tokens, by hashes of document and place: the
+    same rows in any order of the files and at every size of the table.
+    """
+    share = FIT_DOCS / max(docs.count(), 1)
+    key = F.coalesce(F.col(ident).cast("string"), F.lit("")), filled(F.col(text))
+    sample = docs.filter(smallest_hashes(share, *key)).select(filled(F.col(text)).alias("text"), F.xxhash64(*key).alias("key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for value in batch.column(0).to_pylist():
+            for value, key in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 spans, features, chain, skip = token_graph(value)
                 labels = token_labels(spans, base_spans(value))
                 before, after, similar = [-1] * len(spans), [-1] * len(spans), [-1] * len(spans)
@@ -262,12 +265,13 @@ def fit_rows(docs: DataFrame, ident: str, text: str) -> list[tuple]:
                     before[b], after[a] = labels[a], labels[b]
                 for a, b in skip:
                     similar[a], similar[b] = labels[b], labels[a]
-                rows += list(zip(features, labels, before, after, similar, strict=True))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            kinds = (pa.list_(pa.int32()), *[pa.int32()] * 4)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["f", "y", "a", "b", "s"])
+                rows += list(zip(features, labels, before, after, similar, [key] * len(spans), range(len(spans)), strict=True))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
+            kinds = (pa.list_(pa.int32()), *[pa.int32()] * 4, pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["f", "y", "a", "b", "s", "key", "at"])
 
-    rows = sample.mapInArrow(run, "f array<int>, y int, a int, b int, s int").limit(FIT_TOKENS).toPandas()
+    tokens = sample.mapInArrow(run, "f array<int>, y int, a int, b int, s int, key bigint, at int")
+    rows = tokens.orderBy(F.xxhash64("key", "at"), "key", "at").limit(FIT_TOKENS).drop("key", "at").toPandas()
     return [(list(f), *map(int, rest)) for f, *rest in rows.itertuples(index=False)]
 
 

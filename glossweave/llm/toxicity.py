@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossweave.llm.common import filled
+from glossweave.llm.common import filled, smallest_hashes
 
 #: Labelled rows that models and vocabulary are fitted on.
 FIT_ROWS = 20_000
@@ -31,13 +31,13 @@ def text_words(text: str | None) -> list[bytes]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, ident: str, text: str, categories: list[str], bound: int = FIT_ROWS) -> DataFrame:
-    """(``id``, ``text``, ``y``) of about ``bound`` rows, 95 % of it on average, chosen by a hash of the id.
+    """(``id``, ``text``, ``y``) of about ``bound`` rows, 95 % of it on average, those with the smallest hashes of the id.
 
     Rows with a NULL id or label are left out; of labels that repeat an id the largest of each category counts.
     """
     labels = labels.dropna(subset=[ident, *categories]).groupBy(ident).agg(*[F.max(F.col(c).cast("int")).alias(c) for c in categories])
-    share = min(1.0, 0.95 * bound / max(labels.count(), 1))
-    chosen = labels.filter(F.pmod(F.xxhash64(F.lit("fit"), ident), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    share = 0.95 * bound / max(labels.count(), 1)
+    chosen = labels.filter(smallest_hashes(share, F.lit("fit"), F.col(ident)))
     chosen = chosen.select(F.col(ident).alias("__id"), F.array(*categories).alias("y"))
     # about ``bound`` rows of an id and a few numbers, whatever the size of the tables
     return docs.select(F.col(ident).alias("id"), filled(F.col(text)).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("__id")).drop("__id")
@@ -189,11 +189,15 @@ def learn(docs: DataFrame, labels: DataFrame, categories: list[str], ident: str
             rows = [features.of(v) for v in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i for i, _ in rows], pa.list_(pa.int32())), pa.array([v for _, v in rows], pa.list_(pa.float32())), *batch.columns[1:]],
-                ["i", "v", "y", "fold"],
+                ["i", "v", "y", "fold", "key", "id"],
             )
 
     fold = F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)).cast("int")
-    got = sample.select("text", "y", fold.alias("fold")).mapInArrow(run, "i array<int>, v array<float>, y array<int>, fold int").limit(bound).toPandas()
+    # in the order of hashes: the same rows and the same sums however the tables are split
+    first = sample.withColumn("key", F.xxhash64(F.lit("fit"), "id", "text"))
+    fields = "i array<int>, v array<float>, y array<int>, fold int, key bigint, id string"
+    read = first.select("text", "y", fold.alias("fold"), "key", F.col("id").cast("string").alias("id")).mapInArrow(run, fields)
+    got = read.orderBy("key", "id").limit(bound).toPandas()
     rows = [(np.asarray(i, np.int32), np.asarray(v, np.float32)) for i, v in zip(got["i"], got["v"], strict=True)]
     y = np.array([list(v) for v in got["y"]], dtype=float).reshape(len(rows), len(categories))
     return fit_chain(categories, words, rows, y, got["fold"].to_numpy(dtype=int))

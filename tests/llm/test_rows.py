@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from glossweave.llm import pii, quality
+from glossweave.llm.common import smallest_hashes
 from glossweave.llm.html_main import extract_text, main_texts, parse_page
 from glossweave.llm.licences import KNOWN_TEXTS, licence_scan
 from glossweave.llm.toxicity import best_limit, learn, score, toxicity
@@ -97,6 +98,23 @@ def test_personal_data_adds_and_never_loses(spark):
     assert pii.personal_data(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_samples_do_not_depend_on_order_or_size(spark, monkeypatch):
+    docs = spark.createDataFrame([(r["doc_id"], r["text"] + f" mail u{k}@h.com, u{k}@h.com") for k, r in enumerate(small_texts())], DOCS)
+    turned = docs.repartition(7, F.reverse("text")).sortWithinPartitions(F.desc("doc_id"))
+    monkeypatch.setattr(pii, "FIT_DOCS", 60)
+    monkeypatch.setattr(pii, "FIT_TOKENS", 50)
+    rows = pii.fit_rows(docs, "doc_id", "text")
+    assert len(rows) == 50 and rows == pii.fit_rows(turned, "doc_id", "text")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("odd"))
+    one, two = learn(docs, labels, ["odd"], bound=40), learn(turned, labels.repartition(5), ["odd"], bound=40)
+    assert one.words == two.words and one.limits == two.limits and all((a[0] == b[0]).all() and a[2] == b[2] for a, b in zip(one.models, two.models, strict=True))
+    for share in (20_000 / 1e11, 1e-15, 0.3, 1.0, 7.0):
+        taken = spark.range(100_000).filter(smallest_hashes(share, F.col("id"))).count()
+        assert abs(taken - 100_000 * min(share, 1)) < 1_000
+    tiny = spark.range(5).filter(smallest_hashes(20_000 / 1e11, F.col("id")))
+    assert "xxhash64" in tiny._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_similar_tokens_pull_each_other():
     train = []
     for k in range(300):
