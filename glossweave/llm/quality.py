@@ -134,27 +134,51 @@ def text_figures(text: Column, model: str) -> Column:
 
 FIELDS_DDL_STRUCT = "struct<" + ", ".join(part.replace(" ", ":") for part in FIELDS_DDL.split(", ")) + ">"
 BANDED = ("chars_per_token", "byte_share", "token_entropy")
-
-
-def language_bands(figures: DataFrame, width: float) -> DataFrame:
-    """Per language and length class: limits of each figure, over all texts that pass the base rules.
-
-    Quartiles are exact to one rank in 10,000, so a text on the very edge of a band may fall on either side in another
-    run. A class holds the texts between two powers of two of tokens, since short texts scatter more and repeat less. Entropy
-    is compared as a share of the highest possible one.
+#: Texts that pass the base rules which a class needs for bands of its own.
+MIN_SUPPORT = 30
+#: Figures are counted in steps of this many decimals, so a class has at most some 10,000 steps a unit whatever its size.
+DECIMALS = 4
+#: The classes that may judge a figure, the narrowest first. How much a text can repeat depends on its length, so entropy is
+#: never judged by texts of other lengths; the other two depend on language and script.
+LEVELS = {
+    "chars_per_token": (("language", "length_class"), ("language",), ("script",), ()),
+    "byte_share": (("language", "length_class"), ("language",), ("script",), ()),
+    "token_entropy": (("language", "length_class"), ("script", "length_class"), ("length_class",)),
+}
+#: The least reach of a band around its quartiles, before widening.
+LEAST_REACH = {"chars_per_token": 0.02, "byte_share": 0.005, "token_entropy": 0.01}
+CLASS = ("language", "script", "length_class")
+
+
+def class_bands(figures: DataFrame, width: float, support: int = MIN_SUPPORT) -> DataFrame:
+    """Per language, script and length class: limits of each figure, over all texts that pass the base rules.
+
+    Quartiles are those of ``percentile``, exact over figures rounded to ``DECIMALS``, so they do not depend on the order of
+    rows. A length class holds the texts between two powers of two of tokens, since short texts scatter more and repeat less.
+    A class of fewer than ``support`` texts is judged by the next of ``LEVELS`` that has as many; a figure without any has no
+    limits. Entropy is compared as a share of the highest possible one.
     """
-    quartiles = [F.percentile_approx(name, [0.25, 0.75], 10_000).alias(name) for name in BANDED]
-    bands = figures.filter(~F.col("base_failed")).groupBy("language", "length_class").agg(*quartiles)
-
-    def limits(name: str, floor: float) -> list[Column]:
-        low, high = F.col(name)[0], F.col(name)[1]
-        reach = F.greatest(high - low, F.lit(floor)) * F.lit(width)
-        return [(low - reach).alias(f"{name}_low"), (high + reach).alias(f"{name}_high")]
-
-    return bands.select(
-        F.col("language").alias("__language"), F.col("length_class").alias("__length_class"), *limits("chars_per_token", 0.02),
-        *limits("byte_share", 0.005), *limits("token_entropy", 0.01),
-    )
+    figure = F.explode(F.array(*[F.struct(F.lit(n).alias("figure"), F.round(n, DECIMALS).alias("value")) for n in BANDED])).alias("v")
+    steps = figures.filter(~F.col("base_failed")).select(*CLASS, figure).groupBy(*CLASS, "v.figure", "v.value").agg(F.count("*").alias("n"))
+    steps = materialise(steps, "steps")
+    wider = steps.select("figure", "value", "n", _levels()).groupBy("figure", "at", "value").agg(F.sum("n").alias("n"))
+    quartiles = wider.groupBy("figure", "at").agg(F.percentile("value", [0.25, 0.75], F.col("n")).alias("q"), F.sum("n").alias("n"))
+    least = F.create_map(*[F.lit(v) for pair in LEAST_REACH.items() for v in pair])[F.col("figure")]
+    reach = F.greatest(F.col("q")[1] - F.col("q")[0], least) * F.lit(width)
+    limit = F.struct((F.col("q")[0] - reach).alias("low"), (F.col("q")[1] + reach).alias("high")).alias("limit")
+    limits = quartiles.filter(F.col("n") >= support).select("figure", "at", limit)
+    wanted = steps.select(*CLASS, "figure").distinct().select(*CLASS, "figure", _levels())
+    narrowest = [F.min_by("limit", F.when(F.col("figure") == n, F.col("at.level"))).alias(n) for n in BANDED]
+    return wanted.join(limits, ["figure", "at"]).groupBy(*CLASS).agg(*narrowest)
+
+
+def _levels() -> Column:
+    """A row for each of the classes that may judge a row's ``figure``: how wide it is, and its key."""
+    at = F
+    for name, levels in LEVELS.items():
+        keys = [F.array(*[F.col(k).cast("string") if k in own else F.lit("") for k in CLASS]) for own in levels]
+        at = at.when(F.col("figure") == name, F.array(*[F.struct(F.lit(n).alias("level"), k.alias("key")) for n, k in enumerate(keys)]))
+    return F.explode(at).alias("at")
 
 
 def quality_rules(
@@ -168,7 +192,8 @@ def quality_rules(
 ) -> DataFrame:
     """Every row of ``docs`` (all its columns, or those named) with its figures, ``base_failed`` and ``kept``.
 
-    Bands belong to the language column, and where it is missing or NULL to the script of the text. NULL and empty
+    Bands belong to the language column, and where it is missing or NULL to the script of the text; small classes use those of
+    wider ones (``class_bands``). NULL and empty
     texts have no words and fail the base rules; repeated rows are judged alike; an empty table stays empty. ``prefix``
     goes before each new column name, for tables that already have such a column.
     """
@@ -182,13 +207,12 @@ def quality_rules(
     )
     columns = docs.columns if columns is None else columns
     measured = materialise(measured.select(*[F.col(f"`{c}`") for c in columns], "__f"), "quality")
-    bands = language_bands(measured.select("__f.*"), width)
+    bands = class_bands(measured.select("__f.*"), width)
     inside = F.lit(True)
     for name in BANDED:
-        inside &= F.coalesce(F.col(f"__f.{name}").between(F.col(f"__b.{name}_low"), F.col(f"__b.{name}_high")), F.lit(True))
-    bands = bands.select("__language", "__length_class", F.struct(*bands.columns[2:]).alias("__b"))
-    same = (F.col("__f.language") == F.col("__language")) & (F.col("__f.length_class") == F.col("__length_class"))
-    bands = materialise(bands, "bands")
+        inside &= F.coalesce(F.round(f"__f.{name}", DECIMALS).between(F.col(f"__b.{name}.low"), F.col(f"__b.{name}.high")), F.lit(True))
+    bands = materialise(bands.select(F.struct(*CLASS).alias("__class"), F.struct(*BANDED).alias("__b")), "bands")
+    same = F.struct(*[F.col(f"__f.{k}") for k in CLASS]) == F.col("__class")
     bands = F.broadcast(bands) if bands.count() <= BROADCAST_BANDS else bands
     judged = measured.join(bands, same, "left")
     names = [n for n, _ in FIELDS if n != "script"]

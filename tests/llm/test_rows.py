@@ -61,6 +61,41 @@ def test_quality_keeps_clean_and_rejects_junk(spark):
     assert sum(clean) >= 0.98 * len(clean) and sum(junk) < 0.6 * len(junk)
 
 
+def test_bands_equal_sorted_lists_and_fall_back(spark):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(3)
+    rows = [(rng.choice(["en"] * 8 + ["de", "xx"]), "latin", rng.choice([6] * 9 + [12]), *[rng.uniform(0, 5) for _ in range(3)], rng.random() < 0.1) for _ in range(700)]
+    rows += [("ru", "cyrillic", 6, 2.0, 0.1, 0.9, False)] * 5 + [("el", "greek", 20, 2.0, 0.1, 0.9, False)]
+    frame = spark.createDataFrame(rows, "language string, script string, length_class int, chars_per_token double, byte_share double, token_entropy double, base_failed boolean")
+    got = {tuple(r)[:3]: r for r in quality.class_bands(frame, 3.0).collect()}
+    assert got == {tuple(r)[:3]: r for r in quality.class_bands(frame.repartition(9, "byte_share"), 3.0).collect()}
+    sound = [r for r in rows if not r[6]]
+    assert set(got) == {r[:3] for r in sound}
+    for own, r in got.items():
+        for k, name in enumerate(quality.BANDED):
+            want = None
+            for keys in quality.LEVELS[name]:
+                places = [quality.CLASS.index(c) for c in keys]
+                values = [round(x[3 + k], 4) for x in sound if all(x[p] == own[p] for p in places)]
+                if len(values) >= quality.MIN_SUPPORT:
+                    low, high = np.percentile(values, [25, 75])
+                    reach = 3 * max(high - low, quality.LEAST_REACH[name])
+                    want = (low - reach, high + reach)
+                    break
+            assert (r[name] is None) == (want is None) and (want is None or np.allclose(tuple(r[name]), want))
+    assert got["el", "greek", 20]["token_entropy"] is None and got["el", "greek", 20]["byte_share"] is not None
+
+
+def test_a_rare_language_is_judged_by_its_script(spark):
+    clean = [(r["doc_id"], r["text"], "en") for r in small_texts() if r["lang"] == "en"]
+    odd = [(9000, " ".join(f"q{j}x7z{j * 37}k9" for j in range(60)), "zz"), (9001, clean[0][1], "yy")]
+    rows = {r["doc_id"]: r for r in quality.quality_rules(spark.createDataFrame(clean + odd, DOCS + ", lang string")).collect()}
+    assert not rows[9000]["base_failed"] and not rows[9000]["kept"] and rows[9001]["kept"] == rows[clean[0][0]]["kept"]
+
+
 PATTERNS = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
     ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
