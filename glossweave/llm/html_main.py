@@ -4,8 +4,7 @@ A token is an element with its path of containers. Tokens that occur equally oft
 occurrence vectors, compared by sums of page hashes) form an equivalence class. Classes found on half of a host's pages
 whose tokens always come in one order are valid; nested by their paths they are the template, and the text between them
 fills its slots. A slot that says the same on all pages is part of the template, menus, notices and other furniture are told
-by their elements, and the rest inside the main container is extracted; articles are only a hint inside that container, or
-stand for it on pages without a template.
+by their elements and names, and the rest inside the main container is extracted, whether in articles or around them.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -25,6 +25,9 @@ from glossweave.session import materialise
 
 #: Templates that are broadcast at most (a few kB each); more hosts are joined by shuffling.
 BROADCAST_HOSTS = 20_000
+#: Template tokens (about 100 bytes each) that are broadcast at most; more are joined by shuffling, in salted groups.
+BROADCAST_TOKENS = 200_000
+SALTS = 32
 #: A slot with one text on this many pages of a host belongs to the template.
 CONSTANT_PAGES = 3
 
@@ -43,16 +46,22 @@ CONTAINERS = frozenset("html body div section article main td th li dd center bl
 #: Elements that never hold the article's own text.
 FURNITURE = frozenset("head nav header footer aside form button select menu dialog object audio video canvas map datalist".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
-_FURNITURE_WORDS = (
-    r"nav|navbar|navigation|menu|menubar|breadcrumbs?|masthead|topbar|footer|sidebar|aside|widgets?|related|recommended|recommendations?|"
-    r"ads?|adverts?|advertisements?|advertising|adsense|adslot|adbox|sponsor|sponsored|promo|promotion|banner|cookies?|consent|gdpr|notices?|alert|"
-    r"newsletter|subscribe|subscription|signup|popup|modal|overlay|share|sharing|social|comments?|commentlist|commentsection|respond|replies|reply|"
-    r"disqus|login|search|searchform|form|pagination|pager|skip|hidden|legal|disclaimer|toolbar|teasers?"
+_FURNITURE_WORDS = frozenset(
+    "nav navbar navigation menu menubar breadcrumb breadcrumbs masthead topbar footer sidebar aside widget widgets related recommended "
+    "recommendation recommendations ad ads advert adverts advertisement advertisements advertising adsense adslot adbox sponsor sponsored promo "
+    "promotion banner cookie cookies consent gdpr notice notices alert newsletter subscribe subscription signup popup modal overlay share sharing "
+    "social comment comments commentlist commentsection respond replies reply disqus login search searchform form pagination pager skip hidden "
+    "legal disclaimer toolbar teaser teasers".split()
 )
-#: Names of furniture outside an article, and inside one, where a header holds the article's own title.
-_FURNITURE_NAME = {
-    inside: re.compile(rf"(?:^|[\s_-])(?:{_FURNITURE_WORDS}{'' if inside else '|header'})\d*(?=$|[\s_-])", re.I) for inside in (False, True)
-}
+#: Words that say nothing of what a box holds, beside which a word of furniture still decides.
+_LAYOUT_WORDS = frozenset(
+    "box boxes list lists bar bars wrap wrapper container inner outer left right top bottom site page main global primary secondary sub mobile "
+    "desktop block blocks section area zone region panel pane slot unit units group row col column columns grid module component part header head "
+    "title heading label body content contents item items entry link links button buttons btn icon icons input field fields media post posts "
+    "article articles reader readers user users thread threads author meta count policy sticky fixed floating inline small large wide "
+    "horizontal vertical default view holder frame layer dialog toggle trigger email".split()
+)
+_PARTS = re.compile(r"[^\W\d_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -65,6 +74,23 @@ class Block:
         self.text, self.path, self.dropped, self.article, self.link = text, path, dropped, article, link
 
 
+@lru_cache(maxsize=100_000)
+def named_furniture(names: str, inside: bool) -> bool:
+    """Whether one of the class names tells furniture: each of its words does, or is one of layout beside such a word.
+
+    ``social-links`` does, ``social-science`` does not: a word of furniture next to one of content is a subject. Such a box goes
+    only by a second sign, links or repetition on the host. A header outside an article counts as furniture.
+    """
+    words = _FURNITURE_WORDS if inside else _FURNITURE_WORDS | {"header"}
+    for name in names.split():
+        if name.lower().rstrip("0123456789") in words:
+            return True
+        parts = [p.lower() for p in _PARTS.findall(_CAMEL.sub("-", name))]
+        if any(p in words for p in parts) and all(p in words or p in _LAYOUT_WORDS or len(p) < 3 for p in parts):
+            return True
+    return False
+
+
 def _is_furniture(name: str, attributes: dict[str, str], inside: bool) -> bool:
     if name in FURNITURE:
         return not (name == "header" and inside)
@@ -77,7 +103,7 @@ def _is_furniture(name: str, attributes: dict[str, str], inside: bool) -> bool:
     if attributes.get("role", "").lower() in ROLES:
         return True
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}".strip()
-    return bool(names) and bool(_FURNITURE_NAME[inside].search(f"{names} {_CAMEL.sub('-', names)}"))
+    return bool(names) and named_furniture(names, inside)
 
 
 def parse_page(page: str) -> tuple[list[Block], list[str]]:
@@ -158,28 +184,24 @@ def parse_page(page: str) -> tuple[list[Block], list[str]]:
 def extract_text(page: str, main: str | None, constant: frozenset[str]) -> str:
     """The text of the page's main container outside furniture and constant slots, one block a line.
 
-    ``main`` and ``constant`` are those of the host's template. An article is a hint: it widens a main container inside it,
-    is preferred inside a wider one if it holds half of that text, and stands for it on a page that has none of the template's.
+    ``main`` and ``constant`` are those of the host's template; a page that has none of that container is read by its own.
+    Everything in the container stays: all its articles, and what stands before, between and after them. Articles are a hint:
+    they widen a container inside one, and if they hold half of the text of a container that is only the page's body, they
+    are the container together.
     """
     blocks, _ = parse_page(page)
     roots = {b.article: _article_root(b.path) for b in blocks if b.article >= 0}
     own = [b for b in blocks if not b.dropped and not _is_template(b, roots, main, constant)]
-    if main is not None:
-        main = next((root for root in roots.values() if _under(main, root)), main)
-        if held := [b for b in own if _under(b.path, main)]:
-            own = held
-        else:
-            main = None
-    mass = Counter()
-    for b in own:
-        if b.article >= 0:
-            mass[b.article] += len(b.text)
-    if mass and (main is None or 2 * max(mass.values()) >= sum(len(b.text) for b in own)):
-        chosen = mass.most_common(1)[0][0]
-        return "\n".join(b.text for b in own if b.article == chosen)
-    if main is None:
-        main = main_container({path: size for path, size in _masses(own).items()})
-    return "\n".join(b.text for b in own if _under(b.path, main))
+    held: list[Block] = []
+    for root in (main, main_container(_masses(own))):
+        if root is not None and not held:
+            root = next((r for r in roots.values() if _under(root, r)), root)
+            held = [b for b in own if _under(b.path, root)]
+            whole = root.rsplit("/", 1)[-1].split(".")[0] in ("", "html", "body")
+    in_articles = [b for b in held if b.article >= 0]
+    if held and whole and 2 * sum(len(b.text) for b in in_articles) >= sum(len(b.text) for b in held):
+        held = in_articles
+    return "\n".join(b.text for b in held)
 
 
 def _article_root(path: str) -> str:
@@ -189,21 +211,21 @@ def _article_root(path: str) -> str:
 
 
 def _is_template(block: Block, roots: dict[int, str], main: str | None, constant: frozenset[str]) -> bool:
-    """Whether a block is a constant slot, or a list of links outside articles.
+    """Whether a block is a constant slot, or links outside articles or in a box with a word of furniture in its name.
 
     In an article that is the case in a box of its own, which has a class or id or is a division; a bare heading or list is the
     writer's, though it may say the same on some pages. Pages that are all alike (no varying slot) have no box there.
     """
     if block.article < 0:
         return block.path in constant or 2 * block.link > len(block.text)
-    if main is None or block.path not in constant:
-        return False
     inside = block.path[len(roots[block.article]) + 1 :].split("/")
-    return any("." in sign or sign in ("div", "section") for sign in inside)
+    if 2 * block.link > len(block.text) and any(p.lower() in _FURNITURE_WORDS for sign in inside for p in _PARTS.findall(_CAMEL.sub("-", sign.partition(".")[2]))):
+        return True
+    return main is not None and block.path in constant and any("." in sign or sign in ("div", "section") for sign in inside)
 
 
 def _under(path: str, root: str) -> bool:
-    return path == root or path.startswith(f"{root}/")
+    return not root or path == root or path.startswith(f"{root}/")
 
 
 def _masses(blocks: list[Block]) -> Counter:
@@ -257,21 +279,24 @@ def host_templates(pages: DataFrame) -> DataFrame:
     """(``host``, ``main``, ``constant``): the main container and the constant slots of each host's template.
 
     Occurrence vectors are sums of hashes of (page, count), so no vector is ever gathered. The order of a class is valid if
-    its tokens' ranks rise alike on all pages, which their smallest and largest ranks show. A host's tokens on at least
-    half of its pages are at most twice as many as a page has on average, so they fit one row.
+    its tokens first open in the same sequence on all its pages; sequences are compared by their hashes. A host's tokens on at
+    least half of its pages are at most twice as many as a page has on average, so they fit one row.
     """
     tokens = materialise(page_tokens(pages), "tokens")
     sign = F.xxhash64("page", "n")
     seen = tokens.groupBy("host", "token").agg(
         F.count("*").alias("support"), F.sum(sign.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"), F.sum(F.shiftrightunsigned(sign, 32)).alias("high"),
-        F.min("rank").alias("first"), F.max("rank").alias("last"), F.count("said").alias("speaks"),
+        F.min("rank").alias("first"), F.count("said").alias("speaks"),
         (F.min("said") == F.max("said")).alias("same"), F.sum("plain").alias("plain"),
     )
     size = tokens.filter("rank = 0").groupBy("host").agg(F.count("*").alias("pages"))
     common = seen.join(size, "host").filter((2 * F.col("support") >= F.col("pages")) & (F.col("support") >= 2))
-    member = F.struct("token", "first", "last", "speaks", "same", "plain")
+    member = F.struct("token", "first", "speaks", "same", "plain")
     classes = common.groupBy("host", "support", "low", "high").agg(F.collect_list(member).alias("members"))
-    hosts = classes.groupBy("host").agg(F.collect_list(F.struct("support", "members")).alias("classes"))
+    classes = materialise(classes.withColumn("class", F.xxhash64("support", "low", "high")), "classes")
+    ordered = classes.select("host", "class", "support", "members").join(_ordered(tokens, classes), ["host", "class"], "left")
+    kept = F.struct("support", "members", F.coalesce("ordered", F.size("members") == 1).alias("ordered"))
+    hosts = ordered.groupBy("host").agg(F.collect_list(kept).alias("classes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,14 +308,26 @@ def host_templates(pages: DataFrame) -> DataFrame:
     return hosts.mapInArrow(run, "host string, main string, constant array<string>")
 
 
+def _ordered(tokens: DataFrame, classes: DataFrame) -> DataFrame:
+    """(``host``, ``class``, ``ordered``) of classes of several tokens: whether all pages open them in one sequence."""
+    member = classes.filter(F.size("members") > 1).select("host", "class", F.explode("members.token").alias("token"))
+    if member.count() <= BROADCAST_TOKENS:
+        found = tokens.join(F.broadcast(member), ["host", "token"])
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        found = tokens.withColumn("salt", F.pmod("page", F.lit(SALTS))).join(member.select("*", salts), ["host", "token", "salt"])
+    # pages that repeat add the same ranks again
+    sequence = F.transform(F.sort_array(F.collect_set(F.struct("rank", "token"))), lambda t: t["token"])
+    pages = found.groupBy("host", "page", "class").agg(F.xxhash64(sequence).alias("sequence"))
+    return pages.groupBy("host", "class").agg((F.min("sequence") == F.max("sequence")).alias("ordered"))
+
+
 def deduce_template(classes: list[dict]) -> tuple[str | None, list[str]]:
     """Main container and constant slots from a host's equivalence classes."""
     template: dict[str, dict] = {}
     for group in sorted(classes, key=lambda c: -c["support"]):
         members = sorted(group["members"], key=lambda t: (t["first"], t["token"]))
-        ordered = all(a["first"] < b["first"] and a["last"] <= b["last"] for a, b in zip(members, members[1:], strict=False))
-        nested = all(_parent_known(t["token"], template, members) for t in members)
-        if ordered and nested:
+        if group["ordered"] and all(_parent_known(t["token"], template, members) for t in members):
             template.update({t["token"]: t for t in members})
     constant = [t["token"] for t in template.values() if t["same"] and t["speaks"] >= CONSTANT_PAGES]
     varying = {t["token"]: t["plain"] for t in template.values() if t["plain"] and t["token"] not in constant}

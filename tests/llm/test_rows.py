@@ -8,9 +8,9 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from glossweave.llm import pii, quality
+from glossweave.llm import html_main, pii, quality
 from glossweave.llm.common import smallest_hashes
-from glossweave.llm.html_main import extract_text, main_texts, parse_page
+from glossweave.llm.html_main import extract_text, main_container, main_texts, parse_page
 from glossweave.llm.licences import KNOWN_TEXTS, licence_scan
 from glossweave.llm.toxicity import best_limit, learn, score, toxicity
 
@@ -216,6 +216,71 @@ def test_template_has_its_say_on_article_pages(spark):
     assert got[300].startswith("Title 1\nOur partner offers\nstory 1")
 
 
+def test_everything_in_the_main_container_stays(spark):
+    page = (
+        "<body><div class='top'>Host name</div><main><p>lead {k}</p><article><p>first {k}</p></article><p>between {k}</p><article><p>second {k} {long}</p>"
+        "</article><p>closing {k}</p><div class='kx'>Read us daily</div><div class='related-posts'>Related</div></main><div>Imprint</div></body>"
+    )
+    rows = [(k, f"http://h.x/{k}", page.format(k=k, long="w " * 50)) for k in range(12)] + [(99, "http://alone.x/", page.format(k=99, long="w"))]
+    got = {r["page_id"]: r["text"].split("\n") for r in main_texts(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for k in range(12):
+        assert got[k] == [f"lead {k}", f"first {k}", f"between {k}", f"second {k} " + "w " * 49 + "w", f"closing {k}"]
+    assert got[99] == ["lead 99", "first 99", "between 99", "second 99 w", "closing 99", "Read us daily"]
+    assert extract_text("<body><p>Host<article>one</article><article>two</article>", None, frozenset()) == "one\ntwo"
+
+
+@pytest.mark.parametrize("name", ["social-science", "related-work", "legal-history", "share-price", "banner-story", "form-text", "cookie-recipe", "adLibitum"])
+def test_a_subject_is_no_furniture(name):
+    page = "<body><article><h1>T</h1><div class='{n}'><p>text of it</p></div><div id='{n}'>more <a>text</a></div>{end}</article>"
+    assert extract_text(page.format(n=name, end=""), None, frozenset()) == "T\ntext of it\nmore text"
+    link = f"<div class='{name}'><a href=x>all a link</a></div>"
+    assert "all a link" not in extract_text(page.format(n=name, end=link), None, frozenset())
+
+
+def brute_template(pages):
+    parsed = [parse_page(p) for p in pages]
+    vectors = {t: tuple(tokens.count(t) for _, tokens in parsed) for t in {t for _, tokens in parsed for t in tokens}}
+    classes = {}
+    for token, vector in vectors.items():
+        if (support := sum(n > 0 for n in vector)) >= 2 and 2 * support >= len(pages):
+            classes.setdefault(vector, set()).add(token)
+    template = set()
+    for vector, members in sorted(classes.items(), key=lambda c: -sum(n > 0 for n in c[0])):
+        orders = {tuple(t for t in dict.fromkeys(tokens) if t in members) for (_, tokens), n in zip(parsed, vector, strict=True) if n}
+        if len(orders) == 1 and all(t.rsplit("/", 1)[0] in template | members | {""} for t in members):
+            template |= members
+    said = {t: [text for blocks, _ in parsed if (text := "\n".join(b.text for b in blocks if b.path == t))] for t in template}
+    constant = {t for t in template if len(said[t]) >= 3 and len(set(said[t])) == 1}
+    plain = {t: sum(max(len(b.text) - b.link, 0) for blocks, _ in parsed for b in blocks if b.path == t and not b.dropped) for t in template - constant}
+    plain = {t: n for t, n in plain.items() if n}
+    return (main_container(plain) or None) if plain else None, sorted(constant)
+
+
+@pytest.mark.parametrize("bound", [200_000, 0])
+def test_templates_equal_brute_force(spark, monkeypatch, bound):
+    import random
+
+    monkeypatch.setattr(html_main, "BROADCAST_TOKENS", bound)
+    rng = random.Random(5)
+    hosts = {}
+    for h in range(25):
+        boxes = [f"<div class=b{chr(97 + k)}>{'same' if rng.random() < 0.5 else '{r}'}<p>{{r}}</p></div>" for k in range(rng.randrange(1, 6))]
+        for _ in range(rng.randrange(2, 8)):
+            chosen = [b for b in boxes if rng.random() < 0.9]
+            if rng.random() < 0.15:
+                rng.shuffle(chosen)
+            body = "".join(chosen).replace("{r}", f"{rng.randrange(10**6)}" + " word" * rng.randrange(9))
+            hosts.setdefault(f"{h}.x", []).append(f"<html><body><div id=top>Site</div>{body}{'<ul><li>x</ul>' * rng.randrange(2)}</body></html>")
+    turned = "<body><div class=a>{k}</div><div class=b>{k}</div>", "<body><p>{k}</p><div class=b>{k}</div><div class=a>{k}</div>"
+    hosts["turned.x"] = [turned[k % 2].format(k=k) for k in range(6)]
+    pages = spark.createDataFrame([(h, k, p) for h, ps in hosts.items() for k, p in enumerate(ps)], "host string, page bigint, html string")
+    pages = pages.unionByName(pages.filter("host = '0.x' AND page = 0"))
+    got = {r["host"]: (r["main"], r["constant"]) for r in html_main.host_templates(pages.filter("host <> '0.x'")).collect()}
+    assert got == {h: brute_template(ps) for h, ps in hosts.items() if h != "0.x"}
+    assert html_main.host_templates(pages).count() == len(hosts)
+    assert not any("div.a" in t for t in got["turned.x"][1]) and got["turned.x"][0] is None
+
+
 @pytest.mark.parametrize("name", ["ad1", "sideBar", "reader-comments", "site_footer", "cookieBanner", "navMenu", "commentsection"])
 def test_furniture_by_name(name):
     page = f"<body><div class='{name}'>gone</div><article><div class='article-header'><h1>T</h1></div><p>text</p><div id='{name}'>gone</div></article>"
