@@ -4,14 +4,15 @@ import hashlib
 import re
 from collections import Counter
 
+import duckdb
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from glossweave.llm import html_main, pii, quality
+from glossweave.llm import html_main, licences, pii, quality
 from glossweave.llm.common import smallest_hashes
 from glossweave.llm.html_main import extract_text, main_container, main_texts, parse_page
-from glossweave.llm.licences import KNOWN_TEXTS, licence_scan
+from glossweave.llm.licences import KNOWN_TEXTS, SCAN_SQL, known_digests, licence_scan
 from glossweave.llm.toxicity import best_limit, learn, score, toxicity
 
 DOCS = "doc_id bigint, text string"
@@ -318,6 +319,34 @@ def test_licences_in_any_spelling(spark):
     assert licence_scan(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_licences_inside_longer_texts(spark):
+    from textwrap import fill
+
+    known = dict((name, text) for name, text in KNOWN_TEXTS if len(text) > 300)
+    mit = known["MIT"].replace("conditions: ", "conditions:\n\n").replace("Software. THE", "Software.\n\nTHE")
+    wrapped = "\n\n".join(fill(p, 60) for p in mit.split("\n\n"))
+    bsd = "\n".join(fill(p, 70) for p in known["BSD-3-Clause"].split("\n")).replace("\n2.", "\n\n2.")
+    rows = [
+        (1, f"A page of words.\n\nThe MIT License (MIT)\n\nCopyright (c) 2020 A\nAll rights reserved.\n\n{wrapped}\n\n\nMore words."),
+        (2, f"BSD 3-Clause License\n\nCopyright 2020 A. All rights reserved.\n\n{bsd}"),
+        (3, "All rights reserved."),
+        (4, f"words\n \t\n{fill(known['Apache-2.0'], 60)}\n\nwords"),
+        (5, wrapped.replace("free", "cheap")),
+        (6, "word.\n\n" * 5000 + wrapped),
+    ]
+    want = {(1, "MIT", "paragraphs", 1), (1, "proprietary", "line", 1), (2, "BSD-3-Clause", "text", 1), (3, "proprietary", "text", 1), (4, "Apache-2.0", "paragraphs", 1), (6, "MIT", "paragraphs", 1)}
+    docs = spark.createDataFrame(rows, DOCS)
+    assert set(map(tuple, licence_scan(docs).collect())) == want
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert set(con.execute(SCAN_SQL).fetchall()) == want
+    many = spark.createDataFrame([(f"n{k}", "word " * k) for k in range(1, 60)] + [("MIT", known["MIT"])], "licence string, text string").collect()
+    monkey = pytest.MonkeyPatch()
+    monkey.setattr(licences, "MAX_LENGTHS", 20)
+    assert {tuple(r) for r in licence_scan(docs, known=known_digests(spark, list(map(tuple, many)))).collect()} >= {(1, "MIT", "paragraphs", 1), (6, "n8", "paragraphs", 4993)}
+    monkey.undo()
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
