@@ -151,7 +151,7 @@ def test_pipeline_stages_on_odd_rows(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     got, want = queries.QUERIES[name](spark, SMALL).toPandas(), con.execute(queries.ORACLES[name]).fetchdf()
     assert sorted(got.columns) == sorted(want.columns) and plain(got) == plain(want)
