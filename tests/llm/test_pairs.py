@@ -54,6 +54,14 @@ def test_components_of_a_path_a_star_and_a_ring(spark):
     assert connected_components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
+def test_components_with_a_hub_of_most_links(spark):
+    rng = random.Random(11)
+    links = [(5000, k) for k in range(1, 3000)] + [(rng.randrange(3000, 5000), rng.randrange(3000, 5000)) for _ in range(1500)] + [(7, 5000), (9, 9)]
+    root = roots(5001, links)
+    got = {r["u"]: r["root"] for r in connected_components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
+    assert got == {k: root[k] for k in range(5001) if root[k] != k}
+
+
 @pytest.mark.parametrize("wide", [2048, 3])
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, wide):
     """Also with crowded shards that are divided and cut into many chunks."""
