@@ -23,7 +23,7 @@ from glossweave.plans.by_row import localize_rows
 from glossweave.plans.common import Settings
 from glossweave.session import stage_path
 from glossweave.sources.memory import TranslationMemory
-from glossweave.streaming.incremental import incremental_localize as start_incremental, stream_prepare as prepare
+from glossweave.streaming.incremental import incremental_localize as start_incremental, merge_streams, stream_prepare as prepare
 
 LANGS = ["EN", "AR"]
 
@@ -377,6 +377,20 @@ def incremental_two_streams(spark, sf_dir):
     return memory.current(LANGS, MODEL, RULES).select("lang", "text_norm", "translation")
 
 
+@query("incremental_merged", f"""
+WITH {sql.POOL} SELECT lang, text_norm, 1::BIGINT AS n_sent FROM pool, {sql.languages(*LANGS)}""")
+def incremental_merged(spark, sf_dir):
+    """Two streams bring the same texts at the same time: each text is sent once a language."""
+    memory = TranslationMemory(spark, stage_path(spark, "memory"))
+
+    def to_cells(documents):
+        return document_cells(documents).withColumn("col_ord", F.lit(0))
+
+    both = merge_streams(*[(_document_stream(spark, sf_dir), to_cells) for _ in range(2)])
+    start_incremental(both, lambda cells: cells, memory, stage_path(spark, "stream"), LANGS, MODEL, RULES, pseudo_translate).awaitTermination()
+    return memory.log().groupBy("lang", "text_norm").agg(F.count(F.lit(1)).alias("n_sent"))
+
+
 @query("stream_prepare", f"WITH {sql.POOL} SELECT row_id, text_norm, sha256(text_norm) AS text_key FROM normed WHERE text_norm <> ''")
 def stream_prepare(spark, sf_dir):
     target = stage_path(spark, "prepared")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,21 @@ def stream_prepare(cells: DataFrame, abbr_max: int = ABBREVIATION_MAX_POOL) -> D
     return norm.where(F.col("text_norm") != "").withColumn("text_key", text_key(F.col("text_norm")))
 
 
+def merge_streams(*sources: tuple[DataFrame, Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """The cells ``row_id, col_ord, value`` of several streams as one, for a single query.
+
+    Each source is a stream and the stateless function that makes its cells. Two queries at the same time cannot see what
+    the other has sent but not stored yet, and pay for a common text twice; in one query a text is in one pool of a
+    micro-batch, and later batches find it in the memory, so it is sent once whichever stream brings it first. Every
+    source keeps its own offsets in the one checkpoint: the sources of a query and their order must stay the same.
+    A source may be empty or repeat another's rows.
+    """
+    if not sources:
+        raise ValueError("no streams to merge")
+    cells = [to_cells(stream).select(F.col("row_id").cast("bigint"), F.col("col_ord").cast("int"), F.col("value").cast("string")) for stream, to_cells in sources]
+    return reduce(DataFrame.unionByName, cells)
+
+
 def incremental_localize(
     stream: DataFrame,
     to_cells: Callable[[DataFrame], DataFrame],
@@ -41,7 +57,8 @@ def incremental_localize(
     """Start a query that adds the missing translations of each micro-batch to the memory.
 
     Texts already in the memory are not sent, also those a failed batch has stored before it is replayed. Batch ids hold
-    the checkpoint, so several streams can feed one memory. With ``strict`` a batch with items that got no answer fails
+    the checkpoint, so several streams can feed one memory; those that run at the same time and share texts belong
+    together by ``merge_streams``. With ``strict`` a batch with items that got no answer fails
     after the others are stored, and its replay asks for the missing ones only.
     """
     stream_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
