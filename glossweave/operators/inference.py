@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glossweave.functions.payload import resolve_response, validate_responses
-from glossweave.operators.chunks import split_failed_chunks, text_requests
+from glossweave.operators.chunks import MAX_CHARS, split_failed_chunks, text_requests
 from glossweave.session import materialise, shuffle_partitions
 from glossweave.sources.stages import AnswerLog
 
-# A lost task repeats the calls of its partition, so partitions stay small.
-CALLS_PER_TASK = 50
+# A lost task repeats the calls of its partition, so partitions stay small: so many calls, or as much text as that many
+# calls of the first pass hold, but no more than MOST_CALLS. Halving leaves many calls of a few words each.
+CALLS_PER_TASK, MOST_CALLS = 50, 1_000
+CHARS_PER_TASK = CALLS_PER_TASK * MAX_CHARS
 
 # (language, request JSON, attempt) -> {"raw", "prompt_tokens", "completion_tokens", "api_calls"}
 Translate = Callable[[str, str, int], dict]
@@ -90,11 +92,19 @@ def _send(
                 pdf[column] = [a[column] for a in answers]
             yield pdf.drop(columns="request").assign(attempt=attempt)[schema.fieldNames()]
 
-    number = requests.select(*spread).count()
-    wide = parallelism or max(min(number, shuffle_partitions(requests.sparkSession)), -(-number // CALLS_PER_TASK), 1)
+    wide = parallelism
+    if not wide:
+        total = requests.agg(F.count(F.lit(1)).alias("calls"), F.sum("n_chars").alias("chars")).first()
+        wide = call_tasks(total["calls"], total["chars"] or 0, shuffle_partitions(requests.sparkSession))
     return requests.repartition(wide, *spread).mapInPandas(send, schema)
 
 
+def call_tasks(calls: int, chars: int, least: int) -> int:
+    """Tasks for so many calls with so much text: ``least``, if there are as many calls, or what bounds the loss of a task."""
+    by_size = min(-(-calls // CALLS_PER_TASK), -(-chars // CHARS_PER_TASK))
+    return max(min(calls, least), -(-calls // MOST_CALLS), by_size, 1)
+
+
 class Translated(NamedTuple):
     """Resolved items, all validated responses, and what got no answer as ``(lang, text, reason, attempt)``."""
 

@@ -32,7 +32,8 @@ from glossweave.sources.stages import RunStages
 def chunk_misses(misses: DataFrame, max_items: int = MAX_ITEMS, max_chars: int = MAX_CHARS) -> DataFrame:
     """Missing texts per language in first-appearance order, packed; the position is the item id.
 
-    Only places and lengths are sorted and packed; the texts are joined to the result once.
+    Only places and lengths are sorted and packed; the texts are joined to the result once. ``misses`` is read more than
+    once: pass a written table, or what follows cheaply from one.
     """
     place = ["lang", "first_col", "first_row", "_h"]
     texts = misses.select("lang", "text_norm", "first_col", "first_row", F.xxhash64("text_norm").alias("_h"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from glossweave.operators import chunks, lookup
+from glossweave.operators.inference import call_tasks, run_requests
 from glossweave.operators.ordering import ordered_positions
 from glossweave.operators.pool import build_pool
 from glossweave.session import stage_path
@@ -202,3 +203,15 @@ def test_stages_can_be_removed(spark):
     kept, session._STAGES[:] = session._STAGES[:-1], [path]
     assert session.remove_stages(spark) == 1 and session.remove_stages(spark) == 0
     session._STAGES[:] = kept
+
+
+def test_small_calls_share_tasks(spark):
+    """Calls of a few words, as halving leaves them, do not get a task for every 50; full calls do."""
+    requests = spark.range(400).select(
+        F.lit("EN").alias("lang"), F.col("id").cast("string").alias("chunk_no"), F.lit("[]").alias("request"),
+        F.lit(0).alias("n_items"), F.lit(30).alias("n_chars"), F.array().cast("array<bigint>").alias("ids"),
+    )
+    sent = run_requests(requests, lambda lang, request, attempt: {"raw": "[]"})
+    assert sent.select(F.input_file_name()).distinct().count() <= 4
+    assert call_tasks(480_000, 480_000 * 60, 200) == 480 and call_tasks(50_000, 50_000 * 18_000, 200) == 1_000
+    assert call_tasks(3, 0, 200) == 3 and call_tasks(0, 0, 200) == 1
