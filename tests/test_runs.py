@@ -289,3 +289,25 @@ def test_two_writers_of_one_protocol_version(spark):
     with pytest.raises(Exception, match="already exists"):
         late.upsert(rows)
     assert protocol.versions() == [0] and protocol.read().count() == 1
+
+
+def test_a_run_removes_what_only_it_reads(spark, exam):
+    """Requests, responses and places are gone after a run with retries, and its output can still be read."""
+    from glossweave import session
+
+    before = set(session._STAGES)
+    run = localize_pool(exam, memory(spark), pseudo_translate, Settings(["EN"], "m", "r"))
+    left = {path.rsplit("/", 1)[1][:-33] for path in session._STAGES if path not in before}
+    assert left <= {"memory", "pool", "answered", "failed", "judged", "retried"}
+    assert run.output.count() == 6 and run.suspects.count() == 1 and run.failed.count() == 0
+    assert spark.conf.get(session.CLEANUP, "false") == "false"
+
+
+def test_what_got_no_answer_stays_in_the_output(spark, exam):
+    def silent(lang, request, attempt):
+        return {"raw": "no answer", "api_calls": 1} if "Lernfeld Eins" in request else pseudo_translate(lang, request, attempt)
+
+    run = localize_pool(exam, memory(spark), silent, Settings(["EN"], "m", "r", strict=False, max_rounds=0))
+    rows = {r.row_id: r for r in run.output.collect()}
+    assert rows[1]["LF"] == "Lernfeld Eins" and rows[4]["LF"] == "[EN] Lernfeld Zwei" and len(rows) == 6
+    assert [r.text for r in run.failed.collect()] == ["Lernfeld Eins"]
