@@ -57,10 +57,11 @@ def build_pool(cells: DataFrame, abbr_max: int = ABBREVIATION_MAX_POOL) -> DataF
     texts = translatable_cells(cells, abbr_max).select(
         normalise(F.col("value")).alias("text_norm"), _first_place("col_ord", "row_id").alias("_place")
     )
+    # Asked of the aggregate: a filter on the text would be pushed below and normalise each cell once more.
     pooled = (
-        texts.where(F.col("text_norm") != "")
-        .groupBy("text_norm")
-        .agg(F.min("_place").alias("_place"), F.count(F.lit(1)).alias("n_cells"))
+        texts.groupBy("text_norm")
+        .agg(F.min("_place").alias("_place"), F.count(F.lit(1)).alias("n_cells"), F.max(F.length("text_norm")).alias("_n_chars"))
+        .where("_n_chars > 0")
     )
     return pooled.select(
         "text_norm",
