@@ -33,11 +33,11 @@ def scan_delimited_query(spark, sf_dir):
 @query("scan_split_quoted", """
 SELECT doc_id::VARCHAR AS doc_id, coalesce(replace(text, ' the ', ';' || chr(10) || '"the"' || chr(10)), '') AS text, coalesce(lang, '') AS lang, n_chars::VARCHAR AS n_chars FROM documents""")
 def scan_split_quoted(spark, sf_dir):
-    """One large file, whose texts hold separators, quotes and line breaks, read by many tasks."""
+    """Large files, whose texts hold separators, quotes and line breaks, each read by many tasks."""
     path = stage_path(spark, "quoted")
     broken = F.replace("text", F.lit(" the "), F.lit(';\n"the"\n'))
     documents = table(spark, sf_dir, "documents").select("doc_id", broken.alias("text"), "lang", "n_chars")
-    documents.coalesce(1).write.options(**csv_options(";")).csv(path)
+    documents.write.options(**csv_options(";")).csv(path)
     return scan_split(spark, path, ";")[0]
 
 
