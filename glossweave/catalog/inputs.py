@@ -9,9 +9,13 @@ from glossweave.catalog.registry import table
 from glossweave.functions.text import memory_key
 from glossweave.operators.cells import document_cells
 from glossweave.operators.pool import build_pool, language_fanout
+from glossweave.session import spread
 
 MODEL, RULES = "m1", "r1"
 
+#: Rows of the answer table in a task: each has four cells, in every language, counted on three levels by the reports.
+ANSWER_ROWS = 100_000
+
 
 def line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_cells(table(spark, sf_dir, "documents")).withColumn("col_ord", F.lit(0))
@@ -50,7 +54,7 @@ def answer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("p_partkey") % 8 == 6, "no such answer")
         .otherwise(F.col("p_size").cast("string"))
     )
-    return table(spark, sf_dir, "part").select(
+    return spread(table(spark, sf_dir, "part"), ANSWER_ROWS).select(
         F.col("p_partkey").alias("row_id"),
         F.col("p_name").alias("A"),
         F.col("p_brand").alias("B"),
