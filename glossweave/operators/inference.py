@@ -19,6 +19,8 @@ from glossweave.sources.stages import AnswerLog
 # calls of the first pass hold, but no more than MOST_CALLS. Halving leaves many calls of a few words each.
 CALLS_PER_TASK, MOST_CALLS = 50, 1_000
 CHARS_PER_TASK = CALLS_PER_TASK * MAX_CHARS
+# Answers that a task holds before it hands them on.
+CALLS_HELD = 16
 
 # (language, request JSON, attempt) -> {"raw", "prompt_tokens", "completion_tokens", "api_calls"}
 Translate = Callable[[str, str, int], dict]
@@ -85,7 +87,7 @@ def _send(
     )
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
+        for pdf in (frame[i : i + CALLS_HELD] for frame in frames for i in range(0, len(frame), CALLS_HELD)):
             answers = []
             for lang, request in zip(pdf["lang"], pdf["request"]):
                 try:
@@ -94,15 +96,15 @@ def _send(
                     answers.append({"raw": answer.get("raw"), "error": None} | usage)
                 except Exception as problem:
                     answers.append({"raw": None, "error": f"{type(problem).__name__}: {problem}"} | dict.fromkeys(_USAGE, 0))
-            for column in ("raw", "error", *_USAGE):
-                pdf[column] = [a[column] for a in answers]
-            yield pdf.drop(columns="request").assign(attempt=attempt)[schema.fieldNames()]
+            given = {column: [a[column] for a in answers] for column in ("raw", "error", *_USAGE)}
+            yield pdf.drop(columns="request").assign(**given, attempt=attempt)[schema.fieldNames()]
 
     wide = parallelism
     if not wide:
         total = requests.agg(F.count(F.lit(1)).alias("calls"), F.sum("n_chars").alias("chars")).first()
         wide = call_tasks(total["calls"], total["chars"] or 0, shuffle_partitions(requests.sparkSession))
-    return requests.repartition(wide, *spread).mapInPandas(send, schema)
+    # By a hash of the names: a partitioning equal to that of the requests would be dropped, and small ones merged.
+    return requests.repartition(wide, F.xxhash64(*spread)).mapInPandas(send, schema)
 
 
 def call_tasks(calls: int, chars: int, least: int) -> int:

@@ -215,3 +215,14 @@ def test_small_calls_share_tasks(spark):
     assert sent.select(F.input_file_name()).distinct().count() <= 4
     assert call_tasks(480_000, 480_000 * 60, 200) == 480 and call_tasks(50_000, 50_000 * 18_000, 200) == 1_000
     assert call_tasks(3, 0, 200) == 3 and call_tasks(0, 0, 200) == 1
+
+
+def test_calls_are_spread_as_asked(spark):
+    """Requests that are partitioned by their chunk already are dealt out all the same, and answers come in their rows."""
+    items = spark.range(400).select(
+        F.lit("EN").alias("lang"), (F.col("id") % 80).cast("string").alias("chunk_no"), "id", F.col("id").cast("string").alias("text_norm")
+    )
+    requests = chunks.text_requests(items, ["lang", "chunk_no"])
+    sent = run_requests(requests, lambda lang, request, attempt: {"raw": request.replace("text", "translation")})
+    assert sent.select(F.input_file_name()).distinct().count() == 4
+    assert sent.where("status = 'ok'").selectExpr("inline(items)").where("id = translation").count() == 400
