@@ -5,6 +5,7 @@ All of them are built-in Spark expressions. "Strip" always means the Unicode str
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -177,7 +178,10 @@ def residue_score(text: Column, markers: ResidueMarkers = GERMAN) -> Column:
     the words as a substring. ``text`` should be a plain column: it is read several times.
     """
     raw = F.coalesce(text, F.lit(""))
-    low = F.lower(raw)
+    return _score(raw, F.lower(raw), markers)
+
+
+def _score(raw: Column, low: Column, markers: ResidueMarkers) -> Column:
     longest_first = "|".join(sorted(markers.words, key=len, reverse=True))
     whole_words = F.lit(rf"(?<![\p{{L}}\p{{N}}_])({longest_first})(?![\p{{L}}\p{{N}}_])")
     distinct = F.size(F.array_distinct(F.regexp_extract_all(low, whole_words, F.lit(1)))) * F.lit(markers.word_weight)
@@ -185,15 +189,28 @@ def residue_score(text: Column, markers: ResidueMarkers = GERMAN) -> Column:
     return (_letters_and_fragments(raw, low, markers) + words) / _damping(low)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row also inside a filter, where Spark shares no common parts."""
+    return F.transform(F.array(value), use)[0]
+
+
+def residue_at_least_once(text: Column, threshold: float, markers: ResidueMarkers = GERMAN) -> Column:
+    """``residue_at_least`` for a filter: ``text`` and its lower case are computed once, whatever expression it is."""
+    return _once(text, lambda raw: _once(F.lower(F.coalesce(raw, F.lit(""))), lambda low: _at_least(raw, low, threshold, markers)))
+
+
 def residue_at_least(text: Column, threshold: float, markers: ResidueMarkers = GERMAN) -> Column:
     """The residue score where it reaches ``threshold``, else 0.0.
 
     Substring searches bound the score from above; nearly all translated texts stop there.
     """
+    return _at_least(text, F.lower(F.coalesce(text, F.lit(""))), threshold, markers)
+
+
+def _at_least(text: Column, low: Column, threshold: float, markers: ResidueMarkers) -> Column:
     raw = F.coalesce(text, F.lit(""))
-    low = F.lower(raw)
     bound = (_letters_and_fragments(raw, low, markers) + _word_candidates(low, markers)) / _damping(low)
-    score = residue_score(text, markers)
+    score = _score(raw, low, markers)
     return F.when(bound >= threshold, F.when(score >= threshold, score).otherwise(F.lit(0.0))).otherwise(F.lit(0.0))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossweave.functions.text import (
-    ABBREVIATION_MAX_POOL, ABBREVIATION_MAX_ROW, GERMAN, ResidueMarkers, expected_script, residue_at_least, strip, translatable_stripped,
+    ABBREVIATION_MAX_POOL, ABBREVIATION_MAX_ROW, GERMAN, ResidueMarkers, expected_script, residue_at_least, residue_at_least_once, strip, translatable_stripped,
 )
 from glossweave.operators.ordering import null_safe_join
 
@@ -52,7 +52,9 @@ def lacks_script(lang: Column, v_in: Column, v_out: Column) -> Column:
 
 def suspect_residue(compared: DataFrame, abbr_max: int = ABBREVIATION_MAX_POOL, markers: ResidueMarkers = GERMAN) -> DataFrame:
     """Translatable cells whose output still reads like the source language."""
-    return checked_cells(compared.where(looks_untranslated(F.col("v_out"), markers)), abbr_max).where(~F.col("ignored")).drop("ignored")
+    # The filter is pushed to where the outputs are read, so it must not compute them for each of its marks.
+    score = residue_at_least_once(F.col("v_out"), SUSPECT_SCORE, markers)
+    return checked_cells(compared.where(reads_like_source(F.col("v_out"), score)), abbr_max).where(~F.col("ignored")).drop("ignored")
 
 
 def suspect_script(compared: DataFrame, abbr_max: int = ABBREVIATION_MAX_POOL) -> DataFrame:
