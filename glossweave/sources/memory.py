@@ -32,12 +32,15 @@ def latest_translation(log: DataFrame) -> DataFrame:
     """One row per key: real answers before fallbacks, then the highest attempt, then the latest. ``tried`` is the highest
     attempt of all.
 
-    An aggregate rather than a ranked window, so rewritten keys shrink before the shuffle.
+    An aggregate rather than a ranked window, so rewritten keys shrink before the shuffle. The row is the greatest one by
+    itself, its rank in front: a row beside its rank would move the translation twice.
     """
-    rank = F.struct(~F.col("is_fallback"), "attempt", "updated_at", "translation", "batch_id")
-    rest = [c for c in log.columns if c != "key"]
-    newest = log.groupBy("key").agg(F.max_by(F.struct(*rest), rank).alias("_row"), F.max("attempt").alias("tried"))
-    return newest.select("key", *[F.col("_row")[c].alias(c) for c in rest], "tried")
+    rank = ["attempt", "updated_at", "translation", "batch_id"]
+    rest = [c for c in log.columns if c not in ("key", "is_fallback", *rank)]
+    row = F.struct((~F.col("is_fallback")).alias("_real"), *rank, *rest)
+    newest = log.groupBy("key").agg(F.max(row).alias("_row"), F.max("attempt").alias("tried"))
+    columns = [(~F.col("_row._real") if c == "is_fallback" else F.col("_row")[c]).alias(c) for c in log.columns if c != "key"]
+    return newest.select("key", *columns, "tried")
 
 
 def with_memory_key(pool: DataFrame, langs: Iterable[str], model: str, rules_id: str) -> DataFrame:
@@ -94,12 +97,14 @@ class TranslationMemory:
     def append(self, rows: DataFrame, batch_id: str) -> None:
         """Add one batch: ``lang, model, rules_id, text_norm, translation, is_fallback, attempt, updated_at``."""
         key = memory_key(F.col("lang"), F.col("model"), F.col("rules_id"), F.col("text_norm"))
-        full = rows.withColumns({"key": key, "batch_id": F.lit(batch_id)})
-        # Rebalancing gives each language files of the advisory size and splits a dominant language.
+        full = rows.withColumns({"key": F.lit(""), "batch_id": F.lit(batch_id)})
+        # Rebalancing gives each language files of the advisory size and splits a dominant language; keys, which hardly
+        # compress, are made behind it.
         with shuffles_dropped(self.spark):
             (
                 full.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMA.fields])
                 .hint("rebalance", "lang")
+                .withColumn("key", key)
                 .write.mode("append")
                 .option("compression", STAGE_CODEC)
                 .partitionBy("lang", "batch_id")
