@@ -74,16 +74,17 @@ def memory_upsert(spark, sf_dir):
     memory = mem.TranslationMemory(spark, stage_path(spark, "memory"))
     even, odd = (line_cells(spark, sf_dir).where(F.col("doc_id") % 2 == 0), line_cells(spark, sf_dir).where(F.col("doc_id") % 2 != 0))
 
-    def rows(cells, word, attempt):
-        return pool_of(cells).select(
+    def rows(pool, word, attempt):
+        return pool.select(
             F.lit("EN").alias("lang"), F.lit(MODEL).alias("model"), F.lit(RULES).alias("rules_id"), "text_norm",
             F.concat(F.lit(word), "text_norm").alias("translation"), F.lit(False).alias("is_fallback"),
             F.lit(attempt).alias("attempt"), F.localtimestamp().alias("updated_at"),
         )
 
-    memory.append(rows(even, "first ", 0), "b1")
+    memory.append(rows(pool_of(even), "first ", 0), "b1")
+    again = materialise(pool_of(odd).select("text_norm"), "pool")
     for _ in range(2):
-        memory.append(rows(odd, "second ", 1), "b2")
+        memory.append(rows(again, "second ", 1), "b2")
     return memory.current(["EN"], MODEL, RULES).select("key", "text_norm", "translation", "attempt")
 
 
@@ -109,7 +110,7 @@ SELECT c.row_id, l.lang, CASE WHEN e.text_norm IS NOT NULL THEN {sql.repair("'['
 FROM cells c CROSS JOIN {sql.languages(*LANGS)} LEFT JOIN normed n ON n.row_id = c.row_id LEFT JOIN earlier e ON e.text_norm = n.text_norm""")
 def apply_memory(spark, sf_dir):
     hits = earlier_memory(spark, sf_dir, *LANGS)
-    hot = hot_keys(materialise(line_pool(spark, sf_dir), "pool"), "text_key", "n_cells")
+    hot = hot_keys(materialise(line_pool(spark, sf_dir).select("text_key", "n_cells"), "pool"), "text_key", "n_cells")
     return apply(line_cells(spark, sf_dir), hits, LANGS, hot=hot).select("row_id", "lang", "output", "is_hit")
 
 
