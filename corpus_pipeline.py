@@ -11,9 +11,9 @@ from glossweave.llm.line_dedup import remove_repeated_lines
 from glossweave.llm.near_dedup import one_of_each_group
 from glossweave.llm.packing import pack_documents
 from glossweave.llm.quality import quality_rules
-from glossweave.session import stage_path
+from glossweave.session import materialise, stage_path
 
-#: Near duplicates of the pipeline: shingles of five words, of which 0.8 are common. Of fingerprints of 256 bits, texts of
+#: Wider near duplicates, looked for in what the fingerprints of ``op5_simhash_near_dedup`` leave: shingles of five words, of which 0.8 are common. Of fingerprints of 256 bits, texts of
 #: similarity 0.8 differ in 38 bits on average (standard deviation 6), so candidates may differ in 52.
 NEAR = {"shingle": 5, "words": 4, "radius": 52, "minima": 6, "similarity": 0.8}
 
@@ -29,8 +29,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return one_of_each_group(docs, **NEAR)
+    """One document of each group of near duplicates: fingerprints of 64 bits within 3, all found by equal blocks, then
+    wider ones whose texts are compared."""
+    distinct = materialise(one_of_each_group(docs), "near-3-bits")
+    return one_of_each_group(distinct, **NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,8 @@ import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
+from glossweave.llm.bk_forest import distance
+from glossweave.llm.near_dedup import shared_share, shingle_hashes, simhash
 from glossweave.llm import queries
 from glossweave.llm.packing import CAPACITY, pack_documents, packing_plan, token_ids
 from glossweave.llm.warc import MAGIC, archive_round_trip, read_archives, record_length
@@ -160,3 +162,14 @@ def test_query_equals_its_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
 def test_query_runs(spark, name):
     assert queries.QUERIES[name](spark, SMALL).count() > 0
+
+
+def test_near_dedup_of_the_pipeline_links_what_op5_links(spark):
+    """Texts within 3 bits of the 64-bit fingerprint are one group, also where few of their distinct shingles are common."""
+    chant = "lorem ipsum dolor sit amet " * 20
+    texts = [chant, chant + " ".join(f"word{i}" for i in range(71)), "a text of its own that nothing else in this table is like"]
+    near, wide = (int(distance(*(simhash(shingle_hashes(t.encode(), k), n)[None] for t in texts[:2]))[0]) for k, n in ((3, 1), (5, 4)))
+    assert near <= 3 and wide > 0 and shared_share(texts[0].encode(), texts[1].encode(), 5) < 0.2
+    docs = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id bigint, text string")
+    left = corpus_pipeline.near_dedup(spark, docs, "")
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 3]
