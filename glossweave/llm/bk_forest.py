@@ -6,6 +6,9 @@ from collections.abc import Iterator
 
 import numpy as np
 
+#: Pairs of a query and a node that are compared at once, up to the children of one node; it bounds the memory of a search.
+FRONTIER = 1 << 16
+
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Hamming distances between the rows of two (n, words) arrays of unsigned 64-bit words."""
@@ -42,18 +45,27 @@ class BKForest:
         self.node = np.concatenate(nodes)[order] if nodes else np.empty(0, dtype=np.int64)
 
     def search(self, prints: np.ndarray, tree: np.ndarray, radius: int, block: int = 4096) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(query, item) index pairs within ``radius``; only edges within the radius of the distance are followed."""
+        """(query, item) index pairs within ``radius``; only edges within the radius of the distance are followed.
+
+        Edges to follow wait as ranges, in pieces of ``FRONTIER`` children, and the last piece is opened first.
+        """
         start = np.fromiter((self.root.get(t, -1) for t in tree.tolist()), dtype=np.int64, count=len(tree))
         for low in range(0, len(prints), block):
             asked = np.arange(low, min(low + block, len(prints)))
             asked = asked[start[asked] >= 0]
-            at = start[asked]
-            while len(asked):
+            waiting = [(asked, start[asked])]
+            while waiting:
+                asked, at, *ends = waiting.pop()
+                if ends:
+                    left, count = at, ends[0]
+                    asked = np.repeat(asked, count)
+                    at = self.node[np.repeat(left - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())]
                 far = distance(prints[asked], self.prints[at])
                 hit = far <= radius
                 yield asked[hit], at[hit]
                 left = np.searchsorted(self.slot, at * self.reach + np.maximum(far - radius, 0), "left")
                 right = np.searchsorted(self.slot, at * self.reach + np.minimum(far + radius, self.reach - 1), "right")
                 count = right - left
-                asked = np.repeat(asked, count)
-                at = self.node[np.repeat(left - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())]
+                inner = np.flatnonzero(count)
+                cut = np.flatnonzero(np.diff(np.cumsum(count[inner]) // FRONTIER)) + 1
+                waiting += [(asked[piece], left[piece], count[piece]) for piece in np.split(inner, cut) if len(piece)]

@@ -29,7 +29,9 @@ CHUNK = 512
 #: Spanning forests whose links are read first when links have to be similar; this saves tests and decides nothing.
 FORESTS = 3
 #: Rows, and bytes of text, of whole meetings that a task solves together.
-MEETING_ROWS, MEETING_BYTES = 50_000, 1 << 26
+MEETING_ROWS, MEETING_BYTES = 50_000, 1 << 24
+#: Near pairs of a task that are handed on together, up to those of one piece of the search.
+PAIRS = 1 << 18
 #: A shard of equal 16-bit blocks with more fingerprints than this is divided by a second block of 12 bits.
 WIDE_SHARD = 2048
 _BITS = ((np.arange(256)[:, None] >> np.arange(7, -1, -1)) & 1).astype(np.int64)
@@ -167,7 +169,8 @@ def _spanning_links(meetings: DataFrame, words: int, radius: int, forests: int)
                 labels[k], took = spanning_pairs(len(prints), labels[k], a, b, far)
                 ends.append((a[took], b[took]))
                 a, b, far = (np.delete(x, took) for x in (a, b, far))
-        return _link_batch(prints, *[np.concatenate([e[k] for e in ends]) for k in (0, 1)])
+        a, b = (np.concatenate([e[k] for e in ends]) for k in (0, 1))
+        return _link_batch(prints, a, b) if forests > 1 else _star_batch(prints, a, b)
 
     return _solve_meetings(_by_meeting(meetings).select("change", "in_tree", "in_query", "print"), solve, "u array<bigint>, v array<bigint>")
 
@@ -205,15 +208,26 @@ def _words(table: pa.Table, column: str, words: int, kind: type = np.uint64) ->
 
 
 def _near_pairs(table: pa.Table, prints: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row pairs a > b within ``radius`` that one tree and its queries show, as they are found."""
+    """Row pairs a > b within ``radius`` that one tree and its queries show, each once, in sorted batches as they are found."""
     group = table.column("change").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
-    members, asking = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False).astype(bool)) for c in ("in_tree", "in_query"))
+    in_tree, in_query = (table.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("in_tree", "in_query"))
+    members, asking = np.flatnonzero(in_tree), np.flatnonzero(in_query)
     forest = BKForest(prints[members], group[members])
+    held: list[np.ndarray] = []
+
+    def batch() -> tuple[np.ndarray, np.ndarray]:
+        keys = np.sort(np.concatenate(held))
+        held.clear()
+        return keys // len(prints), keys % len(prints)
+
     for asked, found in forest.search(prints[asking], group[asking], radius):
         a, b = asking[asked], members[found]
-        twice = a == b
-        pairs = np.unique(np.stack([np.maximum(a, b)[~twice], np.minimum(a, b)[~twice]], 1), axis=0)
-        yield pairs[:, 0], pairs[:, 1]
+        once = (a > b) | (a < b) & ~(in_tree[a] & in_query[b])
+        held.append(np.maximum(a, b)[once] * len(prints) + np.minimum(a, b)[once])
+        if sum(map(len, held)) >= PAIRS:
+            yield batch()
+    if held:
+        yield batch()
 
 
 def _link_batch(prints: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -221,6 +235,15 @@ def _link_batch(prints: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBa
     return pa.RecordBatch.from_arrays(sides, ["u", "v"])
 
 
+def _star_batch(prints: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Links of each fingerprint with the smallest one that a[i] - b[i] lead to; the rounds that follow are fewer."""
+    ends, at = np.unique(prints[np.r_[a, b]].view(np.int64), axis=0, return_inverse=True)
+    at = at.reshape(-1)
+    root = components(len(ends), at[: len(a)], at[len(a) :])
+    far = np.flatnonzero(root != np.arange(len(ends)))
+    return _link_batch(ends.view(np.uint64), far, root[far])
+
+
 def shared_share(a: bytes, b: bytes, size: int) -> float:
     """Shingles that two texts share, of all that either has."""
     left, right = (np.unique(shingle_hashes(x, size)) for x in (a, b))
@@ -234,8 +257,10 @@ def _texts_of(prints: DataFrame, distinct: DataFrame, docs: DataFrame, ident: Co
     return materialise(texts.select("print", "text"), "near-texts")
 
 
-def _similar_links(links: DataFrame, distinct: DataFrame, docs: DataFrame, ident: Column, text: str, shingle: int, similarity: float) -> DataFrame:
-    """The links whose texts, read once more, are similar enough."""
+def _similar_links(
+    links: DataFrame, distinct: DataFrame, docs: DataFrame, ident: Column, text: str, shingle: int, words: int, similarity: float
+) -> DataFrame:
+    """Stars of the links whose texts, read once more, are similar enough."""
     links = materialise(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "near")
     texts = _texts_of(links.select(F.explode(F.array("u", "v")).alias("print")).distinct(), distinct, docs, ident, text)
     sides = [texts.select(F.col("print").alias(k), F.col("text").alias(f"text_{k}")) for k in ("u", "v")]
@@ -243,8 +268,9 @@ def _similar_links(links: DataFrame, distinct: DataFrame, docs: DataFrame, ident
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = zip(text_bytes(batch.column(2)), text_bytes(batch.column(3)), strict=True)
-            keep = pa.array([shared_share(a, b, shingle) >= similarity for a, b in pairs], pa.bool_())
-            yield batch.select(["u", "v"]).filter(keep)
+            keep = np.flatnonzero([shared_share(a, b, shingle) >= similarity for a, b in pairs])
+            sides = [_words(pa.table({c: batch.column(c)}), c, words)[keep] for c in ("u", "v")]
+            yield _star_batch(np.concatenate(sides), np.arange(len(keep)), np.arange(len(keep)) + len(keep))
 
     joined = links.join(sides[0], "u").join(sides[1], "v").select("u", "v", "text_u", "text_v")
     return joined.mapInArrow(run, "u array<bigint>, v array<bigint>")
@@ -306,7 +332,7 @@ def _remaining_links(
                         label[label == label[other]] = label[one]
                         ends.append((one, other))
         pairs = np.array(ends, dtype=np.int64).reshape(-1, 2)
-        return _link_batch(prints, pairs[:, 0], pairs[:, 1])
+        return _star_batch(prints, pairs[:, 0], pairs[:, 1])
 
     marked = materialise(_solve_meetings(meetings.select(*[F.col("shard.k") if c == "k" else F.col(c) for c in kept]), mark_rows, schema), "marked")
     texts = _texts_of(marked.select("print").distinct(), distinct, docs, ident, text)
@@ -338,7 +364,7 @@ def near_duplicates(
     links = _spanning_links(_chunk_pairs(shards), words, radius, FORESTS if similarity is not None else 1)
     if similarity is not None:
         distinct = materialise(distinct, "distinct")
-        links = materialise(_similar_links(links, distinct, docs, ident, text, shingle, similarity), "similar")
+        links = materialise(_similar_links(links, distinct, docs, ident, text, shingle, words, similarity), "similar")
         rule = (shingle, words, radius, minima, similarity)
         links = links.unionByName(_remaining_links(distinct, connected_components(links), docs, ident, text, *rule))
     roots = connected_components(links)

@@ -1,12 +1,14 @@
 """Near duplicates, line windows and benchmark search against brute force, and their edge cases."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from glossweave.llm import near_dedup
+from glossweave.llm import graphs, near_dedup
 from glossweave.llm.bk_forest import BKForest, distance
 from glossweave.llm.decontaminate import ItemIndex, contaminated, counted_similarity, normal_words, shingles, without_contaminated
 from glossweave.llm.graphs import connected_components
@@ -47,6 +49,49 @@ def test_forest_finds_every_pair(width):
     assert found == want
 
 
+def test_search_of_a_crowd_is_bounded_in_memory():
+    """Each of 4,096 queries is near all 512 items of its tree; what is held at once must not grow with these two million pairs."""
+    rng = np.random.default_rng(6)
+    flips = np.uint64(1) << rng.integers(0, 63, (4, 4096, 4), dtype=np.uint64)
+    prints = rng.integers(0, 1 << 63, (1, 4), dtype=np.uint64) ^ np.bitwise_xor.reduce(flips, axis=0)
+    tree = np.repeat(np.arange(8), 512)
+    forest, found = BKForest(prints, tree), 0
+    tracemalloc.start()
+    for asked, _ in forest.search(prints, tree, 52):
+        found += len(asked)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 8 * 512 * 512 and peak < 40e6
+
+
+def test_near_pairs_come_once():
+    rng = np.random.default_rng(7)
+    prints = np.unique(rng.integers(0, 1 << 20, (300, 1), dtype=np.uint64), axis=0)
+    n = len(prints)
+    for alone in (True, False):
+        in_tree = np.arange(n) % 2 == 0 if alone else np.ones(n, dtype=bool)
+        in_query = ~in_tree if alone else in_tree
+        table = pa.table({"change": ["m"] * n, "in_tree": in_tree, "in_query": in_query})
+        got = [(int(a), int(b)) for x, y in near_dedup._near_pairs(table, prints, 6) for a, b in zip(x, y, strict=True)]
+        far = [(a, b) for a in range(n) for b in range(a) if int(prints[a, 0] ^ prints[b, 0]).bit_count() <= 6 and (in_tree[a] != in_tree[b] or not alone)]
+        assert sorted(got) == far
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graphs, "materialise", lambda df, label, write=graphs.materialise: written.append(label) or write(df, label))
+    stars = [(10 + k, k % 3) for k in range(30)] + [(4, 4)]
+    got = {r["u"]: r["root"] for r in connected_components(spark.createDataFrame(stars, "u bigint, v bigint")).collect()}
+    assert got == {u: v for u, v in stars if u != v} and len(written) == 1
+
+
+def test_star_links_lead_to_the_smallest_fingerprint():
+    prints = np.array([[5, 1], [2**63, 9], [7, 7], [1, 1], [5, 1], [8, 8]], dtype=np.uint64)
+    links = near_dedup._star_batch(prints, np.array([0, 4, 3]), np.array([1, 2, 5])).to_pylist()
+    assert sorted((r["u"], r["v"]) for r in links) == [([5, 1], [-(2**63), 9]), ([7, 7], [-(2**63), 9]), ([8, 8], [1, 1])]
+    assert near_dedup._star_batch(prints[:0], np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)).num_rows == 0
+
+
 def test_components_of_a_path_a_star_and_a_ring(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 50)] + [(200 + k, 200 + (k + 1) % 9) for k in range(9)]
     got = {r["u"]: r["root"] for r in connected_components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
