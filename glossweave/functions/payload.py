@@ -93,3 +93,21 @@ def resolve_response(validated: DataFrame, sent: DataFrame, chunk: list[str], te
     return sent.join(answers, [*chunk, "id"]).select(
         *sent.columns, F.when(blank, F.col(text)).otherwise(F.col("_tr")).alias("translation"), blank.alias("is_fallback")
     )
+
+
+def resolve_carried(validated: DataFrame, columns: list[str], text: str = "text_norm") -> DataFrame:
+    """``resolve_response`` for responses whose items ``sent`` came along, by id: the same rows, and nothing is joined.
+
+    An accepted answer has the ids of its request, each once, so sorted by id it stands beside the items. ``columns`` are
+    those of the items to return; ``id`` and ``text`` are the id and the text as sent.
+    """
+    pairs = F.zip_with("sent", F.sort_array("items"), lambda x, y: F.struct(x.alias("sent"), y["translation"].alias("got")))
+    own = [c for c in columns if c in ("lang", "chunk_no")]
+    read = validated.where(F.col("status") == "ok").select(*own, F.explode(pairs).alias("_pair"))
+    item = F.col("_pair")["sent"]
+    read = read.select(
+        *[F.col(c) if c in own else item["text" if c == text else c].alias(c) for c in columns], F.col("_pair")["got"].alias("_got")
+    )
+    answers = read.withColumn("_tr", strip(repair(F.col("_got"))))
+    blank = F.coalesce(F.col("_tr") == "", F.lit(True))
+    return answers.select(*columns, F.when(blank, F.col(text)).otherwise(F.col("_tr")).alias("translation"), blank.alias("is_fallback"))

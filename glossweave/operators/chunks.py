@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -219,20 +219,44 @@ def split_failed_chunks(items: DataFrame, chunk: Sequence[str], order: str = "it
     return numbered.withColumn("half", half).drop("_n", "_at")
 
 
-def text_requests(items: DataFrame, chunk: Sequence[str], item_id: str = "id", text: str = "text_norm") -> DataFrame:
-    """One request per chunk: a JSON array of ``{id, text}``, with item count, characters and ids."""
-    body = F.sort_array(F.collect_list(F.struct(F.col(item_id).cast("bigint").alias("id"), F.col(text).alias("text"))))
-    return (
-        items.groupBy(*chunk)
-        .agg(body.alias("_body"), F.sum(F.length(text)).alias("n_chars"))
-        .select(
-            *chunk,
-            F.to_json("_body").alias("request"),
-            F.size("_body").alias("n_items"),
-            "n_chars",
-            F.transform("_body", lambda x: x["id"]).alias("ids"),
-        )
+def text_requests(
+    items: DataFrame, chunk: Sequence[str], item_id: str = "id", text: str = "text_norm", carry: Sequence[str] | None = None
+) -> DataFrame:
+    """One request per chunk: a JSON array of ``{id, text}``, with item count, characters and ids.
+
+    With ``carry`` the items travel along: ``sent`` is the array of structs of id, text and these columns, by id.
+    """
+    body = F.sort_array(
+        F.collect_list(F.struct(F.col(item_id).cast("bigint").alias("id"), F.col(text).alias("text"), *(carry or ())))
     )
+    grouped = items.groupBy(*chunk).agg(body.alias("sent"), F.sum(F.length(text)).alias("n_chars"))
+    return grouped.select(*chunk, *request_columns(F.col("sent"), F.col("n_chars"), carry is not None))
+
+
+def request_columns(sent: Column, n_chars: Column | None = None, carried: bool = True) -> list[Column]:
+    """Body, item count, characters and ids of the request for the items ``sent``, and the items themselves if ``carried``."""
+    body = F.transform(sent, lambda x: F.struct(x["id"].alias("id"), x["text"].alias("text"))) if carried else sent
+    if n_chars is None:
+        n_chars = F.aggregate(sent, F.lit(0).cast("bigint"), lambda n, x: n + F.coalesce(F.length(x["text"]), F.lit(0)))
+    return [
+        F.to_json(body).alias("request"),
+        F.size(sent).alias("n_items"),
+        n_chars.alias("n_chars"),
+        F.transform(sent, lambda x: x["id"]).alias("ids"),
+        *([sent.alias("sent")] if carried else []),
+    ]
+
+
+def split_failed_requests(rejected: DataFrame, chunk: Sequence[str]) -> DataFrame:
+    """``split_failed_chunks`` for requests that carry their items ``sent``: ``half`` 0 has the first ``n // 2`` of them,
+    ``half`` 1 the rest. Nothing is gathered again, so nothing moves."""
+    n = F.size("sent")
+    first = F.floor(n / 2).cast("int")
+    halves = [
+        F.struct(F.lit(0).alias("half"), F.slice("sent", F.lit(1), first).alias("sent")),
+        F.struct(F.lit(1).alias("half"), F.slice("sent", first + 1, n - first).alias("sent")),
+    ]
+    return rejected.select(*chunk, F.inline(F.array(*halves)))
 
 
 def row_requests(cells: DataFrame, chunk: Sequence[str]) -> DataFrame:

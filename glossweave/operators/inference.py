@@ -5,22 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glossweave.functions.payload import resolve_response, validate_responses
-from glossweave.operators.chunks import MAX_CHARS, split_failed_chunks, text_requests
-from glossweave.session import materialise, shuffle_partitions
-from glossweave.sources.stages import AnswerLog
+from glossweave.functions.payload import resolve_carried, validate_responses
+from glossweave.operators.chunks import MAX_CHARS, request_columns, split_failed_requests, text_requests
+from glossweave.session import drop_stages, materialise, shuffle_partitions, stage_path
+from glossweave.sources.stages import AnswerLog, exists
 
 # A lost task repeats the calls of its partition, so partitions stay small: so many calls, or as much text as that many
 # calls of the first pass hold, but no more than MOST_CALLS. Halving leaves many calls of a few words each.
 CALLS_PER_TASK, MOST_CALLS = 50, 1_000
 CHARS_PER_TASK = CALLS_PER_TASK * MAX_CHARS
-# Answers that a task holds before it hands them on.
-CALLS_HELD = 16
+# Requests and answers that a task holds, in characters, before it hands them on: 16 full calls, or many small ones.
+CHARS_HELD = 32 * MAX_CHARS
 
 # (language, request JSON, attempt) -> {"raw", "prompt_tokens", "completion_tokens", "api_calls"}
 Translate = Callable[[str, str, int], dict]
@@ -44,16 +44,17 @@ def run_requests(
     that would repeat its neighbours. With a ``log`` answers are committed to it in portions, and a request that it
     holds an answer for is not sent; its usage counts as 0 then.
     """
-    if log is not None:
-        return _logged_requests(requests, translate, attempt, shape, spread, parallelism, log)
-    answers = _send(requests, translate, attempt, spread, parallelism, requests.drop("request").columns)
-    return _validated(answers, shape)
+    return materialise(_checked(requests, translate, attempt, shape, spread, parallelism, log), "responses")
 
 
-def _validated(answers: DataFrame, shape: str) -> DataFrame:
-    """The validated answers, written; the raw text stays where it is rejected, since ``items`` hold all of an accepted one."""
-    checked = validate_responses(answers, shape)
-    return materialise(checked.withColumn("raw", F.when(F.col("status") != "ok", F.col("raw"))), "responses")
+def _checked(requests, translate, attempt, shape, spread, parallelism, log, dealt=False) -> DataFrame:
+    """The validated answers, to be written once, since reading them makes the calls; the raw text stays where it is
+    rejected, since ``items`` hold all of an accepted one."""
+    if log is not None:
+        answers = _logged_requests(requests, translate, attempt, shape, spread, parallelism, log)
+    else:
+        answers = _send(requests, translate, attempt, spread, parallelism, requests.drop("request").columns, dealt)
+    return validate_responses(answers, shape).withColumn("raw", F.when(F.col("status") != "ok", F.col("raw")))
 
 
 def _logged_requests(requests, translate, attempt, shape, spread, parallelism, log: AnswerLog) -> DataFrame:
@@ -62,20 +63,23 @@ def _logged_requests(requests, translate, attempt, shape, spread, parallelism, l
     named = materialise(requests.withColumn("request_id", name), "requests")
     missing = named.dropDuplicates(["request_id"]).join(log.answered(), "request_id", "left_anti")
     commits = -(-missing.count() // log.calls_per_commit)
+    missing = missing.drop("sent")
     fresh = materialise(missing.withColumn("commit", F.pmod(F.xxhash64("request_id"), F.lit(max(1, commits)))), "fresh-requests")
     for commit in range(commits):
         log.append(_send(fresh.where(F.col("commit") == commit), translate, attempt, spread, parallelism, ["request_id"]))
     sent = fresh.select("request_id", F.lit(True).alias("_sent"))
     answers = named.drop("request").join(log.latest(), "request_id").join(sent, "request_id", "left")
     usage = {c: F.when(F.col("_sent"), F.col(c)).otherwise(F.lit(0)) for c in _USAGE}
-    answers = answers.withColumns({**usage, "attempt": F.lit(attempt)}).drop("request_id", "_sent")
-    return _validated(answers, shape)
+    return answers.withColumns({**usage, "attempt": F.lit(attempt)}).drop("request_id", "_sent")
 
 
 def _send(
-    requests: DataFrame, translate: Translate, attempt: int, spread: Sequence[str], parallelism: int | None, keep: Sequence[str]
+    requests: DataFrame, translate: Translate, attempt: int, spread: Sequence[str], parallelism: int | None, keep: Sequence[str], dealt: bool = False
 ) -> DataFrame:
-    """Columns ``keep`` of each request with ``attempt`` and what the call for it gave; every evaluation calls again."""
+    """Columns ``keep`` of each request with ``attempt`` and what the call for it gave; every evaluation calls again.
+
+    Requests that are ``dealt`` already stay where they are. What goes along with a request passes Python as Arrow columns.
+    """
     schema = T.StructType(
         [
             *[requests.schema[c] for c in keep],
@@ -85,26 +89,41 @@ def _send(
             *[T.StructField(c, T.LongType()) for c in _USAGE],
         ]
     )
-
-    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in (frame[i : i + CALLS_HELD] for frame in frames for i in range(0, len(frame), CALLS_HELD)):
-            answers = []
-            for lang, request in zip(pdf["lang"], pdf["request"]):
-                try:
-                    answer = translate(lang, request, attempt)
-                    usage = {c: int(answer.get(c) or 0) for c in _USAGE}
-                    answers.append({"raw": answer.get("raw"), "error": None} | usage)
-                except Exception as problem:
-                    answers.append({"raw": None, "error": f"{type(problem).__name__}: {problem}"} | dict.fromkeys(_USAGE, 0))
-            given = {column: [a[column] for a in answers] for column in ("raw", "error", *_USAGE)}
-            yield pdf.drop(columns="request").assign(**given, attempt=attempt)[schema.fieldNames()]
-
-    wide = parallelism
-    if not wide:
-        total = requests.agg(F.count(F.lit(1)).alias("calls"), F.sum("n_chars").alias("chars")).first()
-        wide = call_tasks(total["calls"], total["chars"] or 0, shuffle_partitions(requests.sparkSession))
-    # By a hash of the names: a partitioning equal to that of the requests would be dropped, and small ones merged.
-    return requests.repartition(wide, F.xxhash64(*spread)).mapInPandas(send, schema)
+    names = schema.fieldNames()
+
+    def ask(lang: str, request: str) -> tuple:
+        try:
+            answer = translate(lang, request, attempt)
+            usage = [int(answer.get(c) or 0) for c in _USAGE]
+            return answer.get("raw"), None, *usage
+        except Exception as problem:
+            return None, f"{type(problem).__name__}: {problem}", *[0] * len(_USAGE)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.string(), *[pa.int64()] * len(_USAGE)]
+        for batch in batches:
+            langs, bodies, at = batch.column("lang"), batch.column("request"), 0
+            while at < batch.num_rows:
+                answers, held = [], 0
+                while at + len(answers) < batch.num_rows and held < CHARS_HELD:
+                    row = at + len(answers)
+                    body = bodies[row].as_py()
+                    answers.append(ask(langs[row].as_py(), body))
+                    held += len(body or "") + len(answers[-1][0] or "")
+                part = batch.slice(at, len(answers))
+                made = [pa.array([attempt] * len(answers), pa.int32())]
+                made += [pa.array(column, kind) for column, kind in zip(zip(*answers), kinds)]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], *made], names)
+                at += len(answers)
+
+    if not dealt:
+        wide = parallelism
+        if not wide:
+            total = requests.agg(F.count(F.lit(1)).alias("calls"), F.sum("n_chars").alias("chars")).first()
+            wide = call_tasks(total["calls"], total["chars"] or 0, shuffle_partitions(requests.sparkSession))
+        # By a hash of the names: a partitioning equal to that of the requests would be dropped, and small ones merged.
+        requests = requests.repartition(wide, F.xxhash64(*spread))
+    return requests.select(*dict.fromkeys([*keep, "lang", "request"])).mapInArrow(send, schema)
 
 
 def call_tasks(calls: int, chars: int, least: int) -> int:
@@ -121,16 +140,24 @@ class Translated(NamedTuple):
     failed: DataFrame
 
 
+def _to_halve() -> Column:
+    return (F.col("status") != "ok") & F.col("error").isNull() & (F.col("n_items") > 1)
+
+
+def _halved(checked: DataFrame) -> DataFrame:
+    return checked.where(_to_halve())
+
+
 def to_halve(checked: DataFrame, chunk: Sequence[str]) -> DataFrame:
     """Chunks to send again in halves: the payload was wrong and there is more than one item. A smaller chunk does not
     mend a service that is down."""
-    return checked.where((F.col("status") != "ok") & F.col("error").isNull() & (F.col("n_items") > 1)).select(*chunk)
+    return _halved(checked).select(*chunk)
 
 
-def given_up(checked: DataFrame, chunk: Sequence[str]) -> DataFrame:
+def given_up(checked: DataFrame, chunk: Sequence[str], *keep: str) -> DataFrame:
     """Chunks that failed for good, with the reason."""
     final = (F.col("status") != "ok") & (F.col("error").isNotNull() | (F.col("n_items") <= 1))
-    return checked.where(final).select(*chunk, F.coalesce("error", "status").alias("reason"))
+    return checked.where(final).select(*chunk, *keep, F.coalesce("error", "status").alias("reason"))
 
 
 def raise_failed(failed: DataFrame, what: str) -> None:
@@ -154,27 +181,50 @@ def translate_items(
     Chunks whose payload is rejected are halved and sent again until single items are left, at
     most ``log2(max_items)`` times. Items of a call that raised, and items rejected alone, are the failed ones.
     """
-    chunk = ["lang", "chunk_no"]
-    resolved, responses, failed = None, None, None
-    pending, rounds = items.withColumn("chunk_no", F.col("chunk_no").cast("string")), max(1, max_items).bit_length()
-    for step in range(rounds + 1):
-        requests = text_requests(pending, chunk, text=text)
-        checked = run_requests(requests, translate, attempt, parallelism=parallelism, log=log).withColumn("split_round", F.lit(step))
-        good = resolve_response(checked, pending, chunk, text)
+    chunk, spark = ["lang", "chunk_no"], items.sparkSession
+    named, least = items.withColumn("chunk_no", F.col("chunk_no").cast("string")), shuffle_partitions(spark)
+    size = F.col("n_chars") if "n_chars" in items.columns else F.length(text)
+    calls = items.groupBy(*chunk).agg(F.sum(size).alias("n")).agg(F.count(F.lit(1)), F.sum("n")).first()
+    wide = parallelism or call_tasks(calls[0], calls[1] or 0, least)
+    carry = [c for c in items.columns if c not in (*chunk, "id", text)]
+    # Dealt by chunk, so that gathering and calling need no other exchange.
+    requests = text_requests(named.repartition(wide, *chunk), chunk, text=text, carry=carry)
+    resolved, responses, failed, before = None, None, None, None
+    for step in range(max(1, max_items).bit_length() + 1):
+        answers = _checked(requests, translate, attempt, "text", chunk, wide if log is None else parallelism, log, dealt=True).withColumn("split_round", F.lit(step))
+        checked, pending = _answered(answers)
+        if before is not None:
+            drop_stages(spark, before)
+        good = resolve_carried(checked, named.columns, text)
         resolved = good if resolved is None else resolved.unionByName(good)
-        responses = checked if responses is None else responses.unionByName(checked)
-        lost = pending.join(given_up(checked, chunk), chunk).select("lang", F.col(text).alias("text"), "reason", F.lit(attempt).alias("attempt"))
+        responses = checked.drop("sent") if responses is None else responses.unionByName(checked.drop("sent"))
+        lost = given_up(checked, chunk, "sent").select("lang", F.explode("sent").alias("_item"), "reason")
+        lost = lost.select("lang", F.col("_item")["text"].alias("text"), "reason", F.lit(attempt).alias("attempt"))
         failed = lost if failed is None else failed.unionByName(lost)
-        again = to_halve(checked, chunk)
-        if again.isEmpty():
+        again = _halved(checked).agg(F.count(F.lit(1)), F.sum("n_chars")).first()
+        if not again[0]:
             break
-        halves = split_failed_chunks(pending.join(again, chunk, "left_semi"), chunk)
-        pending = materialise(
-            halves.withColumn("chunk_no", F.concat_ws("/", "chunk_no", "half")).drop("half"), "halves"
-        )
+        wide = parallelism or call_tasks(2 * again[0], again[1] or 0, least)
+        halves = split_failed_requests(pending[0], chunk).withColumn("chunk_no", F.concat_ws("/", "chunk_no", "half")).drop("half")
+        requests, before = halves.repartition(wide, *chunk).select(*chunk, *request_columns(F.col("sent"))), pending[1]
     return Translated(resolved, responses, failed)
 
 
+def _answered(answers: DataFrame) -> tuple[DataFrame, tuple[DataFrame, str]]:
+    """The written responses, and those to halve with what they were to answer, and their folder, to be dropped when the
+    halves are answered: a response beside keeps its items only if it is not sent again."""
+    spark, target = answers.sparkSession, stage_path(answers.sparkSession, "responses")
+    twice = answers.withColumn("again", F.explode(F.when(_to_halve(), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
+    kept = twice.withColumn("sent", F.when(F.col("again") | ~_to_halve(), F.col("sent")))
+    materialise(kept, "responses", target, ["again"])
+
+    def read(kind: str) -> DataFrame:
+        folder = f"{target}/again={kind}"
+        return spark.read.schema(answers.schema).parquet(folder) if exists(spark, folder) else spark.createDataFrame([], answers.schema)
+
+    return read("false"), (read("true"), f"{target}/again=true")
+
+
 def spent(responses: DataFrame) -> DataFrame:
     """The usage of ``responses`` by language as a table of its own, which does not read them again."""
     total = usage_totals(responses)

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 import sys
 
 import pytest
@@ -311,3 +312,33 @@ def test_what_got_no_answer_stays_in_the_output(spark, exam):
     rows = {r.row_id: r for r in run.output.collect()}
     assert rows[1]["LF"] == "Lernfeld Eins" and rows[4]["LF"] == "[EN] Lernfeld Zwei" and len(rows) == 6
     assert [r.text for r in run.failed.collect()] == ["Lernfeld Eins"]
+
+
+def test_items_travel_with_their_request(spark):
+    """Halving gathers nothing again: it writes responses only, joins nothing, and drops what was to be halved."""
+    from glossweave import session
+
+    items = spark.createDataFrame(
+        [("EN", i // 10, i % 10, i, f"text number {i}", f"key {i}") for i in range(40)],
+        "lang string, chunk_no bigint, item_no bigint, id bigint, text_norm string, text_key string",
+    )
+    before = set(session._STAGES)
+    resolved, responses, failed = translate_items(items, faulty, 20)
+    named = [path for path in session._STAGES if path not in before]
+    assert {path.rsplit("/", 1)[1][:-33] for path in named} == {"responses"}
+    assert not [path for path in named[:-1] if os.path.exists(f"{path}/again=true")]
+    assert "Join" not in resolved._jdf.queryExecution().optimizedPlan().toString() + failed._jdf.queryExecution().optimizedPlan().toString()
+    assert resolved.columns == [*items.columns, "translation", "is_fallback"]
+    got = {(r.text_key, r.translation, r.chunk_no.split("/")[0]) for r in resolved.collect()}
+    assert got == {(f"key {i}", f"<text number {i}>", str(i // 10)) for i in range(40) if i != 3}
+    assert responses.where("status = 'ok'").select(F.sum("n_items")).first()[0] == 39 and failed.count() == 1
+
+
+def test_an_answer_in_any_order_finds_its_text(spark):
+    """Ids of an answer may come in another order; each translation stays beside its own text."""
+    def turned(lang, request, attempt):
+        return {"raw": json.dumps([{"id": x["id"], "translation": f"<{x['text']}>"} for x in reversed(json.loads(request))])}
+
+    items = spark.createDataFrame([("EN", 0, i, 100 - i, f"text {i}") for i in range(12)], "lang string, chunk_no bigint, item_no bigint, id bigint, text_norm string")
+    got = translate_items(items, turned, 20).resolved.collect()
+    assert len(got) == 12 and all(r.translation == f"<{r.text_norm}>" and r.id == 100 - r.item_no for r in got)
