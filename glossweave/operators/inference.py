@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -179,14 +180,31 @@ def translate_items(
     """Translate chunked items ``(lang, chunk_no, item_no, id, text)``.
 
     Chunks whose payload is rejected are halved and sent again until single items are left, at
-    most ``log2(max_items)`` times. Items of a call that raised, and items rejected alone, are the failed ones.
+    most ``log2(max_items)`` times. Items of a call that raised, and items rejected alone, are the failed ones. Items with
+    a ``portion`` are sent one portion after the other.
     """
+    done = [translate_portion(part, translate, max_items, attempt, text, parallelism, log) for part in portions_of(items)]
+    return Translated(*[reduce(DataFrame.unionByName, tables) for tables in zip(*done)])
+
+
+def portions_of(items: DataFrame) -> list[DataFrame]:
+    """The portions of ``items`` in order; all of them if they are not divided."""
+    if "portion" not in items.columns:
+        return [items]
+    numbers = sorted(row["portion"] for row in items.select("portion").distinct().collect())
+    return [items.where(F.col("portion") == n) for n in numbers] or [items]
+
+
+def translate_portion(
+    items: DataFrame, translate: Translate, max_items: int, attempt: int = 0, text: str = "text_norm", parallelism: int | None = None, log: AnswerLog | None = None
+) -> Translated:
+    """``translate_items`` for items that are sent at the same time."""
     chunk, spark = ["lang", "chunk_no"], items.sparkSession
-    named, least = items.withColumn("chunk_no", F.col("chunk_no").cast("string")), shuffle_partitions(spark)
+    named, least = items.drop("portion", "n_chars").withColumn("chunk_no", F.col("chunk_no").cast("string")), shuffle_partitions(spark)
     size = F.col("n_chars") if "n_chars" in items.columns else F.length(text)
     calls = items.groupBy(*chunk).agg(F.sum(size).alias("n")).agg(F.count(F.lit(1)), F.sum("n")).first()
     wide = parallelism or call_tasks(calls[0], calls[1] or 0, least)
-    carry = [c for c in items.columns if c not in (*chunk, "id", text)]
+    carry = [c for c in named.columns if c not in (*chunk, "id", text)]
     # Dealt by chunk, so that gathering and calling need no other exchange.
     requests = text_requests(named.repartition(wide, *chunk), chunk, text=text, carry=carry)
     resolved, responses, failed, before = None, None, None, None

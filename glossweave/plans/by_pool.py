@@ -29,20 +29,51 @@ from glossweave.sources.memory import TranslationMemory, with_memory_key
 from glossweave.sources.stages import RunStages
 
 
-def chunk_misses(misses: DataFrame, max_items: int = MAX_ITEMS, max_chars: int = MAX_CHARS, keep: Sequence[str] = ()) -> DataFrame:
+#: Items of about so many characters are sent, judged and stored at a time, or more where that would make too many portions: what
+#: is on the way between two written tables is a part of the whole then, and each portion has some small jobs of its own.
+PORTION_CHARS, MOST_PORTIONS = 64_000_000, 16
+
+
+def chunk_misses(
+    misses: DataFrame,
+    max_items: int = MAX_ITEMS,
+    max_chars: int = MAX_CHARS,
+    keep: Sequence[str] = (),
+    texts: DataFrame | None = None,
+    portions: int = MOST_PORTIONS,
+) -> DataFrame:
     """Missing texts per language in first-appearance order, packed; the position is the item id.
 
-    Only places and lengths are sorted and packed; the texts are joined to the result once. ``misses`` is read more than
-    once: pass a written table, or what follows cheaply from one. Items have the columns ``keep`` of it as well.
+    Only places and lengths are sorted and packed; the texts are joined to the result once, and once for all languages if
+    ``texts`` has those of ``misses`` by first appearance, each once. ``misses`` is read more than once: pass a written
+    table, or what follows cheaply from one; it may have ``_h`` and ``n_chars``, hash and length, in place of its texts.
+    Items have the columns ``keep`` of either as well, ``n_chars``, and their ``portion``: whole chunks that are next to
+    each other, of ``PORTION_CHARS`` characters or what ``portions`` of them make necessary, in a folder of their own.
     """
-    place, more = ["lang", "first_col", "first_row", "_h"], [c for c in keep if c not in ("lang", "first_col", "first_row")]
-    texts = misses.select("lang", "text_norm", "first_col", "first_row", F.xxhash64("text_norm").alias("_h"), *more)
-    sized = texts.select(*place, F.length("text_norm").alias("n_chars"))
-    target = stage_path(misses.sparkSession, "chunk-items")
-    with stages_passing(misses.sparkSession):
-        packed = greedy_chunks(sized, ["lang"], place[1:], "n_chars", max_items, max_chars)
-        items = packed.select(*place, "chunk_no", "item_no", F.col("pos").alias("id")).join(texts, place)
-        return materialise(items.select("lang", "chunk_no", "item_no", "id", "text_norm", *keep), "chunk-items", target)
+    spark, place = misses.sparkSession, ["first_col", "first_row", "_h"]
+    source, on = (misses, ["lang", *place]) if texts is None else (texts, place)
+    own = [c for c in keep if c not in ("lang", "first_col", "first_row")]
+    beside = [c for c in own if c in source.columns]
+    ride = [c for c in own if c not in beside]
+    text_hash = F.xxhash64("text_norm").alias("_h")
+    marks = ["_h", "n_chars"] if "_h" in misses.columns else [text_hash, F.length("text_norm").alias("n_chars")]
+    sized = misses.select("lang", *place[:2], *marks, *ride)
+    target = stage_path(spark, "chunk-items")
+    with stages_passing(spark):
+        packed = greedy_chunks(sized, ["lang"], place, "n_chars", max_items, max_chars)
+        packed = materialise(packed.select("lang", *place, "n_chars", "chunk_no", "item_no", F.col("pos").alias("id"), *ride), "packed")
+        sizes = packed.groupBy("lang").agg(F.sum("n_chars").alias("chars"), (F.max("chunk_no") + 1).alias("chunks")).collect()
+        number = max(1, min(portions, -(-sum(r["chars"] or 0 for r in sizes) // PORTION_CHARS)))
+        portion = F.lit(0)
+        for row in sizes:
+            portion = F.when(F.col("lang").eqNullSafe(row["lang"]), F.floor(F.col("chunk_no") * number / row["chunks"]).cast("int")).otherwise(portion)
+        entry = F.struct("lang", "chunk_no", "item_no", "id", *ride)
+        placed = packed.withColumn("portion", portion).repartition(*on).groupBy(*on, "n_chars", "portion").agg(F.collect_list(entry).alias("_places"))
+        joined = placed.join(source.select(*[c for c in on if c != "_h"], text_hash, "text_norm", *beside), on)
+        columns = ["text_norm", "first_col", "first_row", *beside, "n_chars", "_places", "portion"]
+        items = materialise(joined.select(*columns), "chunk-items", target, ["portion"])
+    opened = items.select(*[c for c in columns if c != "_places"], F.inline("_places"))
+    return opened.select("lang", "chunk_no", "item_no", "id", "text_norm", *keep, "n_chars", "portion")
 
 
 def memory_rows(resolved: DataFrame, model: str, rules_id: str, attempt: int) -> DataFrame:

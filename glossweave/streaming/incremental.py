@@ -66,7 +66,7 @@ def incremental_localize(
     def handle(batch: DataFrame, batch_no: int) -> None:
         pool = materialise(build_pool(to_cells(batch), abbr_max), "batch-pool")
         misses = memory_misses(with_memory_key(pool, langs, model, rules_id), memory.rows(langs, model, rules_id))
-        items = chunk_misses(misses, max_items, max_chars)
+        items = chunk_misses(misses, max_items, max_chars, texts=pool)
         if items.isEmpty():
             return
         done = translate_items(items, translate, max_items)

@@ -342,3 +342,29 @@ def test_an_answer_in_any_order_finds_its_text(spark):
     items = spark.createDataFrame([("EN", 0, i, 100 - i, f"text {i}") for i in range(12)], "lang string, chunk_no bigint, item_no bigint, id bigint, text_norm string")
     got = translate_items(items, turned, 20).resolved.collect()
     assert len(got) == 12 and all(r.translation == f"<{r.text_norm}>" and r.id == 100 - r.item_no for r in got)
+
+
+def test_portions_hold_whole_chunks_and_each_text_once(spark, monkeypatch):
+    """Items of two languages keep one copy of a text, and sending them in portions gives what sending all at once gives."""
+    from glossweave.operators.pool import language_fanout
+    from glossweave.plans import by_pool
+
+    pool = spark.range(300).select(
+        F.format_string("text number %d", "id").alias("text_norm"), F.lit(0).alias("first_col"), F.col("id").alias("first_row"), F.lit("k").alias("text_key")
+    ).localCheckpoint()
+    pairs = language_fanout(pool, ["EN", "AR"]).where("lang = 'EN' OR first_row % 3 > 0").withColumn("tried", F.lit(0))
+    whole = by_pool.chunk_misses(pairs, 7, 1000, ["text_key", "tried"])
+    monkeypatch.setattr(by_pool, "PORTION_CHARS", 2_000)
+    items = by_pool.chunk_misses(pairs, 7, 1000, ["text_key", "tried"], texts=pool)
+    named = ["lang", "chunk_no", "item_no", "id", "text_norm", "text_key", "tried", "n_chars"]
+    assert sorted(items.select(named).collect()) == sorted(whole.select(named).collect()) and items.count() == 500
+    assert items.select("portion").distinct().count() > 2
+    assert items.groupBy("lang", "chunk_no").agg(F.count_distinct("portion").alias("n")).where("n > 1").isEmpty()
+    stored = spark.read.parquet(os.path.dirname(os.path.dirname(items.inputFiles()[0])))
+    assert stored.count() < 330 and stored.select("text_norm").distinct().count() == 300
+    done, once = translate_items(items, pseudo_translate, 7), translate_items(whole, pseudo_translate, 7)
+    assert "portion" not in done.resolved.columns
+    assert sorted(done.resolved.select("lang", "id", "text_norm", "translation").collect()) == sorted(once.resolved.select("lang", "id", "text_norm", "translation").collect())
+    assert done.responses.count() == once.responses.count() and done.failed.isEmpty()
+    assert by_pool.chunk_misses(pairs.where("false"), 7, 1000, texts=pool).isEmpty()
+    assert translate_items(by_pool.chunk_misses(pairs.where("false"), 7, 1000, texts=pool), pseudo_translate, 7).resolved.isEmpty()
