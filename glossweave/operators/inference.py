@@ -183,16 +183,16 @@ def translate_items(
     most ``log2(max_items)`` times. Items of a call that raised, and items rejected alone, are the failed ones. Items with
     a ``portion`` are sent one portion after the other.
     """
-    done = [translate_portion(part, translate, max_items, attempt, text, parallelism, log) for part in portions_of(items)]
+    done = [translate_portion(part, translate, max_items, attempt, text, parallelism, log) for _, part in portions_of(items)]
     return Translated(*[reduce(DataFrame.unionByName, tables) for tables in zip(*done)])
 
 
-def portions_of(items: DataFrame) -> list[DataFrame]:
-    """The portions of ``items`` in order; all of them if they are not divided."""
+def portions_of(items: DataFrame) -> list[tuple[int, DataFrame]]:
+    """The portions of ``items`` with their numbers, in order; all of them as one if they are not divided."""
     if "portion" not in items.columns:
-        return [items]
+        return [(0, items)]
     numbers = sorted(row["portion"] for row in items.select("portion").distinct().collect())
-    return [items.where(F.col("portion") == n) for n in numbers] or [items]
+    return [(n, items.where(F.col("portion") == n)) for n in numbers] or [(0, items)]
 
 
 def translate_portion(

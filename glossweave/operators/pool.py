@@ -48,27 +48,34 @@ def _first_place(col_ord: str, row_id: str):
     return F.expr(f"CAST(CAST({col_ord} AS DECIMAL(10,0)) * {_SPAN} + {_OFFSET} + {row_id} AS DECIMAL(38,0))")
 
 
-def build_pool(cells: DataFrame, abbr_max: int = ABBREVIATION_MAX_POOL) -> DataFrame:
+def build_pool(cells: DataFrame, abbr_max: int = ABBREVIATION_MAX_POOL, texts: bool = True) -> DataFrame:
     """Distinct normalised translatable texts of ``cells(row_id, col_ord, value)``.
 
     Returns ``text_norm, text_key, first_col, first_row, n_cells``. Copies collapse on the map
-    side, so a text that fills a third of all cells costs one row per task in the shuffle.
+    side, so a text that fills a third of all cells costs one row per task in the shuffle. Without ``texts`` the same rows
+    have ``_h`` and ``n_chars``, hash and length, in place of the text, and only keys move.
     """
-    texts = translatable_cells(cells, abbr_max).select(
+    normed = translatable_cells(cells, abbr_max).select(
         normalise(F.col("value")).alias("text_norm"), _first_place("col_ord", "row_id").alias("_place")
     )
+    name, marks, key = "text_norm", [], text_key(F.col("text_norm"))
+    if not texts:
+        normed = normed.select(F.unhex(key).alias("_key"), F.xxhash64("text_norm").alias("_h"), F.length("text_norm").alias("n_chars"), "_place")
+        name, marks, key = "_key", [F.max("_h").alias("_h")], F.lower(F.hex("_key"))
+    size = F.length("text_norm") if texts else F.col("n_chars")
     # Asked of the aggregate: a filter on the text would be pushed below and normalise each cell once more.
     pooled = (
-        texts.groupBy("text_norm")
-        .agg(F.min("_place").alias("_place"), F.count(F.lit(1)).alias("n_cells"), F.max(F.length("text_norm")).alias("_n_chars"))
-        .where("_n_chars > 0")
+        normed.groupBy(name)
+        .agg(F.min("_place").alias("_place"), F.count(F.lit(1)).alias("n_cells"), F.max(size).alias("n_chars"), *marks)
+        .where("n_chars > 0")
     )
     return pooled.select(
-        "text_norm",
-        text_key(F.col("text_norm")).alias("text_key"),
+        *(["text_norm"] if texts else []),
+        key.alias("text_key"),
         F.expr(f"CAST(_place DIV {_SPAN} AS INT)").alias("first_col"),
         F.expr(f"CAST(_place % {_SPAN} - {_OFFSET} AS BIGINT)").alias("first_row"),
         "n_cells",
+        *([] if texts else ["_h", "n_chars"]),
     )
 
 
