@@ -408,3 +408,32 @@ def test_a_run_stores_its_answers_once_and_portion_by_portion(spark, monkeypatch
     assert len({f for f in store.log().where("attempt = 0 AND lang = 'EN'").inputFiles() if "batch_id=one-0" in f}) > 1
     got = {(r.row_id, r.lang): r.text for r in run.output.collect()}
     assert len(got) == 120 and all(got[r.row_id, lang] == r.text for r in frame.collect() for lang in ("EN", "AR"))
+
+
+def test_a_second_run_moves_keys_and_suspects_only(spark):
+    """What a run reads of the memory is judged where it lies: no stage holds the texts that are known and fine. A run of
+    the name of an earlier one shows what the memory has, not what the earlier one stored first."""
+    from glossweave import session
+
+    frame = spark.createDataFrame([(i, f"Frage nummer {i}, und das ist die {i}") for i in range(40)], "row_id bigint, text string")
+    store, settings = memory(spark), Settings(["EN"], "m", "r", max_rounds=1)
+
+    def better_later(lang, request, attempt):
+        got = [{"id": x["id"], "translation": x["text"] if attempt == 0 and " 3" in x["text"] else f"fine {len(x['text'])} {x['text'][14:16]}"} for x in json.loads(request)]
+        return {"raw": json.dumps(got), "api_calls": 1}
+
+    def no_call(lang, request, attempt):
+        raise AssertionError("sent again")
+
+    first = localize_pool(frame, store, better_later, settings, "same")
+    assert first.checks[0]["EN"] > 0 and first.checks[-1]["EN"] == 0
+    before = set(session._STAGES)
+    second = localize_pool(frame, store, no_call, settings, "same")
+    left = stage_texts(spark, [path for path in session._STAGES if path not in before])
+    assert max(left.values(), default=0) == 0
+    more = frame.unionByName(spark.createDataFrame([(100, "Ein neuer Text"), (101, "  Ein neuer   Text")], frame.schema))
+    third = localize_pool(more, store, better_later, settings, "same")
+    shown = lambda run: {r.row_id: r.text for r in run.output.collect()}
+    assert shown(second) == shown(first) and {k: v for k, v in shown(third).items() if k < 100} == shown(first)
+    assert shown(third)[100] == shown(third)[101] and shown(third)[100].startswith("fine 14")
+    assert third.usage.first().api_calls == 1 and second.usage.first().api_calls == 0
